@@ -33,7 +33,7 @@ def coerce(df: DataFrame, schema: T.StructType, strict: bool = False, on_error:
     for f in schema:
         source, logical = df.schema[f.name].dataType, (f.metadata or {}).get("logical")
         if logical:
-            columns.append(coerce_column(F.col(f.name), source, logical, on_error).alias(f.name))
+            columns.append(coerce_column(F.col(f.name), source, logical, on_error).alias(f.name, metadata=f.metadata))
         elif source == f.dataType:
             columns.append(F.col(f.name))
         else:
@@ -112,7 +112,7 @@ def _unsigned(c: Column, source: T.DataType, target: T.DataType, logical: str, o
     if not isinstance(source, (T.NumericType, T.StringType)):
         _refuse(source, logical)
     wide = _cast(c, T.DecimalType(22, 0) if logical == "Uint64" else T.LongType(), on_error)
-    fits = wide.between(F.lit(0), F.lit(UNSIGNED_MAX[logical]).cast(T.DecimalType(22, 0)))
+    fits = wide.between(F.lit(0), F.lit(str(UNSIGNED_MAX[logical])).cast(T.DecimalType(22, 0)))
     return F.when(wide.isNull() | fits, _cast(wide, target, on_error)).otherwise(_failure(logical, on_error))
 
 

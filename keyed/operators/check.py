@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.bounds import KeyRange, normalise, predicate
+from ..plans.bounds import normalise, predicate
 from ..plans.layout import key_struct
 from ..sources.table import SHARD, KeyedTable
 
@@ -53,8 +53,3 @@ def read_without_pushdown(table: KeyedTable, where: Sequence[tuple]) -> DataFram
 def pushdown_parity(table: KeyedTable, where: Sequence[tuple]) -> DataFrame:
     """Differences between a pruned and an unpruned read; empty when push-down is right."""
     return table_diff(table.read(where), read_without_pushdown(table, where), table.keys)
-
-
-def uses_all_shards(table: KeyedTable, where: Sequence[tuple]) -> bool:
-    found = table.range_of(where)
-    return found == KeyRange()

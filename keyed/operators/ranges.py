@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.layout import Layout, derive_splits, key_struct, splits_before, struct_array
+from ..plans.bounds import cut_key
+from ..plans.layout import Layout, count_splits, key_struct, splits_before
 from ..sources.table import SHARD, KeyedTable
 
 MAX_BINS = 4096
@@ -63,7 +64,10 @@ def _at_or_before_hi(keys: Sequence[Column], hi: Sequence[Column], incl: Column)
 
 
 def bound_splits(ranges: Sequence[DataFrame], max_bins: int = MAX_BINS) -> list[tuple]:
-    """Bins that hold about equally many range bounds; at most ``max_bins`` key tuples reach the driver."""
+    """Bin edges taken from the range bounds, about ``max_bins`` of them; a bound that is very frequent gets its own bin.
+
+    Edges only say where rows and ranges meet; every bound still takes part in the join.
+    """
     ends = None
     for r in ranges:
         for side in ("lo", "hi"):
@@ -71,45 +75,10 @@ def bound_splits(ranges: Sequence[DataFrame], max_bins: int = MAX_BINS) -> list[
             ends = one if ends is None else ends.unionByName(one)
     names = ends.columns
     ends = ends.filter(F.col(names[0]).isNotNull())
-    bins = min(max_bins, ends.count())
-    if bins <= 1:
-        return []
-    # Null parts sort lowest, so a prefix bound lands at the start of its keys.
-    fraction_rows = ends.groupBy(*names).count()
-    distinct = fraction_rows.count()
-    if distinct <= max_bins:
-        points = [tuple(r) for r in fraction_rows.select(*names).sort(*names).collect()]
-    else:
-        firsts = (
-            ends.repartitionByRange(bins, *names)
-            .groupBy(F.spark_partition_id().alias("part"))
-            .agg(F.min(key_struct(names)).alias("first"))
-            .select("first.*")
-            .sort(*[f"k{i}" for i in range(len(names))])
-            .collect()
-        )
-        points = [tuple(r) for r in firsts]
-    return list(dict.fromkeys(tuple(v for v in p if v is not None) for p in points))
-
-
-def _bin(parts: Sequence[Column], types: Sequence[T.DataType], splits: Sequence[tuple]) -> Column:
-    return F.lit(0) if not splits else _count(parts, types, splits, True)
-
-
-def _count(parts: Sequence[Column], types: Sequence[T.DataType], splits: Sequence[tuple], at: bool) -> Column:
-    """Number of splits below (or at) a key tuple in struct order, nulls lowest."""
-    key, points = key_struct(parts), struct_array(splits, types)
-
-    def step(acc: Column, _: Column) -> Column:
-        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
-        right = F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))
-        left = F.struct(acc["lo"].alias("lo"), mid.alias("hi"))
-        below = F.get(points, mid) <= key if at else F.get(points, mid) < key
-        return F.when(acc["lo"] >= acc["hi"], acc).when(below, right).otherwise(left)
-
-    rounds = math.ceil(math.log2(len(splits) + 1))
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(splits)).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step, lambda acc: acc["lo"])
+    rows = ends.count()
+    picked = ends if rows <= max_bins else ends.sample(fraction=max_bins / rows, seed=7)
+    points = {tuple(v for v in r if v is not None) for r in picked.distinct().collect()}
+    return sorted(points, key=lambda s: cut_key((s, -1)))
 
 
 def route_rows(rows: DataFrame, keys: Sequence[str], ranges: DataFrame, how: str = "inner") -> DataFrame:
@@ -121,11 +90,11 @@ def route_rows(rows: DataFrame, keys: Sequence[str], ranges: DataFrame, how: str
     types = _part_types(ranges, "lo")
     splits = bound_splits([ranges])
     lo, hi = cut_at_null(_parts(ranges, "lo")), cut_at_null(_parts(ranges, "hi"))
-    first = F.when(lo[0].isNull(), F.lit(0)).otherwise(_bin(lo, types, splits))
+    first = F.when(lo[0].isNull(), F.lit(0)).otherwise(splits_before(lo, types, splits))
     last = F.when(hi[0].isNull(), F.lit(len(splits))).otherwise(_last_count(hi, types, splits, F.lit(True)))
     binned = ranges.withColumn("_bin", F.explode(F.sequence(first, F.greatest(first, last)))).alias("r")
     key_columns = [F.col(k).cast(t) for k, t in zip(keys, types)]
-    located = rows.withColumn("_bin", _bin(key_columns, types, splits))
+    located = rows.withColumn("_bin", splits_before(key_columns, types, splits))
     inside = _at_or_after_lo(key_columns, _parts(ranges, "lo"), F.col("lo_incl")) & _at_or_before_hi(
         key_columns, _parts(ranges, "hi"), F.col("hi_incl")
     )
@@ -148,7 +117,7 @@ def _last_count(hi: Sequence[Column], types: Sequence[T.DataType], splits: Seque
 
     def for_length(m: int) -> Column:
         short = [s[:m] for s in splits]
-        return F.when(incl, _count(hi[:m], types[:m], short, True)).otherwise(_count(hi[:m], types[:m], short, False))
+        return F.when(incl, count_splits(hi[:m], types[:m], short, True)).otherwise(count_splits(hi[:m], types[:m], short, False))
 
     return _by_length(hi, for_length)
 
@@ -159,9 +128,9 @@ def _first_count(lo: Sequence[Column], types: Sequence[T.DataType], splits: Sequ
         return F.lit(0)
 
     def for_length(m: int) -> Column:
-        return _count(lo[:m], types[:m], [s[:m] for s in splits], True)
+        return count_splits(lo[:m], types[:m], [s[:m] for s in splits], True)
 
-    return F.when(incl, _count(lo, types, splits, True)).otherwise(_by_length(lo, for_length))
+    return F.when(incl, count_splits(lo, types, splits, True)).otherwise(_by_length(lo, for_length))
 
 
 def range_shards(layout: Layout, types: Sequence[T.DataType], ranges: DataFrame) -> DataFrame:
@@ -170,12 +139,13 @@ def range_shards(layout: Layout, types: Sequence[T.DataType], ranges: DataFrame)
     if layout.store == "hash":
         first, last = F.lit(0), F.lit(layout.shards - 1)
     else:
-        types = list(types)[: len(lo)]
-        splits = [s[: len(lo)] for s in layout.splits]
+        splits = layout.splits
+        lo, hi = ([*side, *[F.lit(None).cast(t) for t in types[len(side) :]]] for side in (lo, hi))
         first = F.when(lo[0].isNull(), F.lit(0)).otherwise(_first_count(lo, types, splits, F.col("lo_incl")))
         last = F.when(hi[0].isNull(), F.lit(len(splits))).otherwise(_last_count(hi, types, splits, F.col("hi_incl")))
     spans = F.when(first <= last, F.sequence(first, last))
-    return ranges.filter(_holds_keys(lo, hi)).withColumn("shard", F.explode(spans).cast("int"))
+    spread = ranges.filter(_holds_keys(lo, hi)).withColumn("shard", F.explode(spans))
+    return spread.withColumn("shard", F.col("shard").cast("int"))
 
 
 def _holds_keys(lo: Sequence[Column], hi: Sequence[Column]) -> Column:
@@ -207,7 +177,7 @@ def _cover(first: Column, end: Column, levels: int) -> Column:
     """Tree nodes that together cover bins first .. end - 1: at most two per level."""
 
     def at(level: Column) -> Column:
-        size = F.shiftleft(F.lit(1), level)
+        size = F.call_function("shiftleft", F.lit(1), level)
         left = F.floor((first + size - 1) / size).cast("int")
         right = F.floor(end / size).cast("int")
         nodes = F.array(
@@ -222,7 +192,7 @@ def _cover(first: Column, end: Column, levels: int) -> Column:
 def _ancestors(leaf: Column, levels: int) -> Column:
     return F.transform(
         F.sequence(F.lit(0), F.lit(levels)),
-        lambda level: F.struct(level.alias("level"), F.floor(leaf / F.shiftleft(F.lit(1), level)).cast("int").alias("node")),
+        lambda level: F.struct(level.alias("level"), F.floor(leaf / F.call_function("shiftleft", F.lit(1), level)).cast("int").alias("node")),
     )
 
 
@@ -247,8 +217,8 @@ def intersect_ranges(a: DataFrame, b: DataFrame) -> DataFrame:
     def sided(df: DataFrame, s: str) -> DataFrame:
         lo, hi = cut_at_null(_parts(df, "lo")), cut_at_null(_parts(df, "hi"))
         other = [c for c in df.columns if c not in ("lo", "hi", "lo_incl", "hi_incl")]
-        start = F.when(lo[0].isNull(), F.lit(0)).otherwise(_bin(lo, types, splits))
-        end = F.when(hi[0].isNull(), F.lit(len(splits))).otherwise(_bin(hi, types, splits)) + 1
+        start = F.when(lo[0].isNull(), F.lit(0)).otherwise(splits_before(lo, types, splits))
+        end = F.when(hi[0].isNull(), F.lit(len(splits))).otherwise(splits_before(hi, types, splits)) + 1
         flat = df.select(
             *other,
             key_struct(lo).alias(f"{s}lo"),

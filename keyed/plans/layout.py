@@ -39,13 +39,19 @@ def splits_before(keys: Sequence[Column], types: Sequence[T.DataType], splits: S
     """Number of split points at or below the key: a CASE tree for few splits, a binary search for many."""
     if len(splits) <= TREE_SPLITS:
         return _split_tree(keys, types, splits, 0, len(splits))
+    return count_splits(keys, types, splits)
+
+
+def count_splits(keys: Sequence[Column], types: Sequence[T.DataType], splits: Sequence[tuple], at: bool = True) -> Column:
+    """Number of rising tuples below (``at``: or equal to) the key, found by halving; nulls sort lowest."""
     key, points = key_struct(keys), struct_array(splits, types)
 
     def step(acc: Column, _: Column) -> Column:
         mid = F.shiftright(acc["lo"] + acc["hi"], 1)
         right = F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))
         left = F.struct(acc["lo"].alias("lo"), mid.alias("hi"))
-        return F.when(acc["lo"] >= acc["hi"], acc).when(F.get(points, mid) <= key, right).otherwise(left)
+        below = F.get(points, mid) <= key if at else F.get(points, mid) < key
+        return F.when(acc["lo"] >= acc["hi"], acc).when(below, right).otherwise(left)
 
     rounds = math.ceil(math.log2(len(splits) + 1))
     start = F.struct(F.lit(0).alias("lo"), F.lit(len(splits)).alias("hi"))

@@ -35,7 +35,7 @@ def scan_table(spark, sf):
     "SELECT c_name, CAST(c_custkey AS INTEGER) AS c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer"
 )
 def scan_with_schema(spark, sf):
-    schema = T.StructType().add("c_name", "string").add("c_custkey", "int").add("c_nationkey", "bigint")
+    schema = T.StructType().add("c_name", T.StringType()).add("c_custkey", T.IntegerType()).add("c_nationkey", T.LongType())
     return K.load(spark, "customer.parquet", sf, schema)
 
 
@@ -192,9 +192,9 @@ def filter_suffix(spark, sf):
     return raw(spark, sf, "customer").filter(F.col("c_name").endswith("7"))
 
 
-@query("SELECT doc_id, lang, source, n_chars FROM documents WHERE contains(text, 'http')")
+@query("SELECT doc_id, lang, source, n_chars FROM documents WHERE contains(text, ', de ')")
 def filter_contains(spark, sf):
-    return raw(spark, sf, "documents").filter(F.col("text").contains("http")).select("doc_id", "lang", "source", "n_chars")
+    return raw(spark, sf, "documents").filter(F.col("text").contains(", de ")).select("doc_id", "lang", "source", "n_chars")
 
 
 @query("SELECT doc_id, substring(text, 3, 4) AS part, substring(text, 5) AS rest FROM documents WHERE substring(text, 2, 1) = 'e'")
