@@ -77,7 +77,7 @@ def _counts(df: DataFrame) -> dict[int, int]:
 def _rows_per_cell(df: DataFrame, counts: dict[int, int]) -> int:
     """Rows that make one task's work. Where rows may be wide, a look at a few of them sets the size of a task."""
     wide = [f for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType))]
-    if not wide or max(counts.values()) <= SMALL_CELL:
+    if not wide or max(counts.values(), default=0) <= SMALL_CELL:
         return ROWS_PER_CELL
     widths = [
         F.coalesce(F.size(f.name) * 8 if isinstance(f.dataType, T.ArrayType) else F.octet_length(f.name), F.lit(0))

@@ -1,0 +1,263 @@
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+import keyed as K
+from keyed.operators import write as W
+
+ROWS = [(1, "v1"), (2, "v2"), (10, "v3"), (11, "v4"), (12, "v5"), (50, "v6"), (51, "v7"), (65, "v8"), (66, "v9"), (67, "v10")]
+SPLITS = [11, 22, 33, 44, 55, 66]
+
+
+def content(table):
+    return sorted(tuple(r) for r in table.read().collect())
+
+
+@pytest.fixture
+def table(spark, place):
+    rows = spark.createDataFrame(ROWS, "id int, value string")
+    return K.create_keyed(spark, "dir/splitted", rows, "id", prefix=place, splits=SPLITS).table
+
+
+def test_create_and_open(spark, place, table):
+    again = K.KeyedTable.open(spark, "dir/splitted", place)
+    assert content(again) == sorted(ROWS) and again.keys == ("id",) and not again.schema["id"].nullable
+    assert sorted(again.base.live) == [0, 1, 4, 5, 6]
+    layout = {r.shard: (r.rows, r.min_id, r.max_id, r.bounds) for r in K.shard_layout(again).collect()}
+    assert layout[0] == (3, 1, 10, "(-Inf - 11)") and layout[6] == (2, 66, 67, "[66 - +Inf)")
+    assert layout[5] == (1, 65, 65, "[55 - 66)")
+    with pytest.raises(FileExistsError):
+        K.create_keyed(spark, "dir/splitted", again.read(), "id", prefix=place)
+    with pytest.raises(FileNotFoundError):
+        K.KeyedTable.open(spark, "dir/none", place)
+    assert not K.KeyedTable.exists(spark, "dir/none", place)
+
+
+def test_empty_write(spark, table):
+    empty = spark.createDataFrame([], table.schema)
+    for write in (K.insert, K.upsert, K.replace_rows, K.bulk_upsert):
+        assert content(write(table, empty).table) == sorted(ROWS)
+        table = K.KeyedTable.open(spark, table.path)
+
+
+def test_insert_conflict(spark, table):
+    with pytest.raises(ValueError, match="already holds"):
+        K.insert(table, spark.createDataFrame([(3, "x"), (50, "y")], "id int, value string"))
+    done = K.insert(table, spark.createDataFrame([(3, "x"), (23, "y")], "id int, value string"))
+    assert content(done.table) == sorted([*ROWS, (3, "x"), (23, "y")]) and done.rows == 2 and done.text_bytes == 2
+    assert content(table) == sorted(ROWS)
+
+
+def test_insert_keeps_stored_files(spark, table):
+    before = set(table.read().inputFiles())
+    after = set(K.insert(table, spark.createDataFrame([(3, "x")], "id int, value string")).table.read().inputFiles())
+    assert before < after and len(after - before) == 1
+
+
+def test_upsert_touches_only_its_shards(spark, table):
+    before = set(table.read().inputFiles())
+    done = K.bulk_upsert(table, spark.createDataFrame([(12, "new"), (13, "more")], "id int, value string")).table
+    after = set(done.read().inputFiles())
+    assert len(before - after) == 1 and len(after - before) == 1
+    assert content(done) == sorted([r for r in ROWS if r[0] != 12] + [(12, "new"), (13, "more")])
+
+
+def test_upsert_overlays_written_columns(spark, place):
+    rows = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "c", 3)], "id int, s string, n int")
+    table = K.create_keyed(spark, "t", rows, "id", prefix=place, splits=[2]).table
+    batch = spark.createDataFrame([(1, None), (4, "d")], "id int, s string")
+    assert content(K.upsert(table, batch).table) == [(1, None, 1), (2, "b", 2), (3, "c", 3), (4, "d", None)]
+    table = K.KeyedTable.open(spark, "t", place)
+    batch = spark.createDataFrame([(2, 20), (5, 50)], "id int, n int")
+    assert content(K.replace_rows(table, batch).table) == [(1, None, 1), (2, None, 20), (3, "c", 3), (4, "d", None), (5, None, 50)]
+
+
+def test_duplicates_in_one_write(spark, table):
+    twice = spark.createDataFrame([(1, "x"), (1, "y"), (99, "p"), (99, "q")], "id int, value string")
+    for write in (K.upsert, K.insert, K.replace_rows):
+        with pytest.raises((PySparkException, ValueError), match="duplicate|already holds"):
+            write(table, twice)
+    with pytest.raises(PySparkException, match="duplicate"):
+        K.insert(table, twice.filter("id = 99"))
+    done = K.upsert(table, twice.withColumn("at", F.length("value") * 0 + F.ascii("value")), order_by=["at"])
+    assert (1, "y") in content(done.table) and (99, "q") in content(done.table)
+
+
+def test_hot_key_and_hot_shard(spark, place, monkeypatch):
+    """A third of a batch is one key, a third of a table is one shard: many tasks write it, nothing is lost."""
+    monkeypatch.setattr(W, "ROWS_PER_CELL", 500)
+    rows = spark.range(9000).select(F.col("id"), F.lit("x").alias("s"))
+    table = K.create_keyed(spark, "hot", rows, "id", prefix=place, splits=[100, 200, 3200]).table
+    hot = [f for f in table.read().inputFiles() if "_shard=2" in f]
+    assert len(hot) == 6 and table.read().count() == 9000
+    batch = spark.range(6000).select(F.when(F.col("id") < 2000, 7).otherwise(F.col("id")).alias("id"), F.concat(F.lit("n"), F.col("id")).alias("s"))
+    done = K.upsert(table, batch, order_by=[F.length("s"), "s"]).table
+    assert done.read().count() == 9000
+    assert done.read([("id", "=", 7)]).first().s == "n1999"
+    assert done.read().filter("s = 'x'").count() == 9000 - 4001
+
+
+def test_files_are_in_key_order(spark, table):
+    files = table.read().inputFiles()
+    for f in files:
+        ids = [r.id for r in spark.read.parquet(f).collect()]
+        assert ids == sorted(ids)
+
+
+def test_overwrite_and_truncate(spark, table):
+    kept = K.overwrite(table, table.read([("id", ">=", 50)])).table
+    assert content(kept) == [r for r in sorted(ROWS) if r[0] >= 50] and sorted(kept.base.live) == [4, 5, 6]
+    empty = K.truncate(kept).table
+    assert content(empty) == [] and empty.read().columns == ["id", "value"]
+    assert content(K.upsert(empty, spark.createDataFrame(ROWS, "id int, value string")).table) == sorted(ROWS)
+
+
+def test_failed_write_changes_nothing(spark, table):
+    bad = spark.createDataFrame([(1, "x"), (None, "y")], "id int, value string")
+    with pytest.raises(PySparkException, match="null in non-null column id"):
+        K.upsert(table, bad)
+    assert content(K.KeyedTable.open(spark, table.path)) == sorted(ROWS)
+
+
+def test_second_writer_is_refused(spark, table):
+    K.upsert(table, spark.createDataFrame([(1, "x")], "id int, value string"))
+    with pytest.raises(RuntimeError, match="another writer"):
+        K.upsert(table, spark.createDataFrame([(2, "x")], "id int, value string"))
+
+
+def test_names(spark, place, table):
+    with pytest.raises(ValueError, match="not in the table"):
+        K.upsert(table, spark.createDataFrame([(1, 2)], "id int, other int"))
+    with pytest.raises(ValueError, match="key columns"):
+        K.upsert(table, spark.createDataFrame([("x",)], "value string"))
+    done = K.upsert(table, spark.createDataFrame([("new", 1)], "value string, id int"))
+    assert (1, "new") in content(done.table)
+    rows = spark.createDataFrame(ROWS, "id int, value string")
+    assert K.create_keyed(spark, "a", rows, " , value,,,", prefix=place, store="hash", shards=2).table.keys == ("value",)
+    assert K.create_keyed(spark, "b", rows, "value, id", prefix=place).table.keys == ("value", "id")
+    with pytest.raises(ValueError):
+        K.create_keyed(spark, "c", rows, "none", prefix=place)
+
+
+def test_generated_key(spark, place):
+    rows = spark.createDataFrame(ROWS, "id int, value string")
+    table = K.create_keyed(spark, "auto", rows, prefix=place).table
+    assert table.read().columns == ["id", "value", "_spark_key"]
+    more = K.bulk_upsert(table, rows).table.read()
+    assert more.count() == 20 and more.select("_spark_key").distinct().count() == 20
+    named = K.create_keyed(spark, "named", rows, prefix=place, auto_key="pk").table
+    assert named.keys == ("pk",)
+
+
+def test_not_null_columns(spark, place):
+    schema = T.StructType([T.StructField("id", T.IntegerType(), False), T.StructField("v", T.StringType(), False)])
+    table = K.create_keyed(spark, "nn", spark.createDataFrame([(1, "a")], schema), "id", prefix=place, schema=schema).table
+    with pytest.raises(PySparkException, match="null in non-null column v"):
+        K.upsert(table, spark.createDataFrame([(2, None)], "id int, v string"))
+    with pytest.raises(PySparkException, match="null in non-null column v"):
+        K.replace_rows(table, spark.createDataFrame([(1,)], "id int"))
+
+
+def test_strict_write(spark, table):
+    with pytest.raises(TypeError, match="strict"):
+        K.upsert(table, spark.createDataFrame([(1, "x")], "id bigint, value string"), strict=True)
+    assert K.upsert(table, spark.createDataFrame([(1, "x")], "id bigint, value string")).rows == 3
+
+
+def test_text_and_bytes_mixed(spark, place):
+    table = K.create_keyed(spark, "mix", spark.createDataFrame([(1, "value1")], "id int, value string"), "id", prefix=place).table
+    table = K.insert(table, spark.createDataFrame([(2, bytearray(b"value2"))], "id int, value binary")).table
+    assert content(table) == [(1, "value1"), (2, "value2")]
+
+
+def indexed(spark, place):
+    rows = spark.createDataFrame(ROWS, "id int, value string")
+    return K.create_keyed(spark, "ix", rows, "id", prefix=place, splits=SPLITS, indexes={"value_idx": ["value"]}).table
+
+
+def test_index_follows_every_write(spark, place):
+    table = indexed(spark, place)
+
+    def check(t):
+        t = K.KeyedTable.open(spark, t.path)
+        entries = t.index("value_idx")
+        assert entries.columns == ["value", "id"]
+        assert K.bag_diff(entries, t.read(columns=["value", "id"])).isEmpty()
+        return t
+
+    table = check(table)
+    table = check(K.upsert(table, spark.createDataFrame([(1, "zz"), (2, None), (3, "v1"), (50, "v6")], "id int, value string")).table)
+    assert table.index("value_idx").count() == 11
+    table = check(K.insert(table, spark.createDataFrame([(100, "w"), (101, "a")], "id int, value string")).table)
+    table = check(K.replace_rows(table, spark.createDataFrame([(1,), (67,)], "id int")).table)
+    found = K.index_lookup(table, "value_idx", [("value", "=", "v1")])
+    assert [tuple(r) for r in found.collect()] == [(3, "v1")]
+    assert K.index_lookup(table, "value_idx", [("value", "startswith", "v")]).count() == table.read().filter("value LIKE 'v%'").count()
+    assert K.index_lookup(table, "value_idx", [("value", "=", "none")]).count() == 0
+    table = check(K.overwrite(table, table.read().filter("id > 20")).table)
+    check(K.truncate(table).table)
+
+
+def test_create_index_later(spark, table):
+    more = K.create_index(table, "by_value", ["value"], splits=["v3"]).table
+    assert more.index("by_value").count() == 10
+    with pytest.raises(ValueError):
+        K.create_index(more, "by_value", ["value"])
+    with pytest.raises(ValueError):
+        K.create_index(more, "other", ["none"])
+
+
+def test_alter(spark, table):
+    with pytest.raises(ValueError, match="exists already"):
+        K.add_columns(table, T.StructField("value", T.StringType()))
+    with pytest.raises(ValueError, match="added twice"):
+        K.add_columns(table, T.StructField("a", T.StringType()), T.StructField("a", T.StringType()))
+    with pytest.raises(ValueError, match="both added and dropped"):
+        K.alter(table, add=[T.StructField("a", T.StringType())], drop=["a"])
+    with pytest.raises(ValueError, match="no such column"):
+        K.drop_columns(table, "none")
+    with pytest.raises(ValueError, match="dropped twice"):
+        K.drop_columns(table, "value", "value")
+    with pytest.raises(ValueError, match="key column"):
+        K.drop_columns(table, "id")
+    with pytest.raises(ValueError, match="nested"):
+        K.add_columns(table, T.StructField("a", T.ArrayType(T.IntegerType())))
+    with pytest.raises(ValueError, match="non-null"):
+        K.add_columns(table, T.StructField("a", T.IntegerType(), False))
+    more = K.add_columns(table, T.StructField("a", T.IntegerType())).table
+    assert content(more)[0] == (1, "v1", None)
+    more = K.upsert(more, spark.createDataFrame([(1, 5)], "id int, a int")).table
+    assert content(more)[:2] == [(1, "v1", 5), (2, "v2", None)]
+
+
+def test_dropped_values_do_not_come_back(spark, table):
+    less = K.drop_columns(table, "value").table
+    assert content(less)[0] == (1,)
+    back = K.add_columns(less, T.StructField("value", T.StringType())).table
+    assert content(back) == [(i, None) for i, _ in sorted(ROWS)]
+
+
+def test_reshard(spark, table):
+    three = K.reshard(table, splits=[10, 60]).table
+    assert sorted(three.base.live) == [0, 1, 2] and content(three) == sorted(ROWS)
+    hashed = K.reshard(three, store="hash", shards=3).table
+    assert hashed.layout.store == "hash" and content(hashed) == sorted(ROWS)
+    assert K.reshard(hashed, store="range", shards=4).table.layout.shards == 4
+    by_size = K.reshard(K.KeyedTable.open(spark, table.path), size_mb=100).table
+    assert by_size.layout.shards == 1 and content(by_size) == sorted(ROWS)
+
+
+def test_batches(spark, place, monkeypatch):
+    from keyed.operators import report
+
+    rows = spark.range(5000).select("id", F.lit("xxxxx").alias("s"))
+    table = K.create_keyed(spark, "b", rows, "id", prefix=place, splits=[100, 1000]).table
+    placed = table.read(with_shard=True)
+    whole = K.rank_in_shard(placed, ["id"], "_shard")
+    monkeypatch.setattr(report, "ROWS_PER_BIN", 300)
+    cut = K.rank_in_shard(placed, ["id"], "_shard")
+    assert K.bag_diff(whole, cut).isEmpty() and cut.count() == 5000
+    packed = K.batch_pack(placed, ["id"], "_shard", rows=700, max_bytes=500).groupBy("_shard", "batch", "piece").count().collect()
+    assert max(r["count"] for r in packed) == 100 and sum(r["count"] for r in packed) == 5000
+    assert sorted((r["_shard"], r["batch"]) for r in packed if r["piece"] == 0) == [(0, 0), (1, 0), (1, 1), *[(2, i) for i in range(6)]]
