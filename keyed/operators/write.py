@@ -30,10 +30,10 @@ AUTO_KEY = "_spark_key"
 
 
 class WriteResult:
-    """The table after a write, with the rows and text bytes its tasks wrote."""
+    """The table after a write, with the rows its tasks wrote and the bytes of their text, binary and array values."""
 
-    def __init__(self, table: KeyedTable, rows: int = 0, text_bytes: int = 0):
-        self.table, self.rows, self.text_bytes = table, rows, text_bytes
+    def __init__(self, table: KeyedTable, rows: int = 0, payload_bytes: int = 0):
+        self.table, self.rows, self.payload_bytes = table, rows, payload_bytes
 
 
 def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
@@ -74,21 +74,30 @@ def _counts(df: DataFrame) -> dict[int, int]:
     return {r[0]: r[1] for r in df.groupBy(SHARD).count().collect()}
 
 
-def _rows_per_cell(df: DataFrame, counts: dict[int, int]) -> int:
-    """Rows that make one task's work. Where rows may be wide, a look at a few of them sets the size of a task."""
-    wide = [f for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType))]
-    if not wide or max(counts.values(), default=0) <= SMALL_CELL:
+def _payload(schema: T.StructType) -> Column:
+    """Bytes of a row's values of varying length."""
+    sizes = []
+    for f in schema:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(f.name), F.lit(0)))
+        elif isinstance(f.dataType, T.ArrayType):
+            sizes.append(F.coalesce(F.size(f.name) * 8, F.lit(0)))
+    return sum(sizes, F.lit(0)).cast("bigint")
+
+
+def _rows_per_cell(rows: DataFrame, shards: Shards, counts: dict[int, int]) -> int:
+    """Rows that make one task's work, by the width of stored rows; a new table looks at a few rows instead."""
+    if max(counts.values(), default=0) <= SMALL_CELL:
         return ROWS_PER_CELL
-    widths = [
-        F.coalesce(F.size(f.name) * 8 if isinstance(f.dataType, T.ArrayType) else F.octet_length(f.name), F.lit(0))
-        for f in wide
-    ]
-    seen = df.select(*[f.name for f in wide]).limit(1000).agg(F.avg(sum(widths, F.lit(8 * len(df.columns))))).first()[0]
-    return int(min(ROWS_PER_CELL, max(SMALL_CELL, BYTES_PER_CELL / (seen or 1))))
+    width = shards.row_bytes
+    if not width:
+        schema = T.StructType([f for f in rows.schema if f.name in shards.schema.names])
+        seen = [r[0] for r in rows.select(_payload(schema)).head(1000)]
+        width = 8 * len(rows.columns) + sum(seen) // max(1, len(seen))
+    return min(ROWS_PER_CELL, max(SMALL_CELL, BYTES_PER_CELL // width))
 
 
-def _place(df: DataFrame, shards: Shards, counts: dict[int, int]) -> DataFrame:
-    per_cell = _rows_per_cell(df, counts)
+def _place(df: DataFrame, shards: Shards, counts: dict[int, int], per_cell: int) -> DataFrame:
     pieces = [0] * shards.layout.shards
     for shard, rows in counts.items():
         pieces[shard] = max(1, -(-rows // per_cell))
@@ -109,19 +118,29 @@ def _duplicate_guard(w) -> Column:
     return F.when(twice, F.raise_error(F.lit("duplicate key in one write; give order_by")).cast("boolean")).otherwise(F.lit(True))
 
 
-def _merged(spark, shards: Shards, new: DataFrame, deleted: DataFrame | None, keep_unwritten: bool):
-    """Rows of the touched shards after the batch: the newest row per key, unwritten columns from the old row."""
+def _merged(
+    spark,
+    shards: Shards,
+    new: DataFrame,
+    deleted: DataFrame | None = None,
+    keep_unwritten: bool = False,
+    sizing: DataFrame | None = None,
+):
+    """Rows of the touched shards after the batch: the newest row per key, unwritten columns from the old row.
+
+    ``sizing`` holds at least the keys of ``new`` and is cheaper to count.
+    """
     changes = new.withColumn(TAG, F.lit(NEW))
     if deleted is not None:
         changes = changes.unionByName(deleted.withColumn(TAG, F.lit(DELETED)), allowMissingColumns=True)
     changes = changes.withColumn(SHARD, shards.shard_column())
-    counts = _counts(changes.select(SHARD))
+    counts = _counts((changes if sizing is None else sizing).select(shards.shard_column().alias(SHARD)))
     old = shards.read(spark, [s for s in counts if s in shards.live])
     for shard, rows in _counts(old.select(SHARD)).items():
         counts[shard] += rows
     every = old.withColumn(TAG, F.lit(OLD)).unionByName(changes, allowMissingColumns=True)
     w = _per_key(shards)
-    placed = _place(every, shards, counts)
+    placed = _place(every, shards, counts, _rows_per_cell(new, shards, counts))
     kept = [c for c in shards.schema.names if c not in new.columns] if keep_unwritten else []
     ranked = placed.select(
         *[c for c in placed.columns if c not in kept],
@@ -134,25 +153,27 @@ def _merged(spark, shards: Shards, new: DataFrame, deleted: DataFrame | None, ke
 
 
 def _save(spark, shards: Shards, rows: DataFrame, touched: set[int] | None) -> tuple[Shards, int, int]:
-    texts = [f.name for f in shards.schema if isinstance(f.dataType, T.StringType)]
-    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0))
     seen = Observation()
     gen = new_generation()
     guarded = not_null(rows, shards.schema).select(SHARD, *shards.schema.names)
-    counted = guarded.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(size.cast("bigint")).alias("bytes"))
+    counted = guarded.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_payload(shards.schema)).alias("bytes"))
     counted.write.partitionBy(SHARD).parquet(f"{shards.folder}/_gen={gen}")
-    after = shards.after(gen, shards_on_disk(spark, shards.folder, gen), touched)
-    return after, seen.get["rows"], seen.get["bytes"] or 0
+    count, size = seen.get["rows"], seen.get["bytes"] or 0
+    width = 8 * len(shards.schema) + size // count if count else 0
+    return shards.after(gen, shards_on_disk(spark, shards.folder, gen), touched, width), count, size
 
 
-def _fresh(spark, shards: Shards, df: DataFrame, touched: set[int] | None) -> tuple[Shards, int, int]:
+def _fresh(
+    spark, shards: Shards, df: DataFrame, touched: set[int] | None, sizing: DataFrame | None = None
+) -> tuple[Shards, int, int]:
     """Write rows that meet no stored row."""
     routed = df.withColumn(SHARD, shards.shard_column())
-    counts = _counts(routed.select(SHARD))
+    counts = _counts((df if sizing is None else sizing).select(shards.shard_column().alias(SHARD)))
     if not counts:
         return (shards if touched is not None else replace(shards, live={}, written={})), 0, 0
     w = _per_key(shards)
-    placed = _place(routed.withColumn(TAG, F.lit(NEW)), shards, counts)
+    per_cell = _rows_per_cell(df if sizing is None else sizing, shards, counts)
+    placed = _place(routed.withColumn(TAG, F.lit(NEW)), shards, counts, per_cell)
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in shards.schema if f.name not in df.columns]
     rows = placed.select("*", *missing, _duplicate_guard(w).alias("_single")).filter("_single")
     return _save(spark, shards, rows.select(SHARD, *shards.schema.names), touched)
@@ -164,35 +185,38 @@ def _require_keys(table: KeyedTable, df: DataFrame) -> None:
         raise ValueError(f"key columns {absent} are not in the written columns")
 
 
-def _prepared(table: KeyedTable, df: DataFrame, order_by, strict: bool, auto_key: str) -> DataFrame:
-    unique = False
+def _prepared(table: KeyedTable, df: DataFrame, order_by, strict: bool, auto_key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows to write, and rows with the same keys for counting: those need no pass for the last row per key."""
     if table.keys == (auto_key,) and auto_key not in df.columns:
-        df, unique = df.withColumn(auto_key, F.expr("uuid()")), True
+        df, order_by = df.withColumn(auto_key, F.expr("uuid()")), None
     extra = [c for c in (order_by or []) if isinstance(c, str) and c not in table.schema.names]
-    if order_by and not unique:
-        _require_keys(table, df)
-        df = latest(df, table.keys, order_by).drop(*extra)
-    df = by_name(df, table.schema, strict)
-    _require_keys(table, df)
-    return not_null(df, T.StructType([table.schema[k] for k in table.keys]))
+    named = by_name(df.drop(*extra), table.schema, strict)
+    absent = [k for k in table.keys if k not in named.columns]
+    if absent:
+        raise ValueError(f"key columns {absent} are not in the written columns")
+    keys = T.StructType([table.schema[k] for k in table.keys])
+    if not order_by:
+        return not_null(named, keys), named
+    last = latest(df, table.keys, order_by).drop(*extra)
+    return not_null(by_name(last, table.schema, strict), keys), named
 
 
 def insert(table: KeyedTable, df: DataFrame, order_by=None, strict=False, auto_key=AUTO_KEY) -> WriteResult:
     """Add rows; an existing key is an error. Stored rows are not rewritten, only their keys are looked up."""
-    new = _prepared(table, df, order_by, strict, auto_key)
-    routed = new.withColumn(SHARD, table.base.shard_column())
-    touched = [r[0] for r in routed.select(SHARD).distinct().collect()]
-    stored = table.base.read(table.spark, [s for s in touched if s in table.base.live]).select(*table.keys)
-    if not stored.join(new.select(*table.keys), list(table.keys), "left_semi").isEmpty():
+    new, sizing = _prepared(table, df, order_by, strict, auto_key)
+    keys = list(table.keys)
+    touched = [r[0] for r in sizing.select(table.base.shard_column()).distinct().collect()]
+    stored = table.base.read(table.spark, [s for s in touched if s in table.base.live]).select(*keys)
+    if not stored.join(sizing.select(*keys), keys, "left_semi").isEmpty():
         raise ValueError("insert met a key that the table already holds")
-    base, rows, size = _fresh(table.spark, table.base, new, touched=set())
-    indexes = {n: _fresh(table.spark, s, _index_rows(new, s), touched=set())[0] for n, s in table.indexes.items()}
+    base, rows, size = _fresh(table.spark, table.base, new, set(), sizing)
+    indexes = {n: _fresh(table.spark, s, _index_rows(new, s), set())[0] for n, s in table.indexes.items()}
     return WriteResult(table.commit(base=base, indexes=indexes), rows, size)
 
 
 def upsert(table: KeyedTable, df: DataFrame, order_by=None, strict=False, auto_key=AUTO_KEY) -> WriteResult:
     """Written columns overlay the row with the same key (a written null wins), other columns stay, new keys are added."""
-    return _write_with_indexes(table, _prepared(table, df, order_by, strict, auto_key), keep_unwritten=True)
+    return _write_with_indexes(table, *_prepared(table, df, order_by, strict, auto_key), keep_unwritten=True)
 
 
 def bulk_upsert(table: KeyedTable, df: DataFrame, order_by=None, strict=False, auto_key=AUTO_KEY) -> WriteResult:
@@ -202,13 +226,13 @@ def bulk_upsert(table: KeyedTable, df: DataFrame, order_by=None, strict=False, a
 
 def replace_rows(table: KeyedTable, df: DataFrame, order_by=None, strict=False, auto_key=AUTO_KEY) -> WriteResult:
     """The whole row is replaced; columns that are not written become null."""
-    return _write_with_indexes(table, _prepared(table, df, order_by, strict, auto_key), keep_unwritten=False)
+    return _write_with_indexes(table, *_prepared(table, df, order_by, strict, auto_key), keep_unwritten=False)
 
 
 def overwrite(table: KeyedTable, df: DataFrame, order_by=None, strict=False, auto_key=AUTO_KEY) -> WriteResult:
     """Only the new rows remain. Old files stay until nobody needs them, so the table may be read to build ``df``."""
-    new = _prepared(table, df, order_by, strict, auto_key)
-    base, rows, size = _fresh(table.spark, table.base, new, touched=None)
+    new, sizing = _prepared(table, df, order_by, strict, auto_key)
+    base, rows, size = _fresh(table.spark, table.base, new, None, sizing)
     emptied = replace(table, base=base)
     indexes = {n: _fresh(table.spark, s, _index_rows(emptied.read(), s), None)[0] for n, s in table.indexes.items()}
     return WriteResult(table.commit(base=base, indexes=indexes), rows, size)
@@ -225,20 +249,20 @@ def _index_rows(df: DataFrame, index: Shards) -> DataFrame:
     return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in index.schema])
 
 
-def _write_with_indexes(table: KeyedTable, new: DataFrame, keep_unwritten: bool) -> WriteResult:
+def _write_with_indexes(table: KeyedTable, new: DataFrame, sizing: DataFrame, keep_unwritten: bool) -> WriteResult:
     spark = table.spark
-    merged, touched = _merged(spark, table.base, new, None, keep_unwritten)
+    merged, touched = _merged(spark, table.base, new, None, keep_unwritten, sizing)
     if not touched:
         return WriteResult(table)
     base, rows, size = _save(spark, table.base, merged, touched)
     indexes = {}
     for name, index in table.indexes.items():
-        changed = new.select(*table.keys)
+        changed = sizing.select(*table.keys)
         before = table.base.read(spark, [s for s in touched if s in table.base.live])
         after = base.read(spark, [s for s in touched if s in base.live])
         removed = before.join(changed, list(table.keys), "left_semi").select(*index.schema.names)
         added = after.join(changed, list(table.keys), "left_semi").select(*index.schema.names)
-        entries, index_touched = _merged(spark, index, added, removed, keep_unwritten=False)
+        entries, index_touched = _merged(spark, index, added, removed)
         indexes[name] = _save(spark, index, entries, index_touched)[0]
     return WriteResult(table.commit(base=base, indexes=indexes), rows, size)
 
@@ -292,6 +316,7 @@ def create_keyed(
         [T.StructField(f.name, f.dataType, f.nullable and f.name not in names, _metadata(given, f.name)) for f in df.schema]
     )
     check_names(declared)
+    sizing = df
     if order_by:
         df = latest(df, names, order_by)
     df = not_null(df, T.StructType([declared[n] for n in names]))
@@ -299,9 +324,9 @@ def create_keyed(
     if store == "hash":
         layout = Layout.by_hash(count)
     else:
-        layout = Layout.by_splits(splits if splits is not None else derive_splits(df, names, count))
+        layout = Layout.by_splits(splits if splits is not None else derive_splits(sizing, names, count))
     base = Shards(f"{path}/data", declared, tuple(names), layout)
-    base, rows, size = _fresh(spark, base, df, touched=set())
+    base, rows, size = _fresh(spark, base, df, set(), sizing)
     table = KeyedTable(spark, path, 0, base)
     built = {n: build_index(table, n, columns) for n, columns in (indexes or {}).items()}
     return WriteResult(table.commit(indexes=built), rows, size)

@@ -24,11 +24,15 @@ def key_struct(columns: Sequence[Column | str]) -> Column:
     return F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(columns)])
 
 
-def struct_array(rows: Sequence[tuple], types: Sequence[T.DataType]) -> Column:
-    """Constant array of key tuples; folded to one literal, so large tables of splits stay cheap to plan."""
-    fields = T.StructType([T.StructField(f"k{i}", t) for i, t in enumerate(types)])
-    data = [{f"k{i}": v for i, v in enumerate(row)} for row in rows]
-    return F.from_json(F.lit(json.dumps(data, default=str)), T.ArrayType(fields))
+def tuple_array(rows: Sequence[tuple], types: Sequence[T.DataType]) -> Column:
+    """Constant array of keys (plain values for one key column, structs for several), folded to one literal."""
+    if len(types) == 1:
+        data, element = [row[0] for row in rows], types[0]
+    else:
+        data = [{f"k{i}": v for i, v in enumerate(row)} for row in rows]
+        element = T.StructType([T.StructField(f"k{i}", t) for i, t in enumerate(types)])
+    wrapped = T.StructType([T.StructField("keys", T.ArrayType(element))])
+    return F.from_json(F.lit(json.dumps({"keys": data}, default=str)), wrapped)["keys"]
 
 
 def int_array(values: Sequence[int]) -> Column:
@@ -43,19 +47,23 @@ def splits_before(keys: Sequence[Column], types: Sequence[T.DataType], splits: S
 
 
 def count_splits(keys: Sequence[Column], types: Sequence[T.DataType], splits: Sequence[tuple], at: bool = True) -> Column:
-    """Number of rising tuples below (``at``: or equal to) the key, found by halving; nulls sort lowest."""
-    key, points = key_struct(keys), struct_array(splits, types)
-
-    def step(acc: Column, _: Column) -> Column:
-        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
-        right = F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))
-        left = F.struct(acc["lo"].alias("lo"), mid.alias("hi"))
-        below = F.get(points, mid) <= key if at else F.get(points, mid) < key
-        return F.when(acc["lo"] >= acc["hi"], acc).when(below, right).otherwise(left)
-
-    rounds = math.ceil(math.log2(len(splits) + 1))
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(splits)).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step, lambda acc: acc["lo"])
+    """Number of rising tuples below (``at``: or equal to) the key, nulls lowest.
+
+    A CASE tree finds the block, halving within the block finds the place: a dozen comparisons for 100,000 splits.
+    """
+    block = -(-len(splits) // (TREE_SPLITS + 1))
+    pivots = [splits[i - 1] for i in range(block, len(splits) + 1, block)] if at else []
+    start = _split_tree(keys, types, pivots, 0, len(pivots)) * block
+    reach = block if at else len(splits)
+    jumps = F.array(*[F.lit(1 << i) for i in reversed(range(reach.bit_length()))])
+    key, points = keys[0] if len(types) == 1 else key_struct(keys), tuple_array(splits, types)
+
+    def jump(found: Column, width: Column) -> Column:
+        point = F.get(points, found + width - 1)
+        fits = (found + width <= len(splits)) & ((point <= key) if at else (point < key))
+        return F.when(fits, found + width).otherwise(found)
+
+    return F.aggregate(jumps, start.cast("int"), jump)
 
 
 def _split_tree(keys, types, splits, lo: int, hi: int) -> Column:

@@ -56,6 +56,7 @@ class Shards:
     layout: Layout
     live: dict[int, tuple[str, ...]] = field(default_factory=dict)
     written: dict[str, int] = field(default_factory=dict)
+    row_bytes: int = 0
 
     def key_types(self) -> list[T.DataType]:
         return [self.schema[k].dataType for k in self.keys]
@@ -86,14 +87,14 @@ class Shards:
         stored = T.StructType(list(schema.fields)).add(GEN, T.StringType())
         return spark.read.schema(stored).option("basePath", self.folder).parquet(*paths).drop(GEN)
 
-    def after(self, gen: str, shards: Sequence[int], touched: Iterable[int] | None) -> Shards:
+    def after(self, gen: str, shards: Sequence[int], touched: Iterable[int] | None, row_bytes: int) -> Shards:
         """The set once a generation is written: touched shards are replaced (None: all), or appended to if empty."""
         live = {} if touched is None else {s: g for s, g in self.live.items() if s not in set(touched)}
         for s in shards:
             live[s] = live.get(s, ()) + (gen,)
         used = {g for gens in live.values() for g in gens}
         written = {g: n for g, n in {**self.written, gen: len(shards)}.items() if g in used}
-        return replace(self, live=live, written=written)
+        return replace(self, live=live, written=written, row_bytes=row_bytes or self.row_bytes)
 
     def to_dict(self) -> dict:
         generations = sorted(self.written)
@@ -106,6 +107,7 @@ class Shards:
             "shards": self.layout.shards,
             "splits": [[_encode(v) for v in s] for s in self.layout.splits],
             "generations": [[g, self.written[g]] for g in generations],
+            "row_bytes": self.row_bytes,
             "live": {str(s): [number[g] for g in gens] for s, gens in self.live.items()},
         }
 
@@ -123,6 +125,7 @@ class Shards:
             Layout(d["store"], d["shards"], splits),
             {int(s): tuple(names[i] for i in gens) for s, gens in d["live"].items()},
             dict(d["generations"]),
+            d["row_bytes"],
         )
 
 

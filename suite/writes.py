@@ -156,7 +156,7 @@ def write_observed(spark, sf):
     rows = raw(spark, sf, "customer")
     table = fresh(spark, sf, "observed", rows.limit(0), "c_custkey", splits=[500, 1000])
     done = K.upsert(table, rows)
-    return spark.createDataFrame([(done.rows, done.text_bytes)], "rows_written bigint, text_bytes bigint")
+    return spark.createDataFrame([(done.rows, done.payload_bytes)], "rows_written bigint, text_bytes bigint")
 
 
 @query(

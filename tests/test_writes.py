@@ -45,7 +45,7 @@ def test_insert_conflict(spark, table):
     with pytest.raises(ValueError, match="already holds"):
         K.insert(table, spark.createDataFrame([(3, "x"), (50, "y")], "id int, value string"))
     done = K.insert(table, spark.createDataFrame([(3, "x"), (23, "y")], "id int, value string"))
-    assert content(done.table) == sorted([*ROWS, (3, "x"), (23, "y")]) and done.rows == 2 and done.text_bytes == 2
+    assert content(done.table) == sorted([*ROWS, (3, "x"), (23, "y")]) and done.rows == 2 and done.payload_bytes == 2
     assert content(table) == sorted(ROWS)
 
 
