@@ -57,7 +57,7 @@ def spark_type(logical: str) -> T.DataType:
 def logical_type(dtype: T.DataType, signed_dates: bool = True) -> str:
     """Logical type of a new column; nested types have none. Unsigned types are only ever declared."""
     if isinstance(dtype, T.DecimalType):
-        return "Int64" if dtype.scale == 0 and dtype.precision <= 18 else f"Decimal({dtype.precision},{dtype.scale})"
+        return "Int64" if dtype.scale == 0 and dtype.precision <= 21 else f"Decimal({dtype.precision},{dtype.scale})"
     plain = {
         T.BooleanType: "Bool",
         T.ByteType: "Int8",
@@ -83,3 +83,18 @@ def logical_type(dtype: T.DataType, signed_dates: bool = True) -> str:
 def declare(name: str, logical: str, nullable: bool = True) -> T.StructField:
     """A column with a declared logical type."""
     return T.StructField(name, spark_type(logical), nullable, {"logical": logical})
+
+
+def new_table_schema(schema: T.StructType, signed_dates: bool = True) -> T.StructType:
+    """Types of a table made from a DataFrame: whole decimals of up to 21 digits become 64-bit integers (too large a
+    value is an error), and without ``signed_dates`` dates and timestamps before 1970 are refused."""
+    fields = []
+    for f in schema:
+        declared = (f.metadata or {}).get("logical")
+        whole = isinstance(f.dataType, T.DecimalType) and logical_type(f.dataType) == "Int64"
+        dated = isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)) and not signed_dates
+        if declared or whole or dated:
+            fields.append(declare(f.name, declared or logical_type(f.dataType, signed_dates), f.nullable))
+        else:
+            fields.append(T.StructField(f.name, f.dataType, f.nullable))
+    return T.StructType(fields)

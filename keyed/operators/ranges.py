@@ -245,9 +245,15 @@ def intersect_ranges(a: DataFrame, b: DataFrame) -> DataFrame:
     def starts(df: DataFrame, s: str) -> DataFrame:
         return df.select("*", F.inline(_ancestors(F.col(f"{s}start"), levels)))
 
+    def found(points: DataFrame, cover: DataFrame) -> DataFrame:
+        # There are at most two nodes per bin, so this side is small whatever the tables hold. Without it every start
+        # would be shuffled to the top nodes, where hardly any range is.
+        used = F.broadcast(cover.select(*nodes).distinct())
+        return points.join(used, nodes, "left_semi").join(cover, nodes)
+
     # Null structs do not occur: an unbounded start is a struct of nulls, which sorts before every bounded start.
-    a_late = starts(left, "a_").join(covers(right, "b_"), nodes).filter(F.col("b_lo") <= F.col("a_lo"))
-    b_late = starts(right, "b_").join(covers(left, "a_"), nodes).filter(F.col("a_lo") < F.col("b_lo"))
+    a_late = found(starts(left, "a_"), covers(right, "b_")).filter(F.col("b_lo") <= F.col("a_lo"))
+    b_late = found(starts(right, "b_"), covers(left, "a_")).filter(F.col("a_lo") < F.col("b_lo"))
     pairs = a_late.unionByName(b_late).drop(*nodes)
     same_lo, same_hi = F.col("a_lo") == F.col("b_lo"), F.col("a_hi") == F.col("b_hi")
     a_later = F.col("a_lo") > F.col("b_lo")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.coerce import coerce
+from ..functions.types import new_table_schema
 from ..plans.layout import Layout, derive_splits, int_array, shard_count
 from ..sources import files
 from ..sources.table import LOGICAL, SHARD, KeyedTable, Shards, check_names, new_generation, shards_on_disk
@@ -290,6 +291,7 @@ def create_keyed(
     auto_key: str = AUTO_KEY,
     order_by: Sequence[Column | str] | None = None,
     schema: T.StructType | None = None,
+    signed_dates: bool = True,
 ) -> WriteResult:
     """Create a table from a DataFrame. Without keys a generated text key is added.
 
@@ -302,8 +304,8 @@ def create_keyed(
     if KeyedTable.exists(spark, path):
         raise FileExistsError(f"a keyed table is already at {path}")
     names = key_names(keys) if isinstance(keys, str) else list(keys or [])
-    if schema is not None:
-        df = coerce(df, schema)
+    given = new_table_schema(schema or df.schema, signed_dates)
+    df = coerce(df, given)
     if not names:
         if auto_key in df.columns:
             raise ValueError(f"column {auto_key} exists already; name it as the key")
@@ -311,7 +313,6 @@ def create_keyed(
     absent = [n for n in names if n not in df.columns]
     if absent or len(set(names)) != len(names):
         raise ValueError(f"key columns {names} must exist once in {df.columns}")
-    given = schema or df.schema
     declared = T.StructType(
         [T.StructField(f.name, f.dataType, f.nullable and f.name not in names, _metadata(given, f.name)) for f in df.schema]
     )

@@ -63,7 +63,8 @@ def count_splits(keys: Sequence[Column], types: Sequence[T.DataType], splits: Se
         fits = (found + width <= len(splits)) & ((point <= key) if at else (point < key))
         return F.when(fits, found + width).otherwise(found)
 
-    return F.aggregate(jumps, start.cast("int"), jump)
+    # Never null, so that a join on it does not compute it a second time to filter nulls out.
+    return F.coalesce(F.aggregate(jumps, start.cast("int"), jump), F.lit(0))
 
 
 def _split_tree(keys, types, splits, lo: int, hi: int) -> Column:

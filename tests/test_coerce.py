@@ -109,7 +109,7 @@ def test_strict_and_missing(spark):
 
 def test_type_names():
     assert K.spark_type("Decimal(22,9)") == T.DecimalType(22, 9)
-    assert K.logical_type(T.DecimalType(18, 0)) == "Int64"
+    assert K.logical_type(T.DecimalType(21, 0)) == "Int64" and K.logical_type(T.DecimalType(22, 0)) == "Decimal(22,0)"
     assert K.logical_type(T.DecimalType(22, 9)) == "Decimal(22,9)"
     assert K.logical_type(T.DateType()) == "Date32" and K.logical_type(T.DateType(), False) == "Date"
     with pytest.raises(ValueError):

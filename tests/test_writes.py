@@ -261,3 +261,21 @@ def test_batches(spark, place, monkeypatch):
     packed = K.batch_pack(placed, ["id"], "_shard", rows=700, max_bytes=500).groupBy("_shard", "batch", "piece").count().collect()
     assert max(r["count"] for r in packed) == 100 and sum(r["count"] for r in packed) == 5000
     assert sorted((r["_shard"], r["batch"]) for r in packed if r["piece"] == 0) == [(0, 0), (1, 0), (1, 1), *[(2, i) for i in range(6)]]
+
+
+def test_types_of_a_new_table(spark, place):
+    import datetime as dt
+    from decimal import Decimal
+
+    days = [dt.date(2025, 3, 5), dt.date(1960, 4, 4), dt.date(2050, 5, 25)]
+    rows = spark.createDataFrame(list(enumerate(days)), "id int, day date")
+    with pytest.raises(PySparkException, match="out of range for Date"):
+        K.create_keyed(spark, "unsigned", rows, "id", prefix=place, signed_dates=False)
+    assert not K.KeyedTable.exists(spark, "unsigned", place)
+    assert K.create_keyed(spark, "signed", rows, "id", prefix=place).table.read().count() == 3
+    late = K.create_keyed(spark, "late", rows.filter("id <> 1"), "id", prefix=place, signed_dates=False).table
+    with pytest.raises(PySparkException, match="out of range for Date"):
+        K.upsert(late, rows)
+    whole = spark.createDataFrame([(1, Decimal(12))], "id int, n decimal(20,0)")
+    table = K.create_keyed(spark, "whole", whole, "id", prefix=place).table
+    assert table.schema["n"].dataType == T.LongType() and content(table) == [(1, 12)]
