@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.bounds import cut_key
-from ..plans.layout import Layout, count_splits, key_struct, splits_before
+from ..plans.layout import TREE_SPLITS, Layout, count_splits, key_struct, splits_before
 from ..sources.table import SHARD, KeyedTable
 
-MAX_BINS = 4096
+BOUNDS_PER_BIN = 16
+MAX_BINS = 65_536
 
 
 def cut_at_null(parts: Sequence[Column]) -> list[Column]:
@@ -76,7 +77,8 @@ def bound_splits(ranges: Sequence[DataFrame], max_bins: int = MAX_BINS) -> list[
     names = ends.columns
     ends = ends.filter(F.col(names[0]).isNotNull())
     rows = ends.count()
-    picked = ends if rows <= max_bins else ends.sample(fraction=max_bins / rows, seed=7)
+    bins = min(max_bins, max(TREE_SPLITS, rows // BOUNDS_PER_BIN))
+    picked = ends if rows <= bins else ends.sample(fraction=bins / rows, seed=7)
     points = {tuple(v for v in r if v is not None) for r in picked.distinct().collect()}
     return sorted(points, key=lambda s: cut_key((s, -1)))
 
@@ -91,7 +93,7 @@ def route_rows(rows: DataFrame, keys: Sequence[str], ranges: DataFrame, how: str
     splits = bound_splits([ranges])
     lo, hi = cut_at_null(_parts(ranges, "lo")), cut_at_null(_parts(ranges, "hi"))
     first = F.when(lo[0].isNull(), F.lit(0)).otherwise(splits_before(lo, types, splits))
-    last = F.when(hi[0].isNull(), F.lit(len(splits))).otherwise(_last_count(hi, types, splits, F.lit(True)))
+    last = F.when(hi[0].isNull(), F.lit(len(splits))).otherwise(_last_count(hi, types, splits, None))
     binned = ranges.withColumn("_bin", F.explode(F.sequence(first, F.greatest(first, last)))).alias("r")
     key_columns = [F.col(k).cast(t) for k, t in zip(keys, types)]
     located = rows.withColumn("_bin", splits_before(key_columns, types, splits))
@@ -110,14 +112,16 @@ def _by_length(parts: Sequence[Column], build) -> Column:
     return out
 
 
-def _last_count(hi: Sequence[Column], types: Sequence[T.DataType], splits: Sequence[tuple], incl: Column) -> Column:
-    """Number of splits before the end of an upper bound; an inclusive prefix reaches past all its keys."""
+def _last_count(hi: Sequence[Column], types: Sequence[T.DataType], splits: Sequence[tuple], incl: Column | None) -> Column:
+    """Number of splits before the end of an upper bound; an inclusive prefix (``incl`` None: any) reaches past all
+    its keys."""
     if not splits:
         return F.lit(0)
 
     def for_length(m: int) -> Column:
         short = [s[:m] for s in splits]
-        return F.when(incl, count_splits(hi[:m], types[:m], short, True)).otherwise(count_splits(hi[:m], types[:m], short, False))
+        through = count_splits(hi[:m], types[:m], short)
+        return through if incl is None else F.when(incl, through).otherwise(count_splits(hi[:m], types[:m], short, False))
 
     return _by_length(hi, for_length)
 
