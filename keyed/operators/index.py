@@ -6,24 +6,10 @@ from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 from ..plans.bounds import KeyRange, key_range, range_condition
-from ..plans.layout import Layout, derive_splits
-from ..sources.table import SHARD, KeyedTable, Shards
-from .write import WriteResult, _fresh
-
-
-def build_index(table: KeyedTable, name: str, columns: Sequence[str], splits: Sequence | None = None) -> Shards:
-    absent = [c for c in columns if c not in table.schema.names]
-    if absent or not columns:
-        raise ValueError(f"index columns {list(columns)} must exist in the table")
-    keys = tuple(dict.fromkeys([*columns, *table.keys]))
-    schema = T.StructType([T.StructField(k, table.schema[k].dataType, table.schema[k].nullable) for k in keys])
-    rows = table.read(columns=keys)
-    points = splits if splits is not None else derive_splits(rows, keys, len(table.base.live))
-    index = Shards(f"{table.path}/index-{name}", schema, keys, Layout.by_splits(points))
-    return _fresh(table.spark, index, rows, touched=set())[0]
+from ..sources.table import SHARD, KeyedTable
+from .write import WriteResult, build_index
 
 
 def create_index(table: KeyedTable, name: str, columns: Sequence[str], splits: Sequence | None = None) -> WriteResult:

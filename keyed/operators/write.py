@@ -8,8 +8,10 @@ only), and only shards that the batch touches are read or rewritten.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from ..functions.coerce import coerce
 from ..functions.types import new_table_schema
 from ..plans.layout import Layout, derive_splits, int_array, shard_count
 from ..sources import files
-from ..sources.table import LOGICAL, SHARD, KeyedTable, Shards, check_names, new_generation, shards_on_disk
+from ..sources.table import SHARD, KeyedTable, Shards, check_names, new_generation, shards_on_disk
 
 CELL, TAG, RANK = "_cell", "_tag", "_rank"
 OLD, DELETED, NEW = 0, 1, 2
@@ -70,6 +72,22 @@ def by_name(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFr
     return coerce(df.select(*present.names), present, strict=strict)
 
 
+@contextmanager
+def _generated_keys(spark: SparkSession, path: str, df: DataFrame, name: str):
+    """The rows with a random text key each, read back from files.
+
+    A task that is run again would draw other keys; rows routed by them could be lost or doubled if that happened in the
+    middle of a shuffle. Written once, they stay as they are.
+    """
+    staged = f"{path}/staging-{new_generation()}"
+    try:
+        df.withColumn(name, F.expr("uuid()")).write.parquet(staged)
+        schema = T.StructType([*df.schema.fields, T.StructField(name, T.StringType(), False)])
+        yield spark.read.schema(schema).parquet(staged)
+    finally:
+        files.remove(spark, staged)
+
+
 def _counts(df: DataFrame) -> dict[int, int]:
     """Rows per shard; as many numbers as the layout has shards."""
     return {r[0]: r[1] for r in df.groupBy(SHARD).count().collect()}
@@ -186,10 +204,8 @@ def _require_keys(table: KeyedTable, df: DataFrame) -> None:
         raise ValueError(f"key columns {absent} are not in the written columns")
 
 
-def _prepared(table: KeyedTable, df: DataFrame, order_by, strict: bool, auto_key: str) -> tuple[DataFrame, DataFrame]:
+def _prepared(table: KeyedTable, df: DataFrame, order_by, strict: bool) -> tuple[DataFrame, DataFrame]:
     """The rows to write, and rows with the same keys for counting: those need no pass for the last row per key."""
-    if table.keys == (auto_key,) and auto_key not in df.columns:
-        df, order_by = df.withColumn(auto_key, F.expr("uuid()")), None
     extra = [c for c in (order_by or []) if isinstance(c, str) and c not in table.schema.names]
     named = by_name(df.drop(*extra), table.schema, strict)
     absent = [k for k in table.keys if k not in named.columns]
@@ -202,22 +218,21 @@ def _prepared(table: KeyedTable, df: DataFrame, order_by, strict: bool, auto_key
     return not_null(by_name(last, table.schema, strict), keys), named
 
 
+def _write(table: KeyedTable, df: DataFrame, order_by, strict: bool, auto_key: str, run: Callable) -> WriteResult:
+    if table.keys == (auto_key,) and auto_key not in df.columns:
+        with _generated_keys(table.spark, table.path, df, auto_key) as keyed:
+            return run(table, *_prepared(table, keyed, None, strict))
+    return run(table, *_prepared(table, df, order_by, strict))
+
+
 def insert(table: KeyedTable, df: DataFrame, order_by=None, strict=False, auto_key=AUTO_KEY) -> WriteResult:
     """Add rows; an existing key is an error. Stored rows are not rewritten, only their keys are looked up."""
-    new, sizing = _prepared(table, df, order_by, strict, auto_key)
-    keys = list(table.keys)
-    touched = [r[0] for r in sizing.select(table.base.shard_column()).distinct().collect()]
-    stored = table.base.read(table.spark, [s for s in touched if s in table.base.live]).select(*keys)
-    if not stored.join(sizing.select(*keys), keys, "left_semi").isEmpty():
-        raise ValueError("insert met a key that the table already holds")
-    base, rows, size = _fresh(table.spark, table.base, new, set(), sizing)
-    indexes = {n: _fresh(table.spark, s, _index_rows(new, s), set())[0] for n, s in table.indexes.items()}
-    return WriteResult(table.commit(base=base, indexes=indexes), rows, size)
+    return _write(table, df, order_by, strict, auto_key, _insert)
 
 
 def upsert(table: KeyedTable, df: DataFrame, order_by=None, strict=False, auto_key=AUTO_KEY) -> WriteResult:
     """Written columns overlay the row with the same key (a written null wins), other columns stay, new keys are added."""
-    return _write_with_indexes(table, *_prepared(table, df, order_by, strict, auto_key), keep_unwritten=True)
+    return _write(table, df, order_by, strict, auto_key, partial(_merge, keep_unwritten=True))
 
 
 def bulk_upsert(table: KeyedTable, df: DataFrame, order_by=None, strict=False, auto_key=AUTO_KEY) -> WriteResult:
@@ -227,12 +242,26 @@ def bulk_upsert(table: KeyedTable, df: DataFrame, order_by=None, strict=False, a
 
 def replace_rows(table: KeyedTable, df: DataFrame, order_by=None, strict=False, auto_key=AUTO_KEY) -> WriteResult:
     """The whole row is replaced; columns that are not written become null."""
-    return _write_with_indexes(table, *_prepared(table, df, order_by, strict, auto_key), keep_unwritten=False)
+    return _write(table, df, order_by, strict, auto_key, partial(_merge, keep_unwritten=False))
 
 
 def overwrite(table: KeyedTable, df: DataFrame, order_by=None, strict=False, auto_key=AUTO_KEY) -> WriteResult:
-    """Only the new rows remain. Old files stay until nobody needs them, so the table may be read to build ``df``."""
-    new, sizing = _prepared(table, df, order_by, strict, auto_key)
+    """Only the new rows remain. Old files stay, so the table itself may be read to build ``df``."""
+    return _write(table, df, order_by, strict, auto_key, _overwrite)
+
+
+def _insert(table: KeyedTable, new: DataFrame, sizing: DataFrame) -> WriteResult:
+    keys = list(table.keys)
+    touched = [r[0] for r in sizing.select(table.base.shard_column()).distinct().collect()]
+    stored = table.base.read(table.spark, [s for s in touched if s in table.base.live]).select(*keys)
+    if not stored.join(sizing.select(*keys), keys, "left_semi").isEmpty():
+        raise ValueError("insert met a key that the table already holds")
+    base, rows, size = _fresh(table.spark, table.base, new, set(), sizing)
+    indexes = {n: _fresh(table.spark, s, _index_rows(new, s), set())[0] for n, s in table.indexes.items()}
+    return WriteResult(table.commit(base=base, indexes=indexes), rows, size)
+
+
+def _overwrite(table: KeyedTable, new: DataFrame, sizing: DataFrame) -> WriteResult:
     base, rows, size = _fresh(table.spark, table.base, new, None, sizing)
     emptied = replace(table, base=base)
     indexes = {n: _fresh(table.spark, s, _index_rows(emptied.read(), s), None)[0] for n, s in table.indexes.items()}
@@ -250,7 +279,7 @@ def _index_rows(df: DataFrame, index: Shards) -> DataFrame:
     return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in index.schema])
 
 
-def _write_with_indexes(table: KeyedTable, new: DataFrame, sizing: DataFrame, keep_unwritten: bool) -> WriteResult:
+def _merge(table: KeyedTable, new: DataFrame, sizing: DataFrame, keep_unwritten: bool) -> WriteResult:
     spark = table.spark
     merged, touched = _merged(spark, table.base, new, None, keep_unwritten, sizing)
     if not touched:
@@ -298,41 +327,48 @@ def create_keyed(
     The number of shards is given, or follows from split points, or from ``size_bytes``; split points that are not
     given come from a sample of the keys.
     """
-    from .index import build_index
-
     path = files.resolve(prefix, name)
     if KeyedTable.exists(spark, path):
         raise FileExistsError(f"a keyed table is already at {path}")
     names = key_names(keys) if isinstance(keys, str) else list(keys or [])
     given = new_table_schema(schema or df.schema, signed_dates)
     df = coerce(df, given)
-    if not names:
-        if auto_key in df.columns:
-            raise ValueError(f"column {auto_key} exists already; name it as the key")
-        df, names = df.withColumn(auto_key, F.expr("uuid()")), [auto_key]
+    check_names(df.schema)
     absent = [n for n in names if n not in df.columns]
     if absent or len(set(names)) != len(names):
         raise ValueError(f"key columns {names} must exist once in {df.columns}")
-    declared = T.StructType(
-        [T.StructField(f.name, f.dataType, f.nullable and f.name not in names, _metadata(given, f.name)) for f in df.schema]
-    )
-    check_names(declared)
-    sizing = df
-    if order_by:
-        df = latest(df, names, order_by)
-    df = not_null(df, T.StructType([declared[n] for n in names]))
     count = shards or (shard_count(size_bytes, size_mb, min_shards, max_shards) if size_bytes else min_shards)
-    if store == "hash":
-        layout = Layout.by_hash(count)
-    else:
-        layout = Layout.by_splits(splits if splits is not None else derive_splits(sizing, names, count))
-    base = Shards(f"{path}/data", declared, tuple(names), layout)
-    base, rows, size = _fresh(spark, base, df, set(), sizing)
-    table = KeyedTable(spark, path, 0, base)
-    built = {n: build_index(table, n, columns) for n, columns in (indexes or {}).items()}
-    return WriteResult(table.commit(indexes=built), rows, size)
-
-
-def _metadata(schema: T.StructType, name: str) -> dict:
-    known = schema[name].metadata if name in schema.names else {}
-    return {LOGICAL: known[LOGICAL]} if known and LOGICAL in known else {}
+
+    def create(rows: DataFrame, keys: list[str]) -> WriteResult:
+        fields = [given[c] if c in given.names else rows.schema[c] for c in rows.columns]
+        declared = T.StructType([T.StructField(f.name, f.dataType, f.nullable and f.name not in keys, f.metadata) for f in fields])
+        last = latest(rows, keys, order_by) if order_by and keys == names else rows
+        if store == "hash":
+            layout = Layout.by_hash(count)
+        else:
+            layout = Layout.by_splits(splits if splits is not None else derive_splits(rows, keys, count))
+        base = Shards(f"{path}/data", declared, tuple(keys), layout)
+        base, written, size = _fresh(spark, base, not_null(last, T.StructType([declared[k] for k in keys])), set(), rows)
+        table = KeyedTable(spark, path, 0, base)
+        built = {n: build_index(table, n, columns) for n, columns in (indexes or {}).items()}
+        return WriteResult(table.commit(indexes=built), written, size)
+
+    if names:
+        return create(df, names)
+    if auto_key in df.columns:
+        raise ValueError(f"column {auto_key} exists already; name it as the key")
+    with _generated_keys(spark, path, df, auto_key) as keyed:
+        return create(keyed, [auto_key])
+
+
+def build_index(table: KeyedTable, name: str, columns: Sequence[str], splits: Sequence | None = None) -> Shards:
+    """Write an index: a projection keyed by the index columns, then the primary key."""
+    absent = [c for c in columns if c not in table.schema.names]
+    if absent or not columns:
+        raise ValueError(f"index columns {list(columns)} must exist in the table")
+    keys = tuple(dict.fromkeys([*columns, *table.keys]))
+    schema = T.StructType([T.StructField(k, table.schema[k].dataType, table.schema[k].nullable) for k in keys])
+    rows = table.read(columns=keys)
+    points = splits if splits is not None else derive_splits(rows, keys, len(table.base.live))
+    index = Shards(f"{table.path}/index-{name}", schema, keys, Layout.by_splits(points))
+    return _fresh(table.spark, index, rows, touched=set())[0]

@@ -67,3 +67,8 @@ def publish_text(spark: SparkSession, path: str, text: str) -> None:
     stream.close()
     if fs.exists(target) or not fs.rename(temp, target):
         raise RuntimeError(f"another writer has already published {path}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _open(spark, path)
+    fs.delete(p, True)

@@ -25,7 +25,6 @@ from ..plans.layout import Layout
 from . import files
 
 SHARD, GEN = "_shard", "_gen"
-LOGICAL = "logical"
 
 
 def _encode(value: Any) -> Any:
@@ -89,7 +88,8 @@ class Shards:
 
     def after(self, gen: str, shards: Sequence[int], touched: Iterable[int] | None, row_bytes: int) -> Shards:
         """The set once a generation is written: touched shards are replaced (None: all), or appended to if empty."""
-        live = {} if touched is None else {s: g for s, g in self.live.items() if s not in set(touched)}
+        gone = set(self.live if touched is None else touched)
+        live = {s: g for s, g in self.live.items() if s not in gone}
         for s in shards:
             live[s] = live.get(s, ()) + (gen,)
         used = {g for gens in live.values() for g in gens}

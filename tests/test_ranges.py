@@ -179,3 +179,30 @@ def test_bigint_keys_meet_int_ranges(spark):
     ranges = as_table(spark, [(1, 2, 4, True, False)], "a")
     assert sorted(r.k for r in K.route_rows(rows, ["k"], ranges).collect()) == [2, 3]
     assert T.LongType() == rows.schema["k"].dataType
+
+
+def test_hot_keys_without_broadcast(spark):
+    """A third of all rows and of all ranges share one key; both sides are shuffled by bin."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 1000).alias("k"))
+        ranges = spark.range(600).select(
+            F.col("id").alias("a"),
+            F.struct(F.when(F.col("id") % 3 == 0, 700).otherwise(F.col("id")).alias("k")).alias("lo"),
+            F.struct(F.when(F.col("id") % 3 == 0, 701).otherwise(F.col("id") + 5).alias("k")).alias("hi"),
+            F.lit(True).alias("lo_incl"),
+            F.lit(False).alias("hi_incl"),
+        )
+        per_range = K.route_rows(rows, ["k"], ranges).groupBy("a").count()
+        counts = {r.k: r["count"] for r in rows.groupBy("k").count().collect()}
+        spans = {i: (700, 701) if i % 3 == 0 else (i, i + 5) for i in range(600)}
+        expected = {i: sum(counts.get(k, 0) for k in range(*s)) for i, s in spans.items()}
+        assert {r.a: r["count"] for r in per_range.collect()} == {i: n for i, n in expected.items() if n}
+        other = ranges.withColumnRenamed("a", "b").filter("b % 3 <> 1")
+        pairs = K.intersect_ranges(ranges, other).groupBy("a").count()
+        overlaps = {
+            i: sum(1 for j, t in spans.items() if j % 3 != 1 and max(s[0], t[0]) < min(s[1], t[1])) for i, s in spans.items()
+        }
+        assert {r.a: r["count"] for r in pairs.collect()} == {i: n for i, n in overlaps.items() if n}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
