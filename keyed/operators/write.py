@@ -176,18 +176,24 @@ def _save(spark, shards: Shards, rows: DataFrame, touched: set[int] | None) -> t
     gen = new_generation()
     guarded = not_null(rows, shards.schema).select(SHARD, *shards.schema.names)
     counted = guarded.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_payload(shards.schema)).alias("bytes"))
-    counted.write.partitionBy(SHARD).parquet(f"{shards.folder}/_gen={gen}")
+    counted.write.option("maxRecordsPerFile", ROWS_PER_CELL).partitionBy(SHARD).parquet(f"{shards.folder}/_gen={gen}")
     count, size = seen.get["rows"], seen.get["bytes"] or 0
     width = 8 * len(shards.schema) + size // count if count else 0
     return shards.after(gen, shards_on_disk(spark, shards.folder, gen), touched, width), count, size
 
 
 def _fresh(
-    spark, shards: Shards, df: DataFrame, touched: set[int] | None, sizing: DataFrame | None = None
+    spark,
+    shards: Shards,
+    df: DataFrame,
+    touched: set[int] | None,
+    sizing: DataFrame | None = None,
+    counts: dict[int, int] | None = None,
 ) -> tuple[Shards, int, int]:
     """Write rows that meet no stored row."""
     routed = df.withColumn(SHARD, shards.shard_column())
-    counts = _counts((df if sizing is None else sizing).select(shards.shard_column().alias(SHARD)))
+    if counts is None:
+        counts = _counts((df if sizing is None else sizing).select(shards.shard_column().alias(SHARD)))
     if not counts:
         return (shards if touched is not None else replace(shards, live={}, written={})), 0, 0
     w = _per_key(shards)
@@ -252,11 +258,11 @@ def overwrite(table: KeyedTable, df: DataFrame, order_by=None, strict=False, aut
 
 def _insert(table: KeyedTable, new: DataFrame, sizing: DataFrame) -> WriteResult:
     keys = list(table.keys)
-    touched = [r[0] for r in sizing.select(table.base.shard_column()).distinct().collect()]
-    stored = table.base.read(table.spark, [s for s in touched if s in table.base.live]).select(*keys)
+    counts = _counts(sizing.select(table.base.shard_column().alias(SHARD)))
+    stored = table.base.read(table.spark, [s for s in counts if s in table.base.live]).select(*keys)
     if not stored.join(sizing.select(*keys), keys, "left_semi").isEmpty():
         raise ValueError("insert met a key that the table already holds")
-    base, rows, size = _fresh(table.spark, table.base, new, set(), sizing)
+    base, rows, size = _fresh(table.spark, table.base, new, set(), sizing, counts)
     indexes = {n: _fresh(table.spark, s, _index_rows(new, s), set())[0] for n, s in table.indexes.items()}
     return WriteResult(table.commit(base=base, indexes=indexes), rows, size)
 

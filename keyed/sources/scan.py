@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions.coerce import coerce
 from ..functions.types import spark_type
 from .files import resolve
+from .table import KeyedTable
 
 # Text forms of dates and times.
 DATE_TEXT = "yyyy-MM-dd"
@@ -44,10 +45,15 @@ def dates_as_text(df: DataFrame) -> DataFrame:
 def query(
     spark: SparkSession,
     text: str,
-    tables: dict[str, DataFrame] | None = None,
+    tables: dict[str, DataFrame | str] | None = None,
     args: dict[str, Any] | list[Any] | None = None,
+    prefix: str | None = None,
 ) -> DataFrame:
-    """Run one text query over named tables; its schema is known without running it."""
-    for name, df in (tables or {}).items():
+    """Run one text query over named tables; its schema is known without running it.
+
+    A table is a DataFrame, or the name of a keyed table, which gets the prefix unless it is absolute.
+    """
+    for name, table in (tables or {}).items():
+        df = KeyedTable.open(spark, table, prefix).read() if isinstance(table, str) else table
         df.createOrReplaceTempView(name)
     return spark.sql(text, args=args)
