@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from ..plans.bounds import KeyRange, key_range, range_condition
+from ..plans.bounds import KeyRange, fit, key_range, normalise, range_condition
 from ..sources.table import SHARD, KeyedTable
 from .write import WriteResult, build_index
 
@@ -24,7 +24,7 @@ def index_lookup(table: KeyedTable, name: str, where: Sequence[tuple[str, str, A
     The matching entries name the shards to open (as many numbers as the table has shards reach the driver).
     """
     index = table.indexes[name]
-    found = key_range(index.keys, where)
+    found = key_range(index.keys, [(c, op, fit(v, index.schema[c].dataType)) for c, op, v in normalise(where, index.schema.names)])
     if found is None:
         return table.base.read(table.spark, ()).drop(SHARD)
     wanted = None if found == KeyRange() else [s for s in index.layout.shards_in(found) if s in index.live]

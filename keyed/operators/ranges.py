@@ -18,7 +18,7 @@ from ..plans.bounds import cut_key
 from ..plans.layout import TREE_SPLITS, Layout, count_splits, key_struct, splits_before
 from ..sources.table import SHARD, KeyedTable
 
-BOUNDS_PER_BIN = 16
+BOUNDS_PER_BIN = 32
 MAX_BINS = 65_536
 
 

@@ -23,7 +23,7 @@ from ..plans.layout import Layout, derive_splits, int_array, shard_count
 from ..sources import files
 from ..sources.table import SHARD, KeyedTable, Shards, check_names, new_generation, shards_on_disk
 
-CELL, TAG, RANK = "_cell", "_tag", "_rank"
+CELL, TAG, RANK, SURPLUS = "_cell", "_tag", "_rank", "_surplus"
 OLD, DELETED, NEW = 0, 1, 2
 ROWS_PER_CELL = 1_000_000
 SMALL_CELL = 10_000
@@ -73,19 +73,20 @@ def by_name(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFr
 
 
 @contextmanager
-def _generated_keys(spark: SparkSession, path: str, df: DataFrame, name: str):
-    """The rows with a random text key each, read back from files.
-
-    A task that is run again would draw other keys; rows routed by them could be lost or doubled if that happened in the
-    middle of a shuffle. Written once, they stay as they are.
-    """
-    staged = f"{path}/staging-{new_generation()}"
+def _staged(spark: SparkSession, path: str, df: DataFrame):
+    """The rows written to files beside the table and read back: computed once, and the same whenever a task runs again."""
+    folder = f"{path}/staging-{new_generation()}"
     try:
-        df.withColumn(name, F.expr("uuid()")).write.parquet(staged)
-        schema = T.StructType([*df.schema.fields, T.StructField(name, T.StringType(), False)])
-        yield spark.read.schema(schema).parquet(staged)
+        df.write.parquet(folder)
+        yield spark.read.schema(df.schema).parquet(folder)
     finally:
-        files.remove(spark, staged)
+        files.remove(spark, folder)
+
+
+def _generated_keys(spark: SparkSession, path: str, df: DataFrame, name: str):
+    """The rows with a random text key each. A task that runs again would draw other keys; rows routed by them could be
+    lost or doubled if that happened in the middle of a shuffle, so they are staged first."""
+    return _staged(spark, path, df.withColumn(name, F.expr("uuid()")))
 
 
 def _counts(df: DataFrame) -> dict[int, int]:
@@ -176,7 +177,7 @@ def _save(spark, shards: Shards, rows: DataFrame, touched: set[int] | None) -> t
     gen = new_generation()
     guarded = not_null(rows, shards.schema).select(SHARD, *shards.schema.names)
     counted = guarded.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_payload(shards.schema)).alias("bytes"))
-    counted.write.option("maxRecordsPerFile", ROWS_PER_CELL).partitionBy(SHARD).parquet(f"{shards.folder}/_gen={gen}")
+    counted.write.option("maxRecordsPerFile", 2 * ROWS_PER_CELL).partitionBy(SHARD).parquet(f"{shards.folder}/_gen={gen}")
     count, size = seen.get["rows"], seen.get["bytes"] or 0
     width = 8 * len(shards.schema) + size // count if count else 0
     return shards.after(gen, shards_on_disk(spark, shards.folder, gen), touched, width), count, size
@@ -293,16 +294,24 @@ def _merge(table: KeyedTable, new: DataFrame, sizing: DataFrame, keep_unwritten:
     base, rows, size = _save(spark, table.base, merged, touched)
     indexes = {}
     for name, index in table.indexes.items():
-        changed = sizing.select(*table.keys)
-        before = table.base.read(spark, [s for s in touched if s in table.base.live])
-        after = base.read(spark, [s for s in touched if s in base.live])
-        removed = before.join(changed, list(table.keys), "left_semi").select(*index.schema.names)
-        added = after.join(changed, list(table.keys), "left_semi").select(*index.schema.names)
-        entries, index_touched = _merged(spark, index, added, removed)
-        indexes[name] = _save(spark, index, entries, index_touched)[0]
+        changes = _index_changes(table.base, base, touched, sizing.select(*table.keys), index, spark)
+        with _staged(spark, table.path, changes) as staged:
+            added, removed = (staged.filter(side).drop(SURPLUS) for side in (f"{SURPLUS} > 0", f"{SURPLUS} < 0"))
+            entries, index_touched = _merged(spark, index, added, removed)
+            indexes[name] = _save(spark, index, entries, index_touched)[0] if index_touched else index
     return WriteResult(table.commit(base=base, indexes=indexes), rows, size)
 
 
+def _index_changes(old: Shards, new: Shards, touched: set[int], changed: DataFrame, index: Shards, spark) -> DataFrame:
+    """Index rows of the changed keys that are new (surplus 1) or gone (-1); entries that stay the same cancel out."""
+    sides = []
+    for shards, sign in ((old, -1), (new, 1)):
+        rows = shards.read(spark, [s for s in touched if s in shards.live]).select(*index.schema.names)
+        sides.append(rows.join(changed, list(shards.keys), "left_semi").withColumn(SURPLUS, F.lit(sign)))
+    entries = sides[0].unionByName(sides[1]).groupBy(*index.schema.names).agg(F.sum(SURPLUS).alias(SURPLUS))
+    return entries.filter(F.col(SURPLUS) != 0)
+
+
 def key_names(text: str) -> list[str]:
     """Key names from one comma-separated text; blanks and empty names are skipped, the given order is kept."""
     return [n.strip() for n in text.split(",") if n.strip()]

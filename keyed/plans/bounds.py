@@ -6,8 +6,10 @@ key that starts with it and an exclusive lower prefix skips all of them, so a pr
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import cmp_to_key
 from typing import Any
 
@@ -122,6 +124,34 @@ def key_range(keys: Sequence[str], where: Sequence[tuple[str, str, Any]]) -> Key
     return KeyRange(prefix, prefix, True, True) if prefix else KeyRange()
 
 
+def instant_text(moment: dt.datetime) -> str:
+    """A timestamp as Spark hands it to Python (in the zone of this process) as text with a zone."""
+    return moment.astimezone(dt.timezone.utc).isoformat()
+
+
+def fit(value: Any, dtype: T.DataType) -> Any:
+    """A predicate's value as a value of the column's type; one that the type cannot hold exactly is an error."""
+    if value is None:
+        return None
+    if isinstance(dtype, T.DateType):
+        return dt.date.fromisoformat(value) if isinstance(value, str) else value
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        moment = dt.datetime.fromisoformat(value) if isinstance(value, str) else value
+        return moment.astimezone().replace(tzinfo=None) if moment.tzinfo else moment
+    if isinstance(dtype, T.DecimalType):
+        exact = Decimal(str(value))
+        if exact != round(exact, dtype.scale):
+            raise TypeError(f"{value!r} is not a {dtype.simpleString()}")
+        return exact
+    if isinstance(dtype, T.IntegralType):
+        if isinstance(value, (str, bytes)) or value != int(value):
+            raise TypeError(f"{value!r} is not a {dtype.simpleString()}")
+        return int(value)
+    if isinstance(dtype, T.StringType) and not isinstance(value, str):
+        raise TypeError(f"{value!r} is not a {dtype.simpleString()}")
+    return value
+
+
 def literal(value: Any, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import json
 import math
 from bisect import bisect_left, bisect_right
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bounds import KeyRange, cut_key, literal, lower_cut, upper_cut
+from .bounds import KeyRange, cut_key, instant_text, literal, lower_cut, upper_cut
 
 TREE_SPLITS = 64
 MIN_SHARD_MB = 10
@@ -25,14 +26,30 @@ def key_struct(columns: Sequence[Column | str]) -> Column:
 
 
 def tuple_array(rows: Sequence[tuple], types: Sequence[T.DataType]) -> Column:
-    """Constant array of keys (plain values for one key column, structs for several), folded to one literal."""
+    """Constant array of keys (plain values for one key column, structs for several), folded to one literal.
+
+    Values travel as text and are cast, so a value that does not fit its type is an error, not a null.
+    """
+    texts = [T.BinaryType() if isinstance(t, T.BinaryType) else T.StringType() for t in types]
     if len(types) == 1:
-        data, element = [row[0] for row in rows], types[0]
+        data, stored, element = [_text(row[0], types[0]) for row in rows], texts[0], types[0]
     else:
-        data = [{f"k{i}": v for i, v in enumerate(row)} for row in rows]
-        element = T.StructType([T.StructField(f"k{i}", t) for i, t in enumerate(types)])
-    wrapped = T.StructType([T.StructField("keys", T.ArrayType(element))])
-    return F.from_json(F.lit(json.dumps({"keys": data}, default=str)), wrapped)["keys"]
+        data = [{f"k{i}": _text(v, types[i]) for i, v in enumerate(row)} for row in rows]
+        stored, element = _key_type(texts), _key_type(types)
+    wrapped = T.StructType([T.StructField("keys", T.ArrayType(stored))])
+    return F.from_json(F.lit(json.dumps({"keys": data})), wrapped)["keys"].cast(T.ArrayType(element))
+
+
+def _key_type(types: Sequence[T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(f"k{i}", t) for i, t in enumerate(types)])
+
+
+def _text(value: Any, dtype: T.DataType) -> str | None:
+    if isinstance(value, (bytes, bytearray)):
+        return base64.b64encode(value).decode("ascii")
+    if isinstance(dtype, T.TimestampType) and value is not None:
+        return instant_text(value)
+    return None if value is None else str(value)
 
 
 def int_array(values: Sequence[int]) -> Column:

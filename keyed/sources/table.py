@@ -7,42 +7,36 @@ readers see the table before or after a write and a failed job leaves nothing vi
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 import uuid
 from collections import Counter
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
-from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.bounds import KeyRange, key_range, normalise, predicate, range_condition
+from ..plans.bounds import KeyRange, fit, instant_text, key_range, normalise, predicate, range_condition
 from ..plans.layout import Layout
 from . import files
 
 SHARD, GEN = "_shard", "_gen"
 
 
-def _encode(value: Any) -> Any:
+def _encode(value: Any, dtype: T.DataType) -> Any:
     if isinstance(value, (bytes, bytearray)):
         return bytes(value).hex()
+    if isinstance(dtype, T.TimestampType):
+        return instant_text(value)
     return value if isinstance(value, (bool, int, float, str)) else str(value)
 
 
 def _decode(value: Any, dtype: T.DataType) -> Any:
     if isinstance(dtype, T.BinaryType):
         return bytes.fromhex(value)
-    if isinstance(dtype, T.DateType):
-        return dt.date.fromisoformat(value)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return dt.datetime.fromisoformat(value)
-    if isinstance(dtype, T.DecimalType):
-        return Decimal(value)
-    return value
+    return fit(value, dtype)
 
 
 @dataclass(frozen=True)
@@ -105,7 +99,7 @@ class Shards:
             "keys": list(self.keys),
             "store": self.layout.store,
             "shards": self.layout.shards,
-            "splits": [[_encode(v) for v in s] for s in self.layout.splits],
+            "splits": [[_encode(v, t) for v, t in zip(s, self.key_types())] for s in self.layout.splits],
             "generations": [[g, self.written[g]] for g in generations],
             "row_bytes": self.row_bytes,
             "live": {str(s): [number[g] for g in gens] for s, gens in self.live.items()},
@@ -184,8 +178,10 @@ class KeyedTable:
         files.publish_text(self.spark, _commit_path(self.path, after.version), json.dumps(record))
         return after
 
-    def range_of(self, where: Sequence[tuple]) -> KeyRange | None:
-        return key_range(self.keys, normalise(where, self.schema.names))
+    def predicates(self, where: Sequence[tuple]) -> list[tuple[str, str, Any]]:
+        """Triples with the column on the left and a value of the column's type on the right."""
+        triples = normalise(where, self.schema.names)
+        return [(c, op, fit(v, self.schema[c].dataType)) for c, op, v in triples]
 
     def read(
         self,
@@ -198,7 +194,7 @@ class KeyedTable:
         Predicates on the leading key columns choose the shards; all predicates are applied to the rows as well, so
         they also reach the Parquet reader.
         """
-        triples = normalise(where, self.schema.names)
+        triples = self.predicates(where)
         found = key_range(self.keys, triples)
         if found is None:
             df = self.base.read(self.spark, ())
@@ -227,7 +223,7 @@ class KeyedTable:
 
 
 def new_generation() -> str:
-    return uuid.uuid4().hex[:12]
+    return f"g{uuid.uuid4().hex[:12]}"
 
 
 def shards_on_disk(spark: SparkSession, folder: str, gen: str) -> list[int]:

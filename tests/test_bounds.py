@@ -95,3 +95,27 @@ def test_derived_splits_are_balanced(spark):
     counts = rows.groupBy(layout.shard_of([F.col("id")], [T.LongType()]).alias("s")).count().collect()
     assert len(counts) == 8 and max(r["count"] for r in counts) < 2500
     assert derive_splits(rows.limit(0), ["id"], 8) == []
+
+
+def test_many_splits_of_every_key_type(spark):
+    """Routing by expression agrees with ordering in Python for more splits than a CASE tree takes."""
+    rows = spark.sql(
+        "SELECT timestampadd(MICROSECOND, id * 1000003, TIMESTAMP_NTZ'1969-12-31 23:59:00') AS t,"
+        " CAST(id AS DECIMAL(12,3)) / 8 AS n, date_add(DATE'1969-11-01', CAST(id AS INT)) AS d, id,"
+        " CAST(id AS DOUBLE) / 7 AS x, CAST(id AS FLOAT) / 7 AS f, unhex(lpad(hex(id * 37), 6, '0')) AS b,"
+        " concat('é\"', lpad(id, 4, '0'), chr(128512)) AS s FROM range(400)"
+    ).cache()
+    for key in ("t", "n", "d", "id", "x", "f", "b", "s"):
+        dtype = rows.schema[key].dataType
+        values = [r[key] for r in rows.orderBy("id").select(key).collect()]
+        values = [bytes(v) if isinstance(v, bytearray) else v for v in values]
+        points = [(v,) for v in sorted(values)[5::3]]
+        assert len(points) > 64
+        found = rows.orderBy("id").select(splits_before([F.col(key)], [dtype], points).alias("n")).collect()
+        assert [r.n for r in found] == [sum(1 for p in points if p[0] <= v) for v in values], key
+        pairs = [(p[0], 1) for p in points]
+        two = splits_before([F.col(key), F.lit(1)], [dtype, T.IntegerType()], pairs)
+        assert [r.n for r in rows.orderBy("id").select(two.alias("n")).collect()] == [r.n for r in found], key
+        few = splits_before([F.col(key)], [dtype], points[:40])
+        assert [r.n for r in rows.orderBy("id").select(few.alias("n")).collect()] == [min(40, r.n) for r in found], key
+    rows.unpersist()

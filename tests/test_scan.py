@@ -61,3 +61,60 @@ def test_merge_shuffles_and_sorts_once(spark, place, sf):
     batch = orders.select("o_orderkey", (F.col("o_totalprice") * 2).alias("o_totalprice"))
     text = plan(_merged(spark, t.base, batch, keep_unwritten=True)[0])
     assert text.count("Exchange") == 1 and text.count("Sort [") == 1 and text.count("Window [") == 1
+
+
+def test_values_of_predicates(spark, place):
+    import datetime as dt
+    from decimal import Decimal
+
+    rows = spark.sql(
+        "SELECT timestampadd(DAY, id, TIMESTAMP_NTZ'2024-01-01 00:00:00') AS t, CAST(id AS DECIMAL(10,2)) AS n,"
+        " date_add(DATE'2024-01-01', CAST(id AS INT)) AS d, id, CAST(id AS DOUBLE) / 4 AS x FROM range(100)"
+    )
+    for key, low, high in [
+        ("t", "2024-01-11", dt.datetime(2024, 1, 21)),
+        ("d", "2024-01-11", dt.date(2024, 1, 21)),
+        ("n", 10, Decimal("20")),
+        ("id", 10.0, 20),
+        ("x", 2.5, 5),
+    ]:
+        table = K.create_keyed(spark, f"by_{key}", rows, key, prefix=place, shards=4).table
+        again = K.KeyedTable.open(spark, f"by_{key}", place)
+        assert again.layout == table.layout and len(again.base.live) == 4
+        where = [(key, ">=", low), (key, "<", high)]
+        assert sorted(r.id for r in again.read(where).collect()) == list(range(10, 20))
+        assert K.pushdown_parity(again, where).isEmpty()
+        assert len({f.split("_shard=")[1][0] for f in again.read(where).inputFiles()}) <= 2
+    with pytest.raises(TypeError):
+        table.read([("id", "<", 2.5)])
+    with pytest.raises(TypeError):
+        table.read([("id", "=", "2")])
+    with pytest.raises(TypeError):
+        table.read([("n", "<", 1.005)])
+
+
+def test_binary_and_boolean_keys(spark, place):
+    rows = spark.range(200).select(F.unhex(F.lpad(F.hex("id"), 4, "0")).alias("k"), (F.col("id") > 50).alias("b"), "id")
+    table = K.create_keyed(spark, "bytes", rows, "k,b", prefix=place, splits=[(b"\x00\x20",), (b"\x00\x80", True)]).table
+    again = K.KeyedTable.open(spark, "bytes", place)
+    assert again.layout == table.layout and sorted(again.base.live) == [0, 1, 2]
+    assert again.read([("k", ">=", b"\x00\x80")]).count() == 72
+    assert again.read([("k", "=", b"\x00\x20")]).first().id == 32
+
+
+def test_instant_keys_in_any_session_zone(spark, place):
+    rows = spark.range(300).select(F.timestamp_micros(F.col("id") * 3_600_000_000 + 1_710_000_000_000_000).alias("t"), "id")
+    few = K.create_keyed(spark, "few", rows, "t", prefix=place, shards=4).table
+    many = K.create_keyed(spark, "many", rows, "t", prefix=place, shards=80).table
+    expected = sorted(r.id for r in rows.filter("id >= 100 AND id < 200").collect())
+    low, high = (rows.filter(F.col("id") == i).first().t for i in (100, 200))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ("few", "many"):
+            table = K.KeyedTable.open(spark, name, place)
+            assert table.layout == {"few": few, "many": many}[name].layout
+            got = table.read([("t", ">=", low), ("t", "<", high)])
+            assert sorted(r.id for r in got.collect()) == expected
+            assert K.upsert(table, rows.withColumn("id", F.col("id") + 1)).table.read().count() == 300
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -199,6 +199,17 @@ def test_index_follows_every_write(spark, place):
     check(K.truncate(table).table)
 
 
+def test_index_stays_when_its_columns_do(spark, place):
+    rows = spark.createDataFrame([(i, f"v{i}", i) for i in range(20)], "id int, value string, n int")
+    table = K.create_keyed(spark, "ix", rows, "id", prefix=place, splits=[10], indexes={"by_value": ["value"]}).table
+    same = K.upsert(table, rows.select("id", (F.col("n") + 1).alias("n"))).table
+    assert same.indexes["by_value"].live == table.indexes["by_value"].live
+    assert same.read().agg(F.sum("n")).first()[0] == 210
+    from keyed.sources import files
+
+    assert not [n for n in files.child_names(spark, table.path) if n.startswith("staging")]
+
+
 def test_create_index_later(spark, table):
     more = K.create_index(table, "by_value", ["value"], splits=["v3"]).table
     assert more.index("by_value").count() == 10
