@@ -161,7 +161,7 @@ def bag_diff(spark, sf):
 def pushdown_parity(spark, sf):
     table = orders_by_customer(spark, sf)
     where = [("o_custkey", "=", 1200), ("o_orderkey", ">=", 5000), ("o_totalprice", ">", 1000.0)]
-    read = table.read(where).select(F.lit(1).alias("rows_read"), F.lit(0).alias("differences"))
-    differences = K.pushdown_parity(table, where).select(F.lit(0).alias("rows_read"), F.lit(1).alias("differences"))
-    both = read.unionByName(differences)
-    return both.agg(F.sum("rows_read").alias("rows_read"), F.sum("differences").alias("differences"))
+    both = table.read(where).select(F.lit(True).alias("read")).unionByName(
+        K.pushdown_parity(table, where).select(F.lit(False).alias("read"))
+    )
+    return both.agg(F.count_if("read").alias("rows_read"), F.count_if(~F.col("read")).alias("differences"))
