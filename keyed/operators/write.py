@@ -1,8 +1,8 @@
 """Keyed writes: insert, upsert, replace, bulk upsert, overwrite, truncate, create.
 
-Every write shuffles its rows once. A row goes to a cell: its shard, cut by key hash into as many pieces as the shard's
-row count asks for. A shard that holds a third of the table is therefore written by many tasks, a small one by one task,
-and all rows of a key meet in one cell. Counting rows per shard reads key columns only (for stored rows, file footers
+Every write shuffles its rows once. A row goes to a cell, the work of one task: a large shard is cut by key hash into as
+many cells as its row count asks for, small neighbours share one. A shard that holds a third of the table is therefore
+written by many tasks, and all rows of a key meet in one cell. Counting rows per shard reads key columns only (for stored rows, file footers
 only), and only shards that the batch touches are read or rewritten.
 """
 
@@ -117,16 +117,33 @@ def _rows_per_cell(rows: DataFrame, shards: Shards, counts: dict[int, int]) -> i
     return min(ROWS_PER_CELL, max(SMALL_CELL, BYTES_PER_CELL // width))
 
 
+def _cells(counts: dict[int, int], shards: int, per_cell: int, small: int) -> tuple[list[int], list[int], int]:
+    """First cell and number of cells of every shard: large shards get several, small neighbours share one."""
+    first, pieces, cells, room = [], [], 0, 0
+    for shard in range(shards):
+        rows = counts.get(shard, 0)
+        if rows > per_cell:
+            own, room = -(-rows // per_cell), 0
+        elif rows and rows > room:
+            own, room = 1, small - rows
+        else:
+            first.append(max(0, cells - 1))
+            pieces.append(1)
+            room -= rows
+            continue
+        first.append(cells)
+        pieces.append(own)
+        cells += own
+    return first, pieces, cells
+
+
 def _place(df: DataFrame, shards: Shards, counts: dict[int, int], per_cell: int) -> DataFrame:
-    pieces = [0] * shards.layout.shards
-    for shard, rows in counts.items():
-        pieces[shard] = max(1, -(-rows // per_cell))
-    offsets, cells = [], 0
-    for p in pieces:
-        offsets.append(cells)
-        cells += p
-    cell = F.get(int_array(offsets), F.col(SHARD)) + F.pmod(F.xxhash64(*shards.keys), F.get(int_array(pieces), F.col(SHARD)))
-    return df.withColumn(CELL, cell.cast("int")).repartitionById(max(1, min(cells, MAX_TASKS)), F.col(CELL))
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    small = min(per_cell, max(SMALL_CELL, sum(counts.values()) // (4 * parallel)))
+    first, pieces, cells = _cells(counts, shards.layout.shards, per_cell, small)
+    piece = F.pmod(F.xxhash64(*shards.keys), F.get(int_array(pieces), F.col(SHARD)))
+    cell = (F.get(int_array(first), F.col(SHARD)) + piece).cast("int")
+    return df.withColumn(CELL, cell).repartitionById(max(1, min(cells, MAX_TASKS)), F.col(CELL))
 
 
 def _per_key(shards: Shards):

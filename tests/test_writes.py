@@ -290,3 +290,10 @@ def test_types_of_a_new_table(spark, place):
     whole = spark.createDataFrame([(1, Decimal(12))], "id int, n decimal(20,0)")
     table = K.create_keyed(spark, "whole", whole, "id", prefix=place).table
     assert table.schema["n"].dataType == T.LongType() and content(table) == [(1, 12)]
+
+
+def test_cells():
+    first, pieces, cells = W._cells({0: 10, 1: 20, 2: 95, 3: 250, 4: 5, 6: 5, 7: 100}, 9, 100, 40)
+    assert pieces == [1, 1, 1, 3, 1, 1, 1, 1, 1]
+    assert first == [0, 0, 1, 2, 5, 5, 5, 6, 6] and cells == 7
+    assert W._cells({}, 2, 100, 40) == ([0, 0], [1, 1], 0)
