@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from ..plans.bounds import KeyRange, fit, key_range, normalise, range_condition
+from ..plans.bounds import fit, key_range, normalise, range_condition
 from ..sources.table import SHARD, KeyedTable
 from .write import WriteResult, build_index
 
@@ -27,8 +27,7 @@ def index_lookup(table: KeyedTable, name: str, where: Sequence[tuple[str, str, A
     found = key_range(index.keys, [(c, op, fit(v, index.schema[c].dataType)) for c, op, v in normalise(where, index.schema.names)])
     if found is None:
         return table.base.read(table.spark, ()).drop(SHARD)
-    wanted = None if found == KeyRange() else [s for s in index.layout.shards_in(found) if s in index.live]
-    entries = index.read(table.spark, wanted)
+    entries = index.read(table.spark, index.holding(table.spark, found))
     condition = range_condition(index.keys, index.key_types(), found)
     if condition is not None:
         entries = entries.filter(condition)

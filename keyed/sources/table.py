@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.bounds import KeyRange, fit, instant_text, key_range, normalise, predicate, range_condition
+from ..plans.bounds import KeyRange, fit, instant_text, key_range, literal, normalise, predicate, range_condition
 from ..plans.layout import Layout
 from . import files
 
@@ -57,6 +57,18 @@ class Shards:
     def shard_column(self) -> Column:
         return self.layout.shard_of([F.col(k) for k in self.keys], self.key_types())
 
+    def holding(self, spark: SparkSession, found: KeyRange) -> list[int] | None:
+        """Stored shards that can hold keys of a range; None for all. A hash layout is pruned for one whole key."""
+        if found == KeyRange():
+            return None
+        one_key = found.lo == found.hi and len(found.lo) == len(self.keys)
+        if self.layout.store == "hash" and one_key:
+            values = [literal(v, t) for v, t in zip(found.lo, self.key_types())]
+            wanted = [spark.range(1).select(self.layout.shard_of(values, self.key_types())).first()[0]]
+        else:
+            wanted = self.layout.shards_in(found)
+        return [s for s in wanted if s in self.live]
+
     def paths(self, shards: Iterable[int]) -> list[str]:
         """Directories to read: a whole generation where every shard of it is wanted, else single shards."""
         wanted: dict[str, list[int]] = {}
@@ -199,8 +211,7 @@ class KeyedTable:
         if found is None:
             df = self.base.read(self.spark, ())
         else:
-            wanted = None if found == KeyRange() else [s for s in self.layout.shards_in(found) if s in self.base.live]
-            df = self.base.read(self.spark, wanted)
+            df = self.base.read(self.spark, self.base.holding(self.spark, found))
             by_range = range_condition(self.keys, self.base.key_types(), found)
             if by_range is not None:
                 df = df.filter(by_range)

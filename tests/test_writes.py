@@ -297,3 +297,14 @@ def test_cells():
     assert pieces == [1, 1, 1, 3, 1, 1, 1, 1, 1]
     assert first == [0, 0, 1, 2, 5, 5, 5, 6, 6] and cells == 7
     assert W._cells({}, 2, 100, 40) == ([0, 0], [1, 1], 0)
+
+
+def test_point_read_of_a_hash_layout_opens_one_shard(spark, place):
+    rows = spark.range(1000).select("id", F.concat(F.lit("n"), F.col("id")).alias("s"))
+    table = K.create_keyed(spark, "h", rows, "s,id", prefix=place, store="hash", shards=16).table
+    for i in (0, 7, 999):
+        found = table.read([("s", "=", f"n{i}"), ("id", "<=>", i)])
+        assert [r.id for r in found.collect()] == [i]
+        assert len({f.split("_shard=")[1].split("/")[0] for f in found.inputFiles()}) == 1
+    assert table.read([("s", "=", "n7")]).count() == 1
+    assert table.read([("s", "=", "n7"), ("id", "=", 8)]).count() == 0
