@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the given tables."""
 
 import math
+import re
 
 import duckdb
 import pytest
@@ -22,7 +23,11 @@ def plain(v):
     return "NaN" if isinstance(v, float) and math.isnan(v) else v
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+TEXT = re.compile(r"op\d+_|pipeline$")  # these have tests of their own
+NAMES = sorted(n for n in entry.queries() if not TEXT.match(n))
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, sf, sql, name):
     got = entry.queries()[name](spark, sf).toArrow()
     names = sorted(got.column_names)
@@ -40,4 +45,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(NAMES) == {n for n in entry.oracle_sql() if not TEXT.match(n)}
