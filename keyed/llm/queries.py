@@ -5,15 +5,23 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keyed.llm import packing, records, token_counts
+from keyed.llm import mixing, packing, records, simhash, token_counts
 from keyed.llm.common import load, scratch
 
 
+def op1_poisson_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(load(spark, sf, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     counted = token_counts.count_tokens(load(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.prints_of(load(spark, sf, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(load(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0, capacity=2048)
 
@@ -24,5 +32,29 @@ def op10_binary_records(spark: SparkSession, sf: str) -> DataFrame:
     return records.digests(records.read_records(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op8_best_fit_packing, op10_binary_records)}
-SQL: dict[str, str] = {}
+_FUNCTIONS = (op1_poisson_mixing, op2_token_counts, op5_simhash_near_dedup, op8_best_fit_packing, op10_binary_records)
+QUERIES = {f.__name__: f for f in _FUNCTIONS}
+
+SQL = {
+    "op1_poisson_mixing": """
+        WITH RECURSIVE sizes AS (
+            SELECT source AS s, sum(octet_length(encode(text)))::DOUBLE AS b FROM documents GROUP BY 1
+        ), rates AS (
+            SELECT s, sqrt(b) / (SELECT sum(sqrt(b)) FROM sizes WHERE b > 0) * (SELECT sum(b) FROM sizes) / b AS rate
+            FROM sizes WHERE b > 0 AND s IS NOT NULL
+        ), steps AS (
+            SELECT s, rate, 0 AS k, exp(-rate) AS p, exp(-rate) AS c FROM rates
+            UNION ALL
+            SELECT s, rate, k + 1, p * rate / (k + 1), c + p * rate / (k + 1) FROM steps WHERE k < rate + 12 * sqrt(rate) + 30
+        ), drawn AS (
+            SELECT d.*, ('0x' || substr(md5('mix-count|' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE / 16.0 ^ 13 AS u
+            FROM documents d WHERE source IN (SELECT s FROM rates)
+        ), counted AS (
+            SELECT any_value(d.text) AS text, any_value(d.lang) AS lang, any_value(d.source) AS source, any_value(d.n_chars) AS n_chars,
+                d.doc_id, count(*) FILTER (WHERE st.c <= d.u) AS n
+            FROM drawn d JOIN steps st ON st.s = d.source GROUP BY d.doc_id
+        )
+        SELECT doc_id, text, lang, source, n_chars, r::INTEGER AS replica, md5('mix-order|' || coalesce(doc_id::VARCHAR, 'null') || '|' || r) AS mix_key
+        FROM (SELECT *, unnest(range(n)) AS r FROM counted)
+    """,
+}

@@ -8,21 +8,26 @@ ones come from the library, in batches of bounded bytes. A text of any length is
 from __future__ import annotations
 
 import functools
+import itertools
 import re
+from array import array
 
-import numpy as np
 from tokenizers import Tokenizer
 
 from keyed.llm.common import utf8
 
-#: Pieces kept at most; then the store starts anew. Bounds a worker's memory.
+#: Pieces of a generation: beyond it the older generation is dropped. Bounds a worker's memory.
 KEPT_PIECES = 400_000
 #: Pieces longer than this are not kept.
 KEPT_CHARS = 64
 #: Bytes of one call of the library.
 BATCH_BYTES = 64 << 10
 
-_LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+#: Lines of one word of letters and other marks after it; the marks hold no apostrophe. No token spans a border of these.
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+_MARKS = r"[!-&(-/:-@\[-`{-~]*"
+_PLAIN = re.compile(f"{_LETTERS}{_MARKS}(?:\n{_LETTERS}{_MARKS})*")
+_PARTS = re.compile(f"\n|{_LETTERS}|{_MARKS[:-1]}+")
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
 #: White space that may stand beside a space; any of it makes the split look at each space.
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
@@ -52,34 +57,50 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.spaced = self._whole(" a") != self._whole("a")
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {} if self.spaced else self.first
-        table = _byte_chars()
-        self._map = {b: c for b, c in enumerate(table)}
-        self._words = False
+        self.lead = " " if self.spaced else ""
+        self._map = dict(enumerate(_byte_chars()))
+        self._space = self._map[32] if self.spaced else ""
+        self.first: dict[str, bytes] = {}  # pieces without a space before them
+        self.rest: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self._marks: dict[str, bytes] = {}
         probes = ["a", "the", "Zebra", "héllo", "Über", "qqqzzz", "stupid", "ÿç"]
-        self._words = all(self._word(lead, w) == self._whole(lead + w) for w in probes for lead in ("", " "))
+        self._direct = all(self._word(self._space * bool(x), w) == self._whole(x + w) for w in probes for x in ("", " "))
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.library.encode(text, add_special_tokens=False).ids)
 
-    def _word(self, lead: str, word: str) -> bytes:
+    def _word(self, space: str, word: str) -> bytes:
         """Ids of letters alone: one word to the tokenizer, so its model can be asked directly."""
-        plain = lead + word if self.spaced else word.lower()
-        mapped = plain.encode().decode("latin-1").translate(self._map)
-        return np.array([t.id for t in self.library.model.tokenize(mapped)], "<u4").tobytes()
+        if not self.spaced:
+            word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self._map)
+        return _packed([t.id for t in self.library.model.tokenize(space + word)])
+
+    def _plain(self, store: dict[str, bytes], space: str, piece: str) -> bytes:
+        ids, lead = [], space
+        for part in _PARTS.findall(piece):
+            if part[0].isalpha():
+                if lead == space and part in store:
+                    ids.append(store[part])
+                else:
+                    ids.append(self._word(lead, part))
+                    if lead == space and part != piece:
+                        store[part] = ids[-1]
+            else:
+                if part not in self._marks:
+                    self._marks[part] = self._whole(part)
+                ids.append(self._marks[part])
+            lead = ""
+        return b"".join(ids)
 
     def _learn(self, store: dict[str, bytes], new: set[str], lead: str) -> dict[str, bytes]:
         """Adds the pieces; returns the ids of those too long to keep."""
-        odd, long = [], {}
+        odd, long, space = [], {}, self._space if lead else ""
         for piece in new:
-            if self._words and len(piece) <= KEPT_CHARS and (m := _LETTERS.fullmatch(piece)):
-                word, mark = m.groups()
-                ids = store[word] if word in store else self._word(lead, word)
-                if mark:
-                    store.setdefault(word, ids)
-                    ids += store[f"\0{mark}"] if f"\0{mark}" in store else store.setdefault(f"\0{mark}", self._whole(mark))
-                store[piece] = ids
+            if self._direct and len(piece) <= KEPT_CHARS and _PLAIN.fullmatch(piece):
+                store[piece] = self._plain(store, space, piece)
             else:
                 odd.append(piece)
         at = 0
@@ -90,27 +111,35 @@ class Encoder:
                 size += len(odd[at])
                 at += 1
             for piece, e in zip(lot, self.library.encode_batch_fast([lead + p for p in lot], add_special_tokens=False), strict=True):
-                (store if len(piece) <= KEPT_CHARS else long)[piece] = np.array(e.ids, "<u4").tobytes()
+                (store if len(piece) <= KEPT_CHARS else long)[piece] = _packed(e.ids)
         return long
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts; nulls count as empty."""
-        if len(self.first) + len(self.rest) > KEPT_PIECES:
-            self.first.clear()
-            self.rest.clear()
-        pieces = [split_text(t) if t.isprintable() or _clean(t) else split_text(utf8(t).decode("utf-8", "replace")) for t in (t or "" for t in texts)]
-        tails = set()
-        for p in pieces:
-            tails.update(p[1:])
-        first = self._find(self.first, {p[0] for p in pieces}, "")
-        rest = self._find(self.rest, tails, " " if self.spaced else "")
-        return [first(p[0]) + b"".join(map(rest, p[1:])) for p in pieces]
-
-    def _find(self, store: dict[str, bytes], wanted: set[str], lead: str):
-        long = self._learn(store, wanted.difference(store), lead)
+        if len(self.rest) > KEPT_PIECES:
+            self.rest, self.old = {}, self.rest
+        if len(self.first) + len(self._marks) > KEPT_PIECES:
+            self.first, self._marks = {}, {}
+        pieces = [split_text(t if _clean(t) else utf8(t).decode("utf-8", "replace")) for t in (t or "" for t in texts)]
+        wanted: set[str] = set()
+        wanted.update(*pieces)
+        wanted = wanted.difference(self.rest)
+        if self.old:
+            self.rest.update({p: self.old[p] for p in wanted if p in self.old})
+            wanted = wanted.difference(self.rest)
+        rest = self._getter(self.rest, wanted, self.lead)
+        first = self._getter(self.first, {p[0] for p in pieces}.difference(self.first), "")
+        return [first(p[0]) + b"".join(map(rest, itertools.islice(p, 1, None))) for p in pieces]
+
+    def _getter(self, store: dict[str, bytes], wanted: set[str], lead: str):
+        long = self._learn(store, wanted, lead)
         return (lambda p: long[p] if p in long else store[p]) if long else store.__getitem__
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 def _clean(text: str) -> bool:
     try:
         text.encode()
