@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from keyed.llm import mixing, packing, records, simhash, token_counts
-from keyed.llm.common import load, scratch
+from keyed.llm import convnet, mixing, packing, records, rules, simhash, token_counts, toxicity
+from keyed.llm.common import crc_mod, load, scratch
 
 
 def op1_poisson_mixing(spark: SparkSession, sf: str) -> DataFrame:
@@ -18,10 +19,30 @@ def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = load(spark, sf, "documents"), load(spark, sf, "labels")
+    model = toxicity.train(docs, labels, crc_mod("doc_id", 3) != 1)
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.prints_of(load(spark, sf, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = load(spark, sf, "documents"), load(spark, sf, "labels")
+    judged = rules.judge(docs.select("doc_id", "text"), rules.train(docs, labels))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op7_quality_network(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = load(spark, sf, "documents"), load(spark, sf, "labels")
+    net = convnet.train(docs, labels, crc_mod("doc_id", 4) != 2)
+    scored = convnet.score(docs.select("doc_id", "text"), net)
+    return scored.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(load(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0, capacity=2048)
 
@@ -32,7 +53,16 @@ def op10_binary_records(spark: SparkSession, sf: str) -> DataFrame:
     return records.digests(records.read_records(spark, folder))
 
 
-_FUNCTIONS = (op1_poisson_mixing, op2_token_counts, op5_simhash_near_dedup, op8_best_fit_packing, op10_binary_records)
+_FUNCTIONS = (
+    op1_poisson_mixing,
+    op2_token_counts,
+    op3_toxicity,
+    op5_simhash_near_dedup,
+    op6_quality_rules,
+    op7_quality_network,
+    op8_best_fit_packing,
+    op10_binary_records,
+)
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
 
 SQL = {
