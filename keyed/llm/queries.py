@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyed.llm import convnet, mixing, packing, records, rules, simhash, token_counts, toxicity
+from keyed.llm import convnet, mixing, packing, records, rules, simhash, token_counts, topk, toxicity
 from keyed.llm.common import crc_mod, load, scratch
 
 
@@ -47,6 +47,11 @@ def op8_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(load(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0, capacity=2048)
 
 
+def op9_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = load(spark, sf, "embeddings")
+    return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def op10_binary_records(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch(spark, "records")
     records.write_records(load(spark, sf, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end=1)
@@ -61,6 +66,7 @@ _FUNCTIONS = (
     op6_quality_rules,
     op7_quality_network,
     op8_best_fit_packing,
+    op9_exact_top_k,
     op10_binary_records,
 )
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
@@ -87,4 +93,17 @@ SQL = {
         SELECT doc_id, text, lang, source, n_chars, r::INTEGER AS replica, md5('mix-order|' || coalesce(doc_id::VARCHAR, 'null') || '|' || r) AS mix_key
         FROM (SELECT *, unnest(range(n)) AS r FROM counted)
     """,
+    "op9_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS w FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.w::DOUBLE[], c.w::DOUBLE[])::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.w) = len(c.w) WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+        ) WHERE rank <= 10
+    """,
 }
