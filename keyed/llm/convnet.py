@@ -168,6 +168,13 @@ def train(docs: DataFrame, labels: DataFrame, where: Column, label: str = "quali
     return fit([r.text for r in rows], np.array([r.y for r in rows], float))
 
 
+def probability_column(net: Net, text: str | Column = "text") -> Column:
+    def of(texts: list[str | None]) -> pa.Array:
+        return pa.array(net.probabilities(texts), pa.float64())
+
+    return F.round(per_text(of, "double", text), 9)
+
+
 def score(docs: DataFrame, net: Net, threshold: float = 0.7, text: str = "text") -> DataFrame:
     """Adds ``score`` (0 to 1, from all chunks of the text) and ``predicted`` (1 from the threshold on) to every row.
 
@@ -176,9 +183,5 @@ def score(docs: DataFrame, net: Net, threshold: float = 0.7, text: str = "text")
     LOT chunks at a time; no shuffle.
     """
     ready(docs.sparkSession)
-
-    def of(texts: list[str | None]) -> pa.Array:
-        return pa.array(net.probabilities(texts), pa.float64())
-
-    scored = replace_columns(docs, {"score": F.round(per_text(of, "double", text), 9)})
+    scored = replace_columns(docs, {"score": probability_column(net, text)})
     return replace_columns(scored, {"predicted": (F.col("score") >= threshold).cast("int")})

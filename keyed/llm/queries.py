@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyed.llm import convnet, mixing, packing, records, rules, simhash, token_counts, topk, toxicity
+from keyed.llm import convnet, mixing, packing, records, rules, simhash, substring, token_counts, topk, toxicity
 from keyed.llm.common import crc_mod, load, scratch
 
 
@@ -26,6 +26,10 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op4_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring.remove_repeats(load(spark, sf, "documents"), only_digest=True)
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.prints_of(load(spark, sf, "documents"))
 
@@ -62,6 +66,7 @@ _FUNCTIONS = (
     op1_poisson_mixing,
     op2_token_counts,
     op3_toxicity,
+    op4_substring_dedup,
     op5_simhash_near_dedup,
     op6_quality_rules,
     op7_quality_network,

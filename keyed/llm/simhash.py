@@ -94,31 +94,44 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Texts are read once and not shuffled: the table of rows with their fingerprints is written to the shared folder. Copies
     are aggregated to one row per fingerprint before anything is joined.
     """
+    return labelled(_printed(docs, doc_id, text), doc_id)
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of near-duplicates, that with the least id (null ids last), with the columns of the input."""
+    kept = _with_class(_printed(docs, doc_id, text)).filter(F.col("__id") == F.col("c"))
+    return kept.select(*(f"`{c}`" for c in docs.columns))
+
+
+def _printed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows with their fingerprint and an order of them, written: a row's number must not change when a task runs again."""
     ready(docs.sparkSession)
-    f, i = "__print", "__id"
-    rows = cut(docs.withColumns({f: fingerprints(docs, text), i: F.col(doc_id)}), "fingerprints")
-    return labelled(rows, f, i, doc_id)
+    order = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.monotonically_increasing_id().alias("row"))
+    return cut(docs.withColumns({"__print": fingerprints(docs, text), "__id": order}), "fingerprints")
 
 
-def classes(rows: DataFrame, f: str, i: str) -> DataFrame:
-    """One row per fingerprint: f and the least id reached, c."""
-    prints = cut(rows.groupBy(F.col(f).alias("f")).agg(F.min(i).alias("least")), "prints")
+def classes(rows: DataFrame) -> DataFrame:
+    """One row per fingerprint: f and the least row reached, c."""
+    prints = cut(rows.groupBy(F.col("__print").alias("f")).agg(F.min("__id").alias("least")), "prints")
     stars = components(links(prints.select("f")).select(F.col("f").alias("u"), F.col("g").alias("v")))
     known = prints.join(stars.withColumnRenamed("node", "f"), "f", "left").select("f", "least", F.coalesce("component", "f").alias("r"))
     least = known.groupBy("r").agg(F.min("least").alias("c"))
     return known.join(least, "r").select("f", "c")
 
 
-def labelled(rows: DataFrame, f: str, i: str, doc_id: str) -> DataFrame:
-    found = classes(rows, f, i)
-    joined = rows.join(found, F.col(f) == F.col("f"))
-    new = {"fingerprint": F.lower(F.lpad(F.hex(F.col(f)), 16, "0")), "component_id": F.col("c")}
-    return replace_columns(joined, new).drop(f, i, "f", "c")
+def _with_class(rows: DataFrame) -> DataFrame:
+    return rows.join(classes(rows), F.col("__print") == F.col("f")).drop("f")
+
+
+def labelled(rows: DataFrame, doc_id: str) -> DataFrame:
+    new = {"fingerprint": F.lower(F.lpad(F.hex("__print"), 16, "0")), "component_id": F.col("c.id")}
+    return replace_columns(_with_class(rows), new).drop("__print", "__id", "c")
 
 
 def prints_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Only ids with their results, for callers that don't need the texts again."""
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     ready(docs.sparkSession)
-    rows = cut(slim.select("doc_id", fingerprints(slim).alias("__print")), "fingerprints")
-    return labelled(rows.withColumn("__id", F.col("doc_id")), "__print", "__id", "doc_id").select("doc_id", "fingerprint", "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("row"))
+    rows = cut(slim.select("doc_id", fingerprints(slim).alias("__print"), order.alias("__id")), "fingerprints")
+    return labelled(rows, "doc_id").select("doc_id", "fingerprint", "component_id")
