@@ -6,14 +6,16 @@ documents share name the passages that may repeat. All passages around one ancho
 they meet in one task, where each is streamed through a suffix automaton of those of earlier documents and then added to
 it. The automaton compares whole words; hashes only find candidates.
 
-An anchor with more occurrences than SHARD (a common line, a large group of copies) is not a bounded shard. Its windows are
-aggregated by a 128-bit hash of their words instead, before any shuffle, which needs no group in one place.
+An anchor with more occurrences than SHARD (a common line, a large group of copies) is not a bounded shard. Its passages are
+aggregated by a 128-bit hash of their words instead, and the windows of different passages likewise, before they are
+shuffled; that needs no group in one place.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -170,29 +172,39 @@ def _totals(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.StructArray.from_arrays([pa.array([n for n, _ in found], pa.int64()), pa.array([s for _, s in found], pa.string())], ["n", "sha"])
 
 
+_PASSAGES = "a long, b long, i long, t long, s int, n int, words binary, windows array<struct<a:long,b:long>>"
+
+
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Passages around shared anchors (words, anchor), and the windows of anchors that are too common (two hashes)."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("i", pa.int64()), ("t", pa.int64()), ("s", pa.int32()), ("words", pa.binary())])
+    """Passages around shared anchors, n windows each: with their words (a: the anchor's hash) or, where the anchor is too
+    common to be a shard, with a hash of the whole passage (a, b) and one of each window."""
+    pair = pa.struct([("a", pa.int64()), ("b", pa.int64())])
+    kinds = {"a": pa.int64(), "b": pa.int64(), "i": pa.int64(), "t": pa.int64(), "s": pa.int32(), "n": pa.int32(), "words": pa.binary()}
     for batch in batches:
+        rows, ends, one, two = [], [0], [], []
         for i, t, text, shared in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             words = words_of(text)
             h = word_hashes(words)
             asked = {x["p"]: x["hot"] for x in shared}
-            rows = []
-            common = []
+            each = [_rolled(h, WINDOW, p).view(np.int64) for p in (_POWERS, _POWERS2)] if any(asked.values()) else None
             for a, p, first, last in zip(*(x.tolist() for x in anchors(h)), strict=True):
                 hot = asked.get(p)
+                if hot is None:
+                    continue
+                joined = b" ".join(words[first : last + WINDOW])
+                n = last - first + 1
                 if hot:
-                    common.append(np.arange(first, last + 1))
-                elif hot is not None:
-                    rows.append((a, None, i, t, first, b" ".join(words[first : last + WINDOW])))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-            if common:
-                s = np.concatenate(common)
-                one, two = (_rolled(h, WINDOW, p)[s].view(np.int64) for p in (_POWERS, _POWERS2))
-                n = len(s)
-                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array([i] * n, pa.int64()), pa.array([t] * n, pa.int64()), pa.array(s.astype(np.int32)), pa.nulls(n, pa.binary())], schema=schema)
+                    x, y = struct.unpack("<qq", xxhash.xxh3_128_digest(joined))
+                    rows.append((x, y, i, t, first, n, None))
+                    one.append(each[0][first : last + 1])
+                    two.append(each[1][first : last + 1])
+                else:
+                    rows.append((a, None, i, t, first, n, joined))
+                ends.append(ends[-1] + n * hot)
+        if rows:
+            flat = pa.StructArray.from_arrays([pa.array(np.concatenate(x or [np.zeros(0, np.int64)])) for x in (one, two)], fields=list(pair))
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=[*kinds, "windows"])
 
 
 def shard_spans(rows: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, int]]:
@@ -279,12 +291,18 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if only_digest:
         met = met.withColumn("__x", F.when(F.col("__shared").isNotNull(), F.col("__x")))
     base = cut(met, "texts")
-    passages = cut(base.filter("__shared IS NOT NULL").select("__i", "__t", "__x", "__shared").mapInArrow(_passages, "a long, b long, i long, t long, s int, words binary"), "passages")
+    passages = cut(base.filter("__shared IS NOT NULL").select("__i", "__t", "__x", "__shared").mapInArrow(_passages, _PASSAGES), "passages")
     rare = passages.filter("words IS NOT NULL").select("a", "i", "t", "s", "words").repartition("a").sortWithinPartitions("a", "i")
     by_shard = rare.mapInArrow(_shards, "i long, t long, b int, e int")
-    windows = passages.filter("words IS NULL").select("a", "b", "i", "t", "s")
+    common = passages.filter("words IS NULL").select("a", "b", "i", "t", "s", "n", "windows")
+    firsts = common.groupBy("a", "b").agg(F.min("i").alias("lo"))
+    # copies of a passage go whole; only its first document is compared window by window
+    copies = common.drop("windows").join(firsts, ["a", "b"]).filter("i > lo").select("i", "t", F.col("s").alias("b"), (F.col("s") + F.col("n") + (WINDOW - 1)).alias("e"))
+    held = common.join(firsts, ["a", "b"]).filter("i = lo").select("i", "t", "s", F.posexplode("windows").alias("k", "w"))
+    windows = held.select(F.col("w.a").alias("a"), F.col("w.b").alias("b"), "i", "t", (F.col("s") + F.col("k")).alias("s"))
     least = windows.groupBy("a", "b").agg(F.min("i").alias("lo"), F.max("i").alias("hi")).filter("lo < hi").select("a", "b", "lo")
-    by_hash = windows.join(least, ["a", "b"]).filter("i > lo").select("i", "t", F.col("s").alias("b"), (F.col("s") + WINDOW).cast("int").alias("e"))
+    singles = windows.join(least, ["a", "b"]).filter("i > lo").select("i", "t", F.col("s").alias("b"), (F.col("s") + WINDOW).alias("e"))
+    by_hash = copies.unionByName(singles).withColumns({"b": F.col("b").cast("int"), "e": F.col("e").cast("int")})
     spans = by_shard.unionByName(by_hash).groupBy("i", "t").agg(F.collect_set(F.struct("b", "e")).alias("__spans"))
     joined = base.join(spans, (F.col("__i") == F.col("i")) & (F.col("__t") == F.col("t")), "left").drop("i", "t")
     done = joined.withColumn("__out", F.arrow_udf(_without, "struct<n:long,sha:string,text:string>")("__x", "__spans"))
