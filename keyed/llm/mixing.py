@@ -45,9 +45,9 @@ def rates(docs: DataFrame, weights: dict[str, float] | None, power: float, budge
     else:
         given = F.create_map(*(F.lit(x) for kv in weights.items() for x in kv)) if weights else F.lit(None).cast("map<string,double>")
         weighed = sizes.withColumn("w", F.coalesce(F.element_at(given, F.col("s")).cast("double"), F.lit(0.0)))
-    total = weighed.agg(F.sum("b").alias("tb"), F.sum("w").alias("tw"))
-    sent = weighed.join(F.broadcast(total))  # one row
-    return sent.select("s", F.coalesce(F.try_divide(F.col("w"), F.col("tw")) * F.lit(budget) * F.col("tb") / F.col("b"), F.lit(0.0)).alias("rate"))
+    all_bytes, all_weight = weighed.agg(F.sum("b"), F.sum("w")).first()  # two numbers
+    rate = F.col("w") * budget * all_bytes / F.col("b") / all_weight if all_weight else F.lit(0.0)
+    return weighed.select("s", rate.alias("rate"))
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, budget: float = 1.0, seed: str = "mix", doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:

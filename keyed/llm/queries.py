@@ -81,7 +81,7 @@ SQL = {
         WITH RECURSIVE sizes AS (
             SELECT source AS s, sum(octet_length(encode(text)))::DOUBLE AS b FROM documents GROUP BY 1
         ), rates AS (
-            SELECT s, sqrt(b) / (SELECT sum(sqrt(b)) FROM sizes WHERE b > 0) * (SELECT sum(b) FROM sizes) / b AS rate
+            SELECT s, sqrt(b) * (SELECT sum(b) FROM sizes) / b / (SELECT sum(sqrt(b)) FROM sizes WHERE b > 0) AS rate
             FROM sizes WHERE b > 0 AND s IS NOT NULL
         ), steps AS (
             SELECT s, rate, 0 AS k, exp(-rate) AS p, exp(-rate) AS c FROM rates
