@@ -67,11 +67,11 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
     sources they are sent to the tasks, else joined.
     """
     spark = ready(docs.sparkSession)
-    rate = rates(docs, weights, power, budget, source, text).filter("s is not null").cache()
+    rate = rates(docs, weights, power, budget, source, text).filter("s is not null").select(F.col("s").alias("__s"), F.col("rate").alias("__rate")).cache()
     few = rate.limit(MOST_SENT + 1).count() <= MOST_SENT
-    rated = docs.join(F.broadcast(rate) if few else rate, docs[source].cast("string") == F.col("s"))
+    rated = docs.join(F.broadcast(rate) if few else rate, docs[source].cast("string") == F.col("__s"))
     u = uniform(F.lit(f"{seed}-count"), F.coalesce(docs[doc_id].cast("string"), F.lit("null")))
-    counted = rated.withColumn("__n", poisson(u, F.col("rate"))).drop("s", "rate").filter("__n > 0")
+    counted = rated.withColumn("__n", poisson(u, F.col("__rate"))).drop("__s", "__rate").filter("__n > 0")
     replicas = counted.withColumn("__r", F.explode(F.sequence(F.lit(0), (F.col("__n") - 1).cast("int")))).drop("__n")
     key = F.md5(F.concat_ws("|", F.lit(f"{seed}-order"), F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("null")), F.col("__r")))
     dealt = replicas.withColumn("__key", key)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyed.llm.common import cut, per_text, ready, replace_columns, words_of
@@ -98,9 +98,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group of near-duplicates, that with the least id (null ids last), with the columns of the input."""
-    kept = _with_class(_printed(docs, doc_id, text)).filter(F.col("__id") == F.col("c"))
-    return kept.select(*(f"`{c}`" for c in docs.columns))
+    """One row of each group of near-duplicates, that with the least id (null ids last), with the columns of the input.
+
+    Of rows with the same id and text any one stays. The texts are shuffled once, to meet the ids that stay.
+    """
+    ready(docs.sparkSession)
+    key = {"__none": F.col(doc_id).isNull(), "__key": F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), "__hash": F.xxhash64(text)}
+    keyed = docs.withColumns(key)
+    slim = cut(keyed.select(fingerprints(docs, text).alias("__print"), F.struct("__none", "__key", "__hash").alias("__id")), "fingerprints")
+    kept = classes(slim).select("c.*").distinct()
+    found = keyed.join(kept, list(key), "left_semi")
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1)))  # copies of a row are equal in id and text
+    return found.withColumn("__nth", nth).filter("__nth = 1").select(*(f"`{c}`" for c in docs.columns))
 
 
 def _printed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -120,12 +129,13 @@ def classes(rows: DataFrame) -> DataFrame:
 
 
 def _with_class(rows: DataFrame) -> DataFrame:
-    return rows.join(classes(rows), F.col("__print") == F.col("f")).drop("f")
+    found = classes(rows).select(F.col("f").alias("__f"), F.col("c").alias("__least"))
+    return rows.join(found, F.col("__print") == F.col("__f")).drop("__f")
 
 
 def labelled(rows: DataFrame, doc_id: str) -> DataFrame:
-    new = {"fingerprint": F.lower(F.lpad(F.hex("__print"), 16, "0")), "component_id": F.col("c.id")}
-    return replace_columns(_with_class(rows), new).drop("__print", "__id", "c")
+    new = {"fingerprint": F.lower(F.lpad(F.hex("__print"), 16, "0")), "component_id": F.col("__least.id")}
+    return replace_columns(_with_class(rows), new).drop("__print", "__id", "__least")
 
 
 def prints_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyed.llm.common import cut, ready, replace_columns, utf8, words_of
+from keyed.llm.common import cut, ready, release, replace_columns, utf8, words_of
 
 WINDOW, GRAM, SHARD = 50, 8, 512
 #: Hashes of words kept per worker, and grams whose least values are sought at once.
@@ -266,6 +266,21 @@ def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]
         yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string())], ["n", "sha", "text"])
 
 
+def _with_anchors(docs: DataFrame, doc_id: str, text: str, only_digest: bool) -> DataFrame:
+    """Each row with its totals and those of its anchors that another document has; written, as two later steps read it."""
+    slim = docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).cast("string").alias("x"))
+    found = slim.filter("i IS NOT NULL AND x IS NOT NULL").select("i", F.explode(F.arrow_udf(_anchors, "array<struct<a:long,p:int>>")("x")).alias("y"))
+    rows = cut(found.select("i", "y.a", "y.p"), "anchors")
+    shared = rows.groupBy("a").agg(F.min("i").alias("lo"), F.max("i").alias("hi"), F.count("*").alias("n")).filter("lo < hi")
+    asked = rows.join(shared.select("a", (F.col("n") > SHARD).alias("hot")), "a").groupBy(F.col("i").alias("__of")).agg(F.collect_list(F.struct("p", "hot")).alias("__shared"))
+    source = slim.select(F.col("i").alias("__i"), F.col("x").alias("__x")) if only_digest else docs.withColumns({"__i": F.col(doc_id).cast("long"), "__x": F.col(text).cast("string")}).drop(text)
+    met = source.join(asked, F.col("__i") == F.col("__of"), "left").drop("__of")
+    met = met.withColumns({"__t": F.xxhash64("__x"), "__all": F.arrow_udf(_totals, "struct<n:long,sha:string>")("__x")})
+    if only_digest:
+        met = met.withColumn("__x", F.when(F.col("__shared").isNotNull(), F.col("__x")))
+    return cut(met, "texts")
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", only_digest: bool = False) -> DataFrame:
     """Takes repeated passages out of ``text`` and adds ``n_words``, ``n_removed`` and ``kept_sha256`` (kept words joined by a space).
 
@@ -279,18 +294,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     documents share, and the spans to remove. Each step is aggregated before it is shuffled or bounded by a document; no
     group of a common anchor is brought together.
     """
-    spark = ready(docs.sparkSession)
-    slim = docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).cast("string").alias("x"))
-    found = slim.filter("i IS NOT NULL AND x IS NOT NULL").select("i", F.explode(F.arrow_udf(_anchors, "array<struct<a:long,p:int>>")("x")).alias("y")).select("i", "y.a", "y.p")
-    rows = cut(found, "anchors")
-    shared = rows.groupBy("a").agg(F.min("i").alias("lo"), F.max("i").alias("hi"), F.count("*").alias("n")).filter("lo < hi")
-    asked = rows.join(shared.select("a", (F.col("n") > SHARD).alias("hot")), "a").groupBy("i").agg(F.collect_list(F.struct("p", "hot")).alias("__shared"))
-    source = slim.withColumnRenamed("x", "__x") if only_digest else docs.withColumns({"i": F.col(doc_id).cast("long"), "__x": F.col(text).cast("string")})
-    source = source.withColumnRenamed("i", "__i")
-    met = source.join(asked, F.col("__i") == F.col("i"), "left").drop("i").withColumn("__t", F.xxhash64("__x")).withColumn("__all", F.arrow_udf(_totals, "struct<n:long,sha:string>")("__x"))
-    if only_digest:
-        met = met.withColumn("__x", F.when(F.col("__shared").isNotNull(), F.col("__x")))
-    base = cut(met, "texts")
+    ready(docs.sparkSession)
+    base = _with_anchors(docs, doc_id, text, only_digest)
+    release(docs.sparkSession)
     passages = cut(base.filter("__shared IS NOT NULL").select("__i", "__t", "__x", "__shared").mapInArrow(_passages, _PASSAGES), "passages")
     rare = passages.filter("words IS NOT NULL").select("a", "i", "t", "s", "words").repartition("a").sortWithinPartitions("a", "i")
     by_shard = rare.mapInArrow(_shards, "i long, t long, b int, e int")
@@ -303,11 +309,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     least = windows.groupBy("a", "b").agg(F.min("i").alias("lo"), F.max("i").alias("hi")).filter("lo < hi").select("a", "b", "lo")
     singles = windows.join(least, ["a", "b"]).filter("i > lo").select("i", "t", F.col("s").alias("b"), (F.col("s") + WINDOW).alias("e"))
     by_hash = copies.unionByName(singles).withColumns({"b": F.col("b").cast("int"), "e": F.col("e").cast("int")})
-    spans = by_shard.unionByName(by_hash).groupBy("i", "t").agg(F.collect_set(F.struct("b", "e")).alias("__spans"))
-    joined = base.join(spans, (F.col("__i") == F.col("i")) & (F.col("__t") == F.col("t")), "left").drop("i", "t")
+    spans = by_shard.unionByName(by_hash).groupBy(F.col("i").alias("__of"), F.col("t").alias("__row")).agg(F.collect_set(F.struct("b", "e")).alias("__spans"))
+    some, none = base.filter("__shared IS NOT NULL"), base.filter("__shared IS NULL")
+    met = some.join(spans, (F.col("__i") == F.col("__of")) & (F.col("__t") == F.col("__row")), "left").drop("__of", "__row")
+    joined = met.unionByName(none.withColumn("__spans", F.lit(None).cast(met.schema["__spans"].dataType)))
     done = joined.withColumn("__out", F.arrow_udf(_without, "struct<n:long,sha:string,text:string>")("__x", "__spans"))
     new = {"n_words": F.col("__all.n"), "n_removed": F.col("__out.n"), "kept_sha256": F.coalesce("__out.sha", "__all.sha")}
     if only_digest:
         return done.select(F.col("__i").alias(doc_id), *(v.alias(k) for k, v in new.items()))
-    changed = replace_columns(done.withColumn(text, F.coalesce("__out.text", F.col(f"`{text}`"))), new)
-    return changed.drop("__i", "__x", "__t", "__all", "__shared", "__spans", "__out")
+    changed = replace_columns(done, {text: F.coalesce("__out.text", "__x"), **new})
+    added = [c for c in new if c.lower() not in {x.lower() for x in docs.columns}]
+    return changed.select(*(f"`{c}`" for c in docs.columns), *added)
