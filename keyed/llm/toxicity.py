@@ -63,9 +63,9 @@ def fit(texts: list[str | None], y: np.ndarray, prior: float | None = None, step
     """
     y = np.asarray(y, np.float64)
     share = float(y.mean()) if len(y) else 0.5
-    prior = min(max(share if prior is None else prior, 1e-3), 1 - 1e-3)
+    prior = min(max(share if prior is None or not len(y) else prior, 1e-3), 1 - 1e-3)
     flat = float(np.log(prior / (1 - prior)))
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         return Model(np.zeros(0, np.int64), np.zeros(0), flat)
     count = np.zeros((2, 1 << BITS))
     seen = np.zeros(1 << BITS, bool)
