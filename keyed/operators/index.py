@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..plans.bounds import fit, key_range, normalise, range_condition
+from ..plans.bounds import fit, key_range, normalise, predicate, range_condition
 from ..sources.table import SHARD, KeyedTable
 from .write import WriteResult, build_index
 
@@ -19,19 +20,28 @@ def create_index(table: KeyedTable, name: str, columns: Sequence[str], splits: S
 
 
 def index_lookup(table: KeyedTable, name: str, where: Sequence[tuple[str, str, Any]]) -> DataFrame:
-    """Rows of the table whose index columns match: the index gives the keys, the keys give the rows.
+    """Rows of the table that match all triples, found by the index: it gives the keys, the keys give the rows.
 
-    The matching entries name the shards to open (as many numbers as the table has shards reach the driver).
+    Columns of the index choose its shards and are compared on its entries, nulls included (``<=> NULL``); other columns are
+    compared on the rows. The matching entries name the shards to open (as many numbers as the table has shards reach the
+    driver).
     """
     index = table.indexes[name]
-    found = key_range(index.keys, [(c, op, fit(v, index.schema[c].dataType)) for c, op, v in normalise(where, index.schema.names)])
+    triples = [(c, op, fit(v, table.schema[c].dataType)) for c, op, v in normalise(where, table.schema.names)]
+    held = set(index.schema.names)
+    found = key_range(index.keys, [t for t in triples if t[0] in index.keys and t[2] is not None])
     if found is None:
         return table.base.read(table.spark, ()).drop(SHARD)
     entries = index.read(table.spark, index.holding(table.spark, found))
     condition = range_condition(index.keys, index.key_types(), found)
     if condition is not None:
         entries = entries.filter(condition)
+    for c, op, v in triples:
+        if c in held:
+            entries = entries.filter(predicate(F.col(c), table.schema[c].dataType, op, v))
     routed = entries.select(*table.keys).withColumn(SHARD, table.base.shard_column())
     touched = [r[0] for r in routed.select(SHARD).distinct().collect()]
     rows = table.base.read(table.spark, [s for s in touched if s in table.base.live])
+    for c, op, v in triples:
+        rows = rows.filter(predicate(F.col(c), table.schema[c].dataType, op, v))  # reaches the Parquet scan
     return rows.join(routed, [SHARD, *table.keys], "left_semi").select(*table.schema.names)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
-from decimal import Decimal
+from decimal import Decimal, localcontext
 from functools import cmp_to_key
 from typing import Any
 
@@ -137,11 +137,16 @@ def fit(value: Any, dtype: T.DataType) -> Any:
         return dt.date.fromisoformat(value) if isinstance(value, str) else value
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         moment = dt.datetime.fromisoformat(value) if isinstance(value, str) else value
-        return moment.astimezone().replace(tzinfo=None) if moment.tzinfo else moment
+        if not moment.tzinfo:
+            return moment
+        # columns without a zone hold UTC; instants are compared as Python hands them over, in the zone of this process
+        zone = dt.timezone.utc if isinstance(dtype, T.TimestampNTZType) else None
+        return moment.astimezone(zone).replace(tzinfo=None)
     if isinstance(dtype, T.DecimalType):
         exact = Decimal(str(value))
-        if exact != round(exact, dtype.scale):
-            raise TypeError(f"{value!r} is not a {dtype.simpleString()}")
+        with localcontext(prec=100):
+            if exact != round(exact, dtype.scale):
+                raise TypeError(f"{value!r} is not a {dtype.simpleString()}")
         return exact
     if isinstance(dtype, T.IntegralType):
         if isinstance(value, (str, bytes)) or value != int(value):
@@ -152,7 +157,15 @@ def fit(value: Any, dtype: T.DataType) -> Any:
     return value
 
 
+_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+
+
 def literal(value: Any, dtype: T.DataType) -> Column:
+    """A value as a literal of the column's type, free of any time zone; an integer beyond the type keeps a wider one."""
+    if value is not None and isinstance(dtype, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+    if isinstance(value, int) and (bits := _BITS.get(type(dtype))) and not -(1 << bits - 1) <= value < 1 << bits - 1:
+        return F.lit(str(value)).cast(T.DecimalType(38, 0))
     return F.lit(value).cast(dtype)
 
 

@@ -38,7 +38,11 @@ def dates_as_text(df: DataFrame) -> DataFrame:
             out[f.name] = F.date_format(f.name, DATE_TEXT)
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             whole = str((f.metadata or {}).get("logical", "")).startswith("Datetime")
-            out[f.name] = F.date_format(f.name, SECONDS_TEXT if whole else MICROS_TEXT)
+            at = F.col(f"`{f.name}`")
+            if isinstance(f.dataType, T.TimestampType):  # the text is in UTC whatever the session's zone
+                seconds = (F.unix_micros(at).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+                at = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+            out[f.name] = F.date_format(at, SECONDS_TEXT if whole else MICROS_TEXT)
     return df.withColumns(out) if out else df
 
 
