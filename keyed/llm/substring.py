@@ -2,13 +2,13 @@
 
 A window is WINDOW consecutive words; a word goes if a window over it also starts in a document with a smaller id. Every
 window picks an anchor: the least hash of its runs of GRAM words, so equal windows pick equal anchors. Anchors that two
-documents share name the passages that may repeat. All passages around one anchor are a reference shard of bounded size:
-they meet in one task, where each is streamed through a suffix automaton of those of earlier documents and then added to
-it. The automaton compares whole words; hashes only find candidates.
+documents share name the passages that may repeat. Equal passages are aggregated by a 128-bit hash of their words before they
+are shuffled: all but the first document lose theirs whole, and one row of each different passage goes on.
 
-An anchor with more occurrences than SHARD (a common line, a large group of copies) is not a bounded shard. Its passages are
-aggregated by a 128-bit hash of their words instead, and the windows of different passages likewise, before they are
-shuffled; that needs no group in one place.
+All different passages around one anchor are a reference shard of bounded size: they meet in one task, where each is streamed
+through a suffix automaton of those of earlier documents and then added to it. An anchor with more than SHARD different
+passages (a common line) is not a bounded shard; the windows of its passages are aggregated by hash instead, as the passages
+were, which needs no group in one place.
 """
 
 from __future__ import annotations
@@ -172,53 +172,37 @@ def _totals(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.StructArray.from_arrays([pa.array([n for n, _ in found], pa.int64()), pa.array([s for _, s in found], pa.string())], ["n", "sha"])
 
 
-_PASSAGES = "a long, b long, i long, t long, s int, n int, words binary, windows array<struct<a:long,b:long>>"
+_PASSAGES = "a long, x long, y long, i long, t long, s int, n int, words binary"
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Passages around shared anchors, n windows each: with their words (a: the anchor's hash) or, where the anchor is too
-    common to be a shard, with a hash of the whole passage (a, b) and one of each window."""
-    pair = pa.struct([("a", pa.int64()), ("b", pa.int64())])
-    kinds = {"a": pa.int64(), "b": pa.int64(), "i": pa.int64(), "t": pa.int64(), "s": pa.int32(), "n": pa.int32(), "words": pa.binary()}
+    """Passages around shared anchors, n windows each: the anchor's hash (a), that of all words (x, y), the words."""
+    kinds = {"a": pa.int64(), "x": pa.int64(), "y": pa.int64(), "i": pa.int64(), "t": pa.int64(), "s": pa.int32(), "n": pa.int32(), "words": pa.binary()}
     for batch in batches:
-        rows, ends, one, two = [], [0], [], []
+        rows = []
         for i, t, text, shared in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            words = words_of(text)
-            h = word_hashes(words)
-            asked = {x["p"]: x["hot"] for x in shared}
-            each = [_rolled(h, WINDOW, p).view(np.int64) for p in (_POWERS, _POWERS2)] if any(asked.values()) else None
-            for a, p, first, last in zip(*(x.tolist() for x in anchors(h)), strict=True):
-                hot = asked.get(p)
-                if hot is None:
-                    continue
-                joined = b" ".join(words[first : last + WINDOW])
-                n = last - first + 1
-                if hot:
-                    x, y = struct.unpack("<qq", xxhash.xxh3_128_digest(joined))
-                    rows.append((x, y, i, t, first, n, None))
-                    one.append(each[0][first : last + 1])
-                    two.append(each[1][first : last + 1])
-                else:
-                    rows.append((a, None, i, t, first, n, joined))
-                ends.append(ends[-1] + n * hot)
+            words, asked = words_of(text), set(shared)
+            for a, p, first, last in zip(*(x.tolist() for x in anchors(word_hashes(words))), strict=True):
+                if p in asked:
+                    joined = b" ".join(words[first : last + WINDOW])
+                    rows.append((a, *struct.unpack("<qq", xxhash.xxh3_128_digest(joined)), i, t, first, last - first + 1, joined))
         if rows:
-            flat = pa.StructArray.from_arrays([pa.array(np.concatenate(x or [np.zeros(0, np.int64)])) for x in (one, two)], fields=list(pair))
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=[*kinds, "windows"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*kinds])
 
 
 def shard_spans(rows: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, int]]:
-    """One reference shard: (document, row, first word's place, words) -> (document, row, begin, end) of what repeats."""
+    """One reference shard: (document, x, y, words) of different passages -> (x, y, begin, end) of what earlier ones have."""
     rows.sort()
     automaton, out, at = Automaton(), [], 0
     while at < len(rows):
         end = at
         new = []
         while end < len(rows) and rows[end][0] == rows[at][0]:
-            i, t, s, joined = rows[end]
+            _, x, y, joined = rows[end]
             words = joined.split(b" ")
             spans, whole = automaton.matched(words, WINDOW)
-            out += [(i, t, s + b, s + e) for b, e in spans]
+            out += [(x, y, b, e) for b, e in spans]
             if not whole:
                 new.append(words)
             end += 1
@@ -229,26 +213,35 @@ def shard_spans(rows: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int,
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of rows of one anchor, each at most SHARD long."""
+    """Runs of passages of one anchor, each at most SHARD long."""
     key, rows = None, []
-    names = ["i", "t", "b", "e"]
+    kinds = {"a": pa.int64(), "x": pa.int64(), "y": pa.int64(), "b": pa.int32(), "e": pa.int32()}
 
     def table(found: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds.values(), strict=True)], names=[*kinds])
 
     for batch in batches:
         found: list[tuple] = []
         for a, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if a != key:
-                found += shard_spans(rows)
+                found += [(key, *x) for x in shard_spans(rows)]
                 key, rows = a, []
             rows.append(tuple(row))
         if found:
             yield table(found)
-    if found := shard_spans(rows):
+    if found := [(key, *x) for x in shard_spans(rows)]:
         yield table(found)
 
 
+def _windows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Two 64-bit hashes of every window of a passage."""
+    for batch in batches:
+        each = [word_hashes(w.split(b" ")) for w in batch.to_pylist()]
+        ends = np.cumsum([0, *(len(h) - WINDOW + 1 for h in each)])
+        flat = [pa.array(np.concatenate([_rolled(h, WINDOW, p).view(np.int64) for h in each] or [np.zeros(0, np.int64)])) for p in (_POWERS, _POWERS2)]
+        yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(flat, ["wx", "wy"]))
+
+
 def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for texts, spans in batches:
         n, sha, kept = [], [], []
@@ -271,8 +264,8 @@ def _with_anchors(docs: DataFrame, doc_id: str, text: str, only_digest: bool) ->
     slim = docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).cast("string").alias("x"))
     found = slim.filter("i IS NOT NULL AND x IS NOT NULL").select("i", F.explode(F.arrow_udf(_anchors, "array<struct<a:long,p:int>>")("x")).alias("y"))
     rows = cut(found.select("i", "y.a", "y.p"), "anchors")
-    shared = rows.groupBy("a").agg(F.min("i").alias("lo"), F.max("i").alias("hi"), F.count("*").alias("n")).filter("lo < hi")
-    asked = rows.join(shared.select("a", (F.col("n") > SHARD).alias("hot")), "a").groupBy(F.col("i").alias("__of")).agg(F.collect_list(F.struct("p", "hot")).alias("__shared"))
+    shared = rows.groupBy("a").agg(F.min("i").alias("lo"), F.max("i").alias("hi")).filter("lo < hi").select("a")
+    asked = rows.join(shared, "a").groupBy(F.col("i").alias("__of")).agg(F.collect_list("p").alias("__shared"))
     source = slim.select(F.col("i").alias("__i"), F.col("x").alias("__x")) if only_digest else docs.withColumns({"__i": F.col(doc_id).cast("long"), "__x": F.col(text).cast("string")}).drop(text)
     met = source.join(asked, F.col("__i") == F.col("__of"), "left").drop("__of")
     met = met.withColumns({"__t": F.xxhash64("__x"), "__all": F.arrow_udf(_totals, "struct<n:long,sha:string>")("__x")})
@@ -281,6 +274,18 @@ def _with_anchors(docs: DataFrame, doc_id: str, text: str, only_digest: bool) ->
     return cut(met, "texts")
 
 
+def _repeats(different: DataFrame) -> DataFrame:
+    """(a, x, y, b, e): words [b, e) of a passage that a passage of an earlier document has."""
+    crowd = different.groupBy("a").agg(F.min("lo").alias("least"), F.max("lo").alias("most"), F.count("*").alias("n")).filter("least < most")
+    met = different.join(crowd.select("a", (F.col("n") > SHARD).alias("crowded")), "a")
+    by_shard = met.filter("NOT crowded").select("a", "lo", "x", "y", "words").repartition("a").sortWithinPartitions("a", "lo")
+    split = met.filter("crowded").withColumn("w", F.arrow_udf(_windows, "array<struct<wx:long,wy:long>>")("words"))
+    windows = split.select("a", "x", "y", "lo", F.posexplode("w").alias("b", "w")).select("a", "x", "y", "lo", "b", "w.wx", "w.wy")
+    least = windows.groupBy("wx", "wy").agg(F.min("lo").alias("least"), F.max("lo").alias("most")).filter("least < most")
+    single = windows.join(least.select("wx", "wy", "least"), ["wx", "wy"]).filter("lo > least").select("a", "x", "y", "b", (F.col("b") + WINDOW).alias("e"))
+    return by_shard.mapInArrow(_shards, "a long, x long, y long, b int, e int").unionByName(single)
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", only_digest: bool = False) -> DataFrame:
     """Takes repeated passages out of ``text`` and adds ``n_words``, ``n_removed`` and ``kept_sha256`` (kept words joined by a space).
 
@@ -290,26 +295,24 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     each other. Extra columns are kept, columns named like a result give way to it; an empty table gives none.
     ``only_digest`` leaves out the texts and extra columns, so that only texts with candidates are written on the way.
 
-    Shuffles: one row per anchor (about one in 22 words), the texts once to meet their anchors, passages around anchors that
-    documents share, and the spans to remove. Each step is aggregated before it is shuffled or bounded by a document; no
+    Shuffles: one row per anchor (about one in 22 words), the texts once to meet their anchors, different passages around
+    anchors that documents share, and the spans to remove. Each step is aggregated before it is shuffled or bounded by a document; no
     group of a common anchor is brought together.
     """
     ready(docs.sparkSession)
     base = _with_anchors(docs, doc_id, text, only_digest)
     release(docs.sparkSession)
     passages = cut(base.filter("__shared IS NOT NULL").select("__i", "__t", "__x", "__shared").mapInArrow(_passages, _PASSAGES), "passages")
-    rare = passages.filter("words IS NOT NULL").select("a", "i", "t", "s", "words").repartition("a").sortWithinPartitions("a", "i")
-    by_shard = rare.mapInArrow(_shards, "i long, t long, b int, e int")
-    common = passages.filter("words IS NULL").select("a", "b", "i", "t", "s", "n", "windows")
-    firsts = common.groupBy("a", "b").agg(F.min("i").alias("lo"))
-    # copies of a passage go whole; only its first document is compared window by window
-    copies = common.drop("windows").join(firsts, ["a", "b"]).filter("i > lo").select("i", "t", F.col("s").alias("b"), (F.col("s") + F.col("n") + (WINDOW - 1)).alias("e"))
-    held = common.join(firsts, ["a", "b"]).filter("i = lo").select("i", "t", "s", F.posexplode("windows").alias("k", "w"))
-    windows = held.select(F.col("w.a").alias("a"), F.col("w.b").alias("b"), "i", "t", (F.col("s") + F.col("k")).alias("s"))
-    least = windows.groupBy("a", "b").agg(F.min("i").alias("lo"), F.max("i").alias("hi")).filter("lo < hi").select("a", "b", "lo")
-    singles = windows.join(least, ["a", "b"]).filter("i > lo").select("i", "t", F.col("s").alias("b"), (F.col("s") + WINDOW).alias("e"))
-    by_hash = copies.unionByName(singles).withColumns({"b": F.col("b").cast("int"), "e": F.col("e").cast("int")})
-    spans = by_shard.unionByName(by_hash).groupBy(F.col("i").alias("__of"), F.col("t").alias("__row")).agg(F.collect_set(F.struct("b", "e")).alias("__spans"))
+    different = cut(passages.groupBy("a", "x", "y").agg(F.min("i").alias("lo"), F.any_value("words").alias("words")), "different")
+    release(docs.sparkSession)
+    found = _repeats(different).groupBy("a", "x", "y").agg(F.collect_set(F.struct("b", "e")).alias("part"))
+    marks = different.select("a", "x", "y", "lo").join(found, ["a", "x", "y"], "left")
+    # where an earlier document has the same passage it goes whole, in its first document only what others have of it
+    whole = F.array(F.struct(F.lit(0).alias("b"), (F.col("n") + (WINDOW - 1)).alias("e")))
+    near = F.when(F.col("i") > F.col("lo"), whole).otherwise(F.col("part"))
+    here = F.transform(near, lambda z: F.struct((z["b"] + F.col("s")).alias("b"), (z["e"] + F.col("s")).alias("e")))
+    gone = passages.drop("words").join(marks, ["a", "x", "y"]).select("i", "t", here.alias("spans"))
+    spans = gone.groupBy(F.col("i").alias("__of"), F.col("t").alias("__row")).agg(F.flatten(F.collect_set("spans")).alias("__spans"))
     some, none = base.filter("__shared IS NOT NULL"), base.filter("__shared IS NULL")
     met = some.join(spans, (F.col("__i") == F.col("__of")) & (F.col("__t") == F.col("__row")), "left").drop("__of", "__row")
     joined = met.unionByName(none.withColumn("__spans", F.lit(None).cast(met.schema["__spans"].dataType)))
