@@ -233,13 +233,21 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield table(found)
 
 
-def _windows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Two 64-bit hashes of every window of a passage."""
+_WINDOWS = "a long, x long, y long, lo long, b int, wx long, wy long"
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Two 64-bit hashes (wx, wy) of every window of passages (a, x, y, lo, words); b: its place in the passage."""
     for batch in batches:
-        each = [word_hashes(w.split(b" ")) for w in batch.to_pylist()]
-        ends = np.cumsum([0, *(len(h) - WINDOW + 1 for h in each)])
-        flat = [pa.array(np.concatenate([_rolled(h, WINDOW, p).view(np.int64) for h in each] or [np.zeros(0, np.int64)])) for p in (_POWERS, _POWERS2)]
-        yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(flat, ["wx", "wy"]))
+        each = [word_hashes(w.split(b" ")) for w in batch.column("words").to_pylist()]
+        if not each:
+            continue
+        n = np.array([len(h) - WINDOW + 1 for h in each])
+        row = np.repeat(np.arange(len(n)), n)
+        named = [batch.column(c).take(pa.array(row)) for c in ("a", "x", "y", "lo")]
+        place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        hashes = [pa.array(np.concatenate([_rolled(h, WINDOW, p).view(np.int64) for h in each])) for p in (_POWERS, _POWERS2)]
+        yield pa.RecordBatch.from_arrays([*named, pa.array(place.astype(np.int32)), *hashes], names=["a", "x", "y", "lo", "b", "wx", "wy"])
 
 
 def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -277,10 +285,10 @@ def _with_anchors(docs: DataFrame, doc_id: str, text: str, only_digest: bool) ->
 def _repeats(different: DataFrame) -> DataFrame:
     """(a, x, y, b, e): words [b, e) of a passage that a passage of an earlier document has."""
     crowd = different.groupBy("a").agg(F.min("lo").alias("least"), F.max("lo").alias("most"), F.count("*").alias("n")).filter("least < most")
-    met = different.join(crowd.select("a", (F.col("n") > SHARD).alias("crowded")), "a")
-    by_shard = met.filter("NOT crowded").select("a", "lo", "x", "y", "words").repartition("a").sortWithinPartitions("a", "lo")
-    split = met.filter("crowded").withColumn("w", F.arrow_udf(_windows, "array<struct<wx:long,wy:long>>")("words"))
-    windows = split.select("a", "x", "y", "lo", F.posexplode("w").alias("b", "w")).select("a", "x", "y", "lo", "b", "w.wx", "w.wy")
+    sides = [different.join(crowd.filter(F.col("n") > SHARD if crowded else F.col("n") <= SHARD).select("a"), "a") for crowded in (False, True)]
+    by_shard = sides[0].select("a", "lo", "x", "y", "words").repartition("a").sortWithinPartitions("a", "lo")
+    # written, as both the count of a window and the look-up of the count read it
+    windows = cut(sides[1].select("a", "x", "y", "lo", "words").mapInArrow(_windows, _WINDOWS), "windows")
     least = windows.groupBy("wx", "wy").agg(F.min("lo").alias("least"), F.max("lo").alias("most")).filter("least < most")
     single = windows.join(least.select("wx", "wy", "least"), ["wx", "wy"]).filter("lo > least").select("a", "x", "y", "b", (F.col("b") + WINDOW).alias("e"))
     return by_shard.mapInArrow(_shards, "a long, x long, y long, b int, e int").unionByName(single)
