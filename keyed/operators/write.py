@@ -30,6 +30,8 @@ SMALL_CELL = 10_000
 BYTES_PER_CELL = 256 * 1024 * 1024
 MAX_TASKS = 20_000
 AUTO_KEY = "_spark_key"
+#: Plan nodes whose rows are the same, and cheap to make, whenever they are asked for again.
+REPEATABLE = {"Project", "Filter", "SubqueryAlias", "View", "LogicalRelation", "LocalRelation", "Range"}
 
 
 class WriteResult:
@@ -89,6 +91,33 @@ def _generated_keys(spark: SparkSession, path: str, df: DataFrame, name: str):
     return _staged(spark, path, df.withColumn(name, F.expr("uuid()")))
 
 
+def _repeatable(df: DataFrame) -> bool:
+    """Whether the batch is a scan with filters and projections that give the same rows each time."""
+    plan = df._jdf.queryExecution().analyzed()
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().split(" ")[0] not in REPEATABLE:
+            return False
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return plan.deterministic()
+
+
+@contextmanager
+def _read_once(spark: SparkSession, path: str, df: DataFrame, order_by, schema: T.StructType):
+    """The batch and its order. A write reads its batch several times (counts, key look-ups, rows), so one that may
+    differ or is dear to make again is staged first; shards and keys are then judged on the rows that are written."""
+    if _repeatable(df):
+        yield df, order_by
+        return
+    typed = {f.name: schema[f.name].dataType if f.name in schema.names else T.StringType() for f in df.schema if isinstance(f.dataType, T.NullType)}
+    ordered = {f"_order{n}": c for n, c in enumerate(order_by or []) if isinstance(c, Column)}
+    names = [f"_order{n}" if isinstance(c, Column) else c for n, c in enumerate(order_by or [])]
+    with _staged(spark, path, df.withColumns({**{c: F.col(c).cast(t) for c, t in typed.items()}, **ordered})) as rows:
+        yield rows, names or None
+
+
 def _counts(df: DataFrame) -> dict[int, int]:
     """Rows per shard; as many numbers as the layout has shards."""
     return {r[0]: r[1] for r in df.groupBy(SHARD).count().collect()}
@@ -189,7 +218,8 @@ def _merged(
     return kept_rows.select(SHARD, *shards.schema.names), set(counts)
 
 
-def _save(spark, shards: Shards, rows: DataFrame, touched: set[int] | None) -> tuple[Shards, int, int]:
+def _save(spark, shards: Shards, rows: DataFrame, touched: set[int] | None, expected: set[int]) -> tuple[Shards, int, int]:
+    """Write the rows; touched shards are replaced (None: all). Rows in a shard that was not counted stop the write."""
     seen = Observation()
     gen = new_generation()
     guarded = not_null(rows, shards.schema).select(SHARD, *shards.schema.names)
@@ -197,7 +227,10 @@ def _save(spark, shards: Shards, rows: DataFrame, touched: set[int] | None) -> t
     counted.write.option("maxRecordsPerFile", 2 * ROWS_PER_CELL).partitionBy(SHARD).parquet(f"{shards.folder}/_gen={gen}")
     count, size = seen.get["rows"], seen.get["bytes"] or 0
     width = 8 * len(shards.schema) + size // count if count else 0
-    return shards.after(gen, shards_on_disk(spark, shards.folder, gen), touched, width), count, size
+    written = shards_on_disk(spark, shards.folder, gen)
+    if stray := set(written) - expected:
+        raise RuntimeError(f"the batch changed while it was written: rows in shards {sorted(stray)[:10]}, which were not counted")
+    return shards.after(gen, written, touched, width), count, size
 
 
 def _fresh(
@@ -219,13 +252,7 @@ def _fresh(
     placed = _place(routed.withColumn(TAG, F.lit(NEW)), shards, counts, per_cell)
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in shards.schema if f.name not in df.columns]
     rows = placed.select("*", *missing, _duplicate_guard(w).alias("_single")).filter("_single")
-    return _save(spark, shards, rows.select(SHARD, *shards.schema.names), touched)
-
-
-def _require_keys(table: KeyedTable, df: DataFrame) -> None:
-    absent = [k for k in table.keys if k not in df.columns]
-    if absent:
-        raise ValueError(f"key columns {absent} are not in the written columns")
+    return _save(spark, shards, rows.select(SHARD, *shards.schema.names), touched, set(counts))
 
 
 def _prepared(table: KeyedTable, df: DataFrame, order_by, strict: bool) -> tuple[DataFrame, DataFrame]:
@@ -246,7 +273,8 @@ def _write(table: KeyedTable, df: DataFrame, order_by, strict: bool, auto_key: s
     if table.keys == (auto_key,) and auto_key not in df.columns:
         with _generated_keys(table.spark, table.path, df, auto_key) as keyed:
             return run(table, *_prepared(table, keyed, None, strict))
-    return run(table, *_prepared(table, df, order_by, strict))
+    with _read_once(table.spark, table.path, df, order_by, table.schema) as (rows, order):
+        return run(table, *_prepared(table, rows, order, strict))
 
 
 def insert(table: KeyedTable, df: DataFrame, order_by=None, strict=False, auto_key=AUTO_KEY) -> WriteResult:
@@ -308,14 +336,14 @@ def _merge(table: KeyedTable, new: DataFrame, sizing: DataFrame, keep_unwritten:
     merged, touched = _merged(spark, table.base, new, None, keep_unwritten, sizing)
     if not touched:
         return WriteResult(table)
-    base, rows, size = _save(spark, table.base, merged, touched)
+    base, rows, size = _save(spark, table.base, merged, touched, touched)
     indexes = {}
     for name, index in table.indexes.items():
         changes = _index_changes(table.base, base, touched, sizing.select(*table.keys), index, spark)
         with _staged(spark, table.path, changes) as staged:
             added, removed = (staged.filter(side).drop(SURPLUS) for side in (f"{SURPLUS} > 0", f"{SURPLUS} < 0"))
             entries, index_touched = _merged(spark, index, added, removed)
-            indexes[name] = _save(spark, index, entries, index_touched)[0] if index_touched else index
+            indexes[name] = _save(spark, index, entries, index_touched, index_touched)[0] if index_touched else index
     return WriteResult(table.commit(base=base, indexes=indexes), rows, size)
 
 

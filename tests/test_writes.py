@@ -308,3 +308,12 @@ def test_point_read_of_a_hash_layout_opens_one_shard(spark, place):
         assert len({f.split("_shard=")[1].split("/")[0] for f in found.inputFiles()}) == 1
     assert table.read([("s", "=", "n7")]).count() == 1
     assert table.read([("s", "=", "n7"), ("id", "=", 8)]).count() == 0
+
+
+def test_unrepeatable_batch_leaves_unique_keys(spark, place):
+    first = spark.range(200).select("id", F.lit("old").alias("v"))
+    t = K.create_keyed(spark, "dice", first, "id", prefix=place, shards=4).table
+    for _ in range(2):
+        dice = spark.range(50).select((F.rand() * 400).cast("long").alias("id"), F.lit("new").alias("v"))
+        t = K.upsert(t, dice, order_by=[F.col("id") % 7, "v"]).table
+    assert t.read().count() == t.read().select("id").distinct().count()
