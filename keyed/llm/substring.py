@@ -7,8 +7,9 @@ are shuffled: all but the first document lose theirs whole, and one row of each
 
 All different passages around one anchor are a reference shard of bounded size: they meet in one task, where each is streamed
 through a suffix automaton of those of earlier documents and then added to it. An anchor with more than SHARD different
-passages (a common line) is not a bounded shard; the windows of its passages are aggregated by hash instead, as the passages
-were, which needs no group in one place.
+passages (a common line) is not a bounded shard. Its passages are cut again where their windows pick other runs of words under
+two further orders, so what stands around the common line tells them apart; the pieces are aggregated and dealt to shards as the
+passages were. Only windows of pieces that are still crowded are aggregated one by one, by hash.
 """
 
 from __future__ import annotations
@@ -233,6 +234,35 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield table(found)
 
 
+_PIECES = "pa long, px long, py long, i long, s int, n int, a long, x long, y long, words binary"
+_ORDERS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Passages (a, x, y, lo, words) cut into runs of windows whose least grams in each of ORDERS are the same.
+
+    Equal windows with one anchor have the same least grams, so they stand in pieces of one new anchor a.
+    """
+    kinds = {"pa": pa.int64(), "px": pa.int64(), "py": pa.int64(), "i": pa.int64(), "s": pa.int32(), "n": pa.int32(), "a": pa.int64(), "x": pa.int64(), "y": pa.int64(), "words": pa.binary()}
+    span = WINDOW - GRAM + 1
+    for batch in batches:
+        rows = []
+        for *parent, lo, joined in zip(*(batch.column(c).to_pylist() for c in ("a", "x", "y", "lo", "words")), strict=True):
+            words = joined.split(b" ")
+            g = _rolled(word_hashes(words), GRAM, _POWERS)
+            least = np.stack([np.lib.stride_tricks.sliding_window_view(g * order, span).argmin(axis=1) for order in _ORDERS], axis=1)
+            least += np.arange(len(least))[:, None]
+            first = np.concatenate(([0], np.flatnonzero((np.diff(least, axis=0) != 0).any(axis=1)) + 1))
+            after = np.concatenate((first[1:], [len(least)]))
+            for b, e in zip(first.tolist(), after.tolist(), strict=True):
+                key = xxhash.xxh64_intdigest(struct.pack("<qQQ", parent[0], *g[least[b]].tolist()))
+                part = b" ".join(words[b : e - 1 + WINDOW])
+                rows.append((*parent, lo, b, e - b, key - (key >> 63 << 64), *struct.unpack("<qq", xxhash.xxh3_128_digest(part)), part))
+        if rows:
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kinds])
+
+
 _WINDOWS = "a long, x long, y long, lo long, b int, wx long, wy long"
 
 
@@ -282,18 +312,40 @@ def _with_anchors(docs: DataFrame, doc_id: str, text: str, only_digest: bool) ->
     return cut(met, "texts")
 
 
-def _repeats(different: DataFrame) -> DataFrame:
+def _repeats(different: DataFrame, again: bool) -> DataFrame:
     """(a, x, y, b, e): words [b, e) of a passage that a passage of an earlier document has."""
     crowd = different.groupBy("a").agg(F.min("lo").alias("least"), F.max("lo").alias("most"), F.count("*").alias("n")).filter("least < most")
     sides = [different.join(crowd.filter(F.col("n") > SHARD if crowded else F.col("n") <= SHARD).select("a"), "a") for crowded in (False, True)]
     by_shard = sides[0].select("a", "lo", "x", "y", "words").repartition("a").sortWithinPartitions("a", "lo")
-    # written, as both the count of a window and the look-up of the count read it
-    windows = cut(sides[1].select("a", "x", "y", "lo", "words").mapInArrow(_windows, _WINDOWS), "windows")
-    least = windows.groupBy("wx", "wy").agg(F.min("lo").alias("least"), F.max("lo").alias("most")).filter("least < most")
-    single = windows.join(least.select("wx", "wy", "least"), ["wx", "wy"]).filter("lo > least").select("a", "x", "y", "b", (F.col("b") + WINDOW).alias("e"))
+    crowded = sides[1].select("a", "x", "y", "lo", "words")
+    if again:
+        pieces = cut(crowded.mapInArrow(_pieces, _PIECES), "pieces")
+        single = _gone(pieces, ["pa", "px", "py"], False).select(F.col("pa").alias("a"), F.col("px").alias("x"), F.col("py").alias("y"), F.explode("spans").alias("z")).select("a", "x", "y", "z.b", "z.e")
+    else:
+        # written, as both the count of a window and the look-up of the count read it
+        windows = cut(crowded.mapInArrow(_windows, _WINDOWS), "windows")
+        least = windows.groupBy("wx", "wy").agg(F.min("lo").alias("least"), F.max("lo").alias("most")).filter("least < most")
+        single = windows.join(least.select("wx", "wy", "least"), ["wx", "wy"]).filter("lo > least").select("a", "x", "y", "b", (F.col("b") + WINDOW).alias("e"))
     return by_shard.mapInArrow(_shards, "a long, x long, y long, b int, e int").unionByName(single)
 
 
+def _gone(passages: DataFrame, owner: list[str], again: bool) -> DataFrame:
+    """For each owner of passages (a, x, y, words; of document i, from word s, n windows) the spans that earlier documents have.
+
+    ``again``: whether passages of crowded anchors are cut once more.
+    """
+    different = cut(passages.groupBy("a", "x", "y").agg(F.min("i").alias("lo"), F.any_value("words").alias("words")), "different")
+    release(passages.sparkSession)
+    found = _repeats(different, again).groupBy("a", "x", "y").agg(F.collect_set(F.struct("b", "e")).alias("part"))
+    marks = different.select("a", "x", "y", "lo").join(found, ["a", "x", "y"], "left")
+    # where an earlier document has the same passage it goes whole, in its first document only what others have of it
+    whole = F.array(F.struct(F.lit(0).alias("b"), (F.col("n") + (WINDOW - 1)).alias("e")))
+    near = F.when(F.col("i") > F.col("lo"), whole).otherwise(F.col("part"))
+    here = F.transform(near, lambda z: F.struct((z["b"] + F.col("s")).alias("b"), (z["e"] + F.col("s")).alias("e")))
+    gone = passages.drop("words").join(marks, ["a", "x", "y"]).select(*owner, here.alias("spans"))
+    return gone.groupBy(*owner).agg(F.flatten(F.collect_set("spans")).alias("spans"))
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", only_digest: bool = False) -> DataFrame:
     """Takes repeated passages out of ``text`` and adds ``n_words``, ``n_removed`` and ``kept_sha256`` (kept words joined by a space).
 
@@ -311,16 +363,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     base = _with_anchors(docs, doc_id, text, only_digest)
     release(docs.sparkSession)
     passages = cut(base.filter("__shared IS NOT NULL").select("__i", "__t", "__x", "__shared").mapInArrow(_passages, _PASSAGES), "passages")
-    different = cut(passages.groupBy("a", "x", "y").agg(F.min("i").alias("lo"), F.any_value("words").alias("words")), "different")
-    release(docs.sparkSession)
-    found = _repeats(different).groupBy("a", "x", "y").agg(F.collect_set(F.struct("b", "e")).alias("part"))
-    marks = different.select("a", "x", "y", "lo").join(found, ["a", "x", "y"], "left")
-    # where an earlier document has the same passage it goes whole, in its first document only what others have of it
-    whole = F.array(F.struct(F.lit(0).alias("b"), (F.col("n") + (WINDOW - 1)).alias("e")))
-    near = F.when(F.col("i") > F.col("lo"), whole).otherwise(F.col("part"))
-    here = F.transform(near, lambda z: F.struct((z["b"] + F.col("s")).alias("b"), (z["e"] + F.col("s")).alias("e")))
-    gone = passages.drop("words").join(marks, ["a", "x", "y"]).select("i", "t", here.alias("spans"))
-    spans = gone.groupBy(F.col("i").alias("__of"), F.col("t").alias("__row")).agg(F.flatten(F.collect_set("spans")).alias("__spans"))
+    spans = _gone(passages, ["i", "t"], True).select(F.col("i").alias("__of"), F.col("t").alias("__row"), F.col("spans").alias("__spans"))
     some, none = base.filter("__shared IS NOT NULL"), base.filter("__shared IS NULL")
     met = some.join(spans, (F.col("__i") == F.col("__of")) & (F.col("__t") == F.col("__row")), "left").drop("__of", "__row")
     joined = met.unionByName(none.withColumn("__spans", F.lit(None).cast(met.schema["__spans"].dataType)))

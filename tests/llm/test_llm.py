@@ -197,7 +197,7 @@ def kept_words(rows, window=50):
     return out
 
 
-@pytest.mark.parametrize("shard", [512, 1])
+@pytest.mark.parametrize("shard", [512, 3, 1])
 def test_substring(spark, sf, odd, given, monkeypatch, shard):
     monkeypatch.setattr(substring, "SHARD", shard)
     got = queries.op4_substring_dedup(spark, sf).collect()
@@ -350,3 +350,19 @@ def test_pipeline(spark, sf):
             assert all(r.n_chars == len(r.text) for r in after if expected[r.doc_id])
     rows = p.STAGES[-1][1](spark, docs, sf).collect()
     assert sum(r.length for r in rows) == sum(len(ids(BYTES, r.text, 0)) for r in docs.collect())
+
+
+def test_substring_of_a_crowded_line(spark, monkeypatch):
+    """A line and a long passage that all documents have, with single words changed: every path has rows."""
+    monkeypatch.setattr(substring, "SHARD", 4)
+    r = np.random.default_rng(5)
+    line = [f"common{n}" for n in range(20)]
+    base = [f"w{n}" for n in range(160)]
+    rows = []
+    for d in range(60):
+        own = base.copy()
+        for at in r.integers(0, len(base), 2):
+            own[at] = f"changed{d}"
+        rows.append((d, " ".join([f"x{d}y{n}" for n in range(60)] + line + own + line + [f"z{d % 7}y{n}" for n in range(60)])))
+    got = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), only_digest=True).collect()
+    assert bag(map(tuple, got)) == bag(kept_words(rows))
