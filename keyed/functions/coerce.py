@@ -86,6 +86,8 @@ def _plain(c: Column, source: T.DataType, target: T.DataType, on_error: str) ->
         return _bytes(c, source)
     if isinstance(target, T.DateType):
         return _date(c, source, on_error)
+    if isinstance(target, (T.TimestampType, T.TimestampNTZType)) and isinstance(source, _INTEGERS):
+        return F.timestamp_micros(c.cast("bigint")) if isinstance(target, T.TimestampType) else from_micros(c.cast("bigint"))
     numeric = isinstance(target, T.NumericType)
     if numeric and not isinstance(source, (T.NumericType, T.StringType)):
         _refuse(source, target.simpleString())

@@ -66,7 +66,7 @@ def reshard(
     store: str | None = None,
     size_mb: int = 1000,
     min_shards: int = 1,
-    max_shards: int = 50,
+    max_shards: int | None = None,
 ) -> WriteResult:
     """Rewrite the table under a new layout: given split points, a given number of shards, or a number from its size."""
     rows = table.read()

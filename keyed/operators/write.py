@@ -28,7 +28,6 @@ OLD, DELETED, NEW = 0, 1, 2
 ROWS_PER_CELL = 1_000_000
 SMALL_CELL = 10_000
 BYTES_PER_CELL = 256 * 1024 * 1024
-MAX_TASKS = 20_000
 AUTO_KEY = "_spark_key"
 #: Plan nodes whose rows are the same, and cheap to make, whenever they are asked for again.
 REPEATABLE = {"Project", "Filter", "SubqueryAlias", "View", "LogicalRelation", "LocalRelation", "Range"}
@@ -135,15 +134,17 @@ def _payload(schema: T.StructType) -> Column:
 
 
 def _rows_per_cell(rows: DataFrame, shards: Shards, counts: dict[int, int]) -> int:
-    """Rows that make one task's work, by the width of stored rows; a new table looks at a few rows instead."""
-    if max(counts.values(), default=0) <= SMALL_CELL:
-        return ROWS_PER_CELL
-    width = shards.row_bytes
-    if not width:
-        schema = T.StructType([f for f in rows.schema if f.name in shards.schema.names])
-        seen = [r[0] for r in rows.select(_payload(schema)).head(1000)]
-        width = 8 * len(rows.columns) + sum(seen) // max(1, len(seen))
-    return min(ROWS_PER_CELL, max(SMALL_CELL, BYTES_PER_CELL // width))
+    """Rows that make one task's work, by the width of stored rows; a new table measures all rows it is given."""
+    width = shards.row_bytes or _measured(rows, shards.schema.names)[1]
+    return max(1, min(ROWS_PER_CELL, BYTES_PER_CELL // max(1, width)))
+
+
+def _measured(rows: DataFrame, names: Sequence[str]) -> tuple[int, int]:
+    """Bytes of all rows, and of one on average."""
+    schema = T.StructType([f for f in rows.schema if f.name in names])
+    count, payload = rows.agg(F.count(F.lit(1)), F.sum(_payload(schema))).first()
+    size = 8 * len(schema) * count + (payload or 0)
+    return size, -(-size // count) if count else 0
 
 
 def _cells(counts: dict[int, int], shards: int, per_cell: int, small: int) -> tuple[list[int], list[int], int]:
@@ -172,7 +173,7 @@ def _place(df: DataFrame, shards: Shards, counts: dict[int, int], per_cell: int)
     first, pieces, cells = _cells(counts, shards.layout.shards, per_cell, small)
     piece = F.pmod(F.xxhash64(*shards.keys), F.get(int_array(pieces), F.col(SHARD)))
     cell = (F.get(int_array(first), F.col(SHARD)) + piece).cast("int")
-    return df.withColumn(CELL, cell).repartitionById(max(1, min(cells, MAX_TASKS)), F.col(CELL))
+    return df.withColumn(CELL, cell).repartitionById(max(1, cells), F.col(CELL))
 
 
 def _per_key(shards: Shards):
@@ -375,7 +376,7 @@ def create_keyed(
     size_bytes: int | None = None,
     size_mb: int = 1000,
     min_shards: int = 1,
-    max_shards: int = 50,
+    max_shards: int | None = None,
     indexes: dict[str, Sequence[str]] | None = None,
     auto_key: str = AUTO_KEY,
     order_by: Sequence[Column | str] | None = None,
@@ -384,8 +385,9 @@ def create_keyed(
 ) -> WriteResult:
     """Create a table from a DataFrame. Without keys a generated text key is added.
 
-    The number of shards is given, or follows from split points, or from ``size_bytes``; split points that are not
-    given come from a sample of the keys.
+    The number of shards is given, or follows from split points, or from ``size_bytes``, or else from the measured size of
+    the rows; split points that are not given come from a sample of the keys. A source that is more than a scan is
+    evaluated once.
     """
     path = files.resolve(prefix, name)
     if KeyedTable.exists(spark, path):
@@ -397,24 +399,27 @@ def create_keyed(
     absent = [n for n in names if n not in df.columns]
     if absent or len(set(names)) != len(names):
         raise ValueError(f"key columns {names} must exist once in {df.columns}")
-    count = shards or (shard_count(size_bytes, size_mb, min_shards, max_shards) if size_bytes else min_shards)
 
-    def create(rows: DataFrame, keys: list[str]) -> WriteResult:
-        fields = [given[c] if c in given.names else rows.schema[c] for c in rows.columns]
+    def create(rows: DataFrame, keys: list[str], order_by=None) -> WriteResult:
+        stored = [c for c in rows.columns if c in df.columns or c in keys]
+        size, width = _measured(rows, stored)
+        count = shards or shard_count(size_bytes or size, size_mb, min_shards, max_shards)
+        fields = [given[c] if c in given.names else rows.schema[c] for c in stored]
         declared = T.StructType([T.StructField(f.name, f.dataType, f.nullable and f.name not in keys, f.metadata) for f in fields])
-        last = latest(rows, keys, order_by) if order_by and keys == names else rows
+        last = latest(rows, keys, order_by) if order_by else rows
         if store == "hash":
             layout = Layout.by_hash(count)
         else:
             layout = Layout.by_splits(splits if splits is not None else derive_splits(rows, keys, count))
-        base = Shards(f"{path}/data", declared, tuple(keys), layout)
+        base = Shards(f"{path}/data", declared, tuple(keys), layout, row_bytes=width)
         base, written, size = _fresh(spark, base, not_null(last, T.StructType([declared[k] for k in keys])), set(), rows)
         table = KeyedTable(spark, path, 0, base)
         built = {n: build_index(table, n, columns) for n, columns in (indexes or {}).items()}
         return WriteResult(table.commit(indexes=built), written, size)
 
     if names:
-        return create(df, names)
+        with _read_once(spark, path, df, order_by, given) as (rows, order):
+            return create(rows, names, order)
     if auto_key in df.columns:
         raise ValueError(f"column {auto_key} exists already; name it as the key")
     with _generated_keys(spark, path, df, auto_key) as keyed:

@@ -144,12 +144,14 @@ class Layout:
         return range(bisect_right(cuts, cut_key(lower_cut(r))), bisect_left(cuts, cut_key(upper_cut(r))) + 1)
 
 
-def shard_count(size_bytes: int, size_mb: int = 1000, min_shards: int = 1, max_shards: int = 50) -> int:
-    """Number of shards for a table of this size."""
+def shard_count(size_bytes: int, size_mb: int = 1000, min_shards: int = 1, max_shards: int | None = None) -> int:
+    """Number of shards for a table of this size; it grows with the table unless ``max_shards`` is given."""
     low = max(1, min_shards)
-    high = max_shards if max_shards >= low else low + 49 + low // 100
     size = max(MIN_SHARD_MB, size_mb) * 1024 * 1024
-    return min(max(math.ceil(size_bytes / size), low), high)
+    wanted = max(math.ceil(size_bytes / size), low)
+    if max_shards is None:
+        return wanted
+    return min(wanted, max_shards if max_shards >= low else low + 49 + low // 100)
 
 
 def derive_splits(df: DataFrame, keys: Sequence[str], shards: int, sample_per_shard: int = 200) -> list[tuple]:

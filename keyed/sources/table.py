@@ -221,9 +221,9 @@ class KeyedTable:
         return df.select(*names, *([SHARD] if with_shard else []))
 
     def ordered(self, where: Sequence[tuple] = (), columns: Sequence[str] | None = None) -> DataFrame:
-        """Rows of every shard together and in key order within each task."""
+        """Rows in the order of shard and key: tasks hold consecutive key ranges, whatever files a shard has."""
         names = list(columns) if columns is not None else list(self.schema.names)
-        return self.read(where, list(dict.fromkeys([*names, *self.keys])), True).sortWithinPartitions(SHARD, *self.keys)
+        return self.read(where, list(dict.fromkeys([*names, *self.keys])), True).repartitionByRange(SHARD, *self.keys).sortWithinPartitions(SHARD, *self.keys)
 
     def index(self, name: str) -> DataFrame:
         """An index as a table of its own: index columns, then the primary key."""

@@ -317,3 +317,25 @@ def test_unrepeatable_batch_leaves_unique_keys(spark, place):
         dice = spark.range(50).select((F.rand() * 400).cast("long").alias("id"), F.lit("new").alias("v"))
         t = K.upsert(t, dice, order_by=[F.col("id") % 7, "v"]).table
     assert t.read().count() == t.read().select("id").distinct().count()
+
+
+def test_ordered_read_of_a_shard_of_several_files(spark, place):
+    """Order as the read gives it, without ranking again: an insert adds a second file to every shard."""
+    table = K.create_keyed(spark, "several", spark.range(0, 1000, 2).toDF("id"), "id", prefix=place, splits=[300, 700]).table
+    table = K.insert(table, spark.range(1, 1000, 2).toDF("id")).table
+    assert len(table.base.live[0]) == 2
+    assert [r.id for r in table.ordered().collect()] == list(range(1000))
+
+
+def test_create_evaluates_a_costly_source_once(spark, place):
+    """A source that differs each time it is evaluated: keys and shards must come from one evaluation."""
+    source = spark.range(3000).selectExpr("uuid() AS id", "id AS n").orderBy("n")
+    table = K.create_keyed(spark, "once", source, "id", prefix=place, shards=4).table
+    assert table.read().count() == table.read().select("id").distinct().count() == 3000
+    assert table.schema.names == ["id", "n"]
+
+
+def test_shards_follow_the_measured_size(spark, place):
+    rows = spark.range(300).selectExpr("id", "repeat('x', 100000) AS t")
+    table = K.create_keyed(spark, "wide", rows, "id", prefix=place, size_mb=10).table
+    assert len(table.base.live) == 3

@@ -53,3 +53,9 @@ def test_index_lookup_applies_every_triple(spark, place):
         ([("g", "=", 2), ("name", "=", "n1")], lambda r: r[1] == 2 and r[2] == "n1"),
     ):
         assert sorted(r.id for r in K.index_lookup(table, "by_g", where).collect()) == [r[0] for r in rows if keep(r)]
+
+
+def test_numbers_are_microseconds_by_spark_type(spark):
+    target = spark.sql("SELECT timestamp_micros(0) AS a, TIMESTAMP_NTZ '2024-01-01 00:00:00' AS b").schema
+    row = K.coerce(spark.sql("SELECT 1000000L AS a, 1000000L AS b"), target).selectExpr("unix_micros(a)", "CAST(b AS STRING)").first()
+    assert tuple(row) == (1000000, "1970-01-01 00:00:01")
