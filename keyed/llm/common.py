@@ -43,7 +43,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written to the shared folder and read back: later jobs and lost executors start from the files."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -302,7 +302,9 @@ def _with_anchors(docs: DataFrame, doc_id: str, text: str, only_digest: bool) ->
     slim = docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).cast("string").alias("x"))
     found = slim.filter("i IS NOT NULL AND x IS NOT NULL").select("i", F.explode(F.arrow_udf(_anchors, "array<struct<a:long,p:int>>")("x")).alias("y"))
     rows = cut(found.select("i", "y.a", "y.p"), "anchors")
-    shared = rows.groupBy("a").agg(F.min("i").alias("lo"), F.max("i").alias("hi")).filter("lo < hi").select("a")
+    # written, so that the join below reads two plain shuffles, which Spark can split at a common anchor, and those of the count can go
+    shared = cut(rows.groupBy("a").agg(F.min("i").alias("lo"), F.max("i").alias("hi")).filter("lo < hi").select("a"), "shared")
+    release(docs.sparkSession)
     asked = rows.join(shared, "a").groupBy(F.col("i").alias("__of")).agg(F.collect_list("p").alias("__shared"))
     source = slim.select(F.col("i").alias("__i"), F.col("x").alias("__x")) if only_digest else docs.withColumns({"__i": F.col(doc_id).cast("long"), "__x": F.col(text).cast("string")}).drop(text)
     met = source.join(asked, F.col("__i") == F.col("__of"), "left").drop("__of")
