@@ -84,12 +84,21 @@ def replace_columns(df: DataFrame, new: dict[str, Column]) -> DataFrame:
     return df.select(*kept, *(v.alias(k) for k, v in new.items()))
 
 
+def _named_labels(labels: DataFrame, label: str, where: Column) -> DataFrame:
+    return labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y")).filter(F.col("doc_id").isNotNull() & where)
+
+
+def label_share(labels: DataFrame, label: str, where: Column) -> float | None:
+    """Share of label 1 among all rows that ``sampled_labels`` draws from, before its caps; None without any."""
+    return _named_labels(labels, label, where).filter(F.col("y").isin(0, 1)).distinct().agg(F.avg("y")).first()[0]
+
+
 def sampled_labels(labels: DataFrame, label: str, where: Column, most: dict[int, int]) -> DataFrame:
     """At most ``most[value]`` labelled rows per class, those with the lowest hash of their id: a bounded, repeatable sample.
 
     Columns: doc_id, y. Rows without an id or a label of 0 or 1 are not used.
     """
-    named = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("y")).filter(F.col("doc_id").isNotNull() & where)
+    named = _named_labels(labels, label, where)
     parts = [
         named.filter(F.col("y") == y).dropDuplicates(["doc_id"]).orderBy(F.xxhash64(F.col("doc_id"), F.lit(7)), "doc_id").limit(n)
         for y, n in most.items()

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyed.llm.common import per_text, ready, replace_columns, sampled_labels, utf8
+from keyed.llm.common import label_share, per_text, ready, replace_columns, sampled_labels, utf8
 
 #: Numbers per byte, bytes under a filter, bytes from one place of a filter to the next, filters.
 DEPTH, WIDTH, STRIDE, FILTERS = 8, 8, 2, 24
@@ -105,14 +105,20 @@ class Net:
         return out
 
 
-def fit(texts: list[str | None], y: np.ndarray, passes: int = 6, lot: int = 32, seed: int = 5) -> Net:
-    """Adam on the log loss; gradients flow through the places of the largest values. Without both classes: their share."""
+def fit(texts: list[str | None], y: np.ndarray, passes: int = 6, lot: int = 32, seed: int = 5, prior: float | None = None) -> Net:
+    """Adam on the log loss; gradients flow through the places of the largest values.
+
+    ``prior`` is the share of label 1 to calibrate to, where classes were sampled unevenly. Without both classes the network
+    gives the prior alone.
+    """
     net, r = Net.new(seed), np.random.default_rng(seed)
     y = np.asarray(y, float)
-    share = min(max(float(y.mean()) if len(y) else 0.5, 1e-3), 1 - 1e-3)
-    net.bias = float(np.log(share / (1 - share)))
+    share = float(y.mean()) if len(y) else 0.5
+    prior = min(max(share if prior is None or not len(y) else prior, 1e-3), 1 - 1e-3)
+    net.bias = float(np.log(prior / (1 - prior)))
     if not len(y) or y.min() == y.max():
         return net
+    each = np.where(y == 1, prior / share, (1 - prior) / (1 - share))  # weights that restore the prior
     cut = [chunks(utf8(t)) for t in texts]
     passes = max(passes, min(40, 6000 // len(y)))
     m = {k: 0.0 for k in net.params} | {"bias": 0.0}
@@ -132,7 +138,7 @@ def fit(texts: list[str | None], y: np.ndarray, passes: int = 6, lot: int = 32,
             for k, i in enumerate(ids):
                 q = p[begin[k] : begin[k + 1]]
                 h = np.concatenate([q.mean(0), q.min(0), q.max(0)])
-                e = (1 / (1 + np.exp(-np.clip(h @ net.dense + net.bias, -30, 30))) - y[i]) / len(ids)
+                e = (1 / (1 + np.exp(-np.clip(h @ net.dense + net.bias, -30, 30))) - y[i]) * each[i] / len(ids)
                 g["dense"] += e * h
                 g["bias"] += e
                 d = (e * net.dense).reshape(3, FILTERS)
@@ -160,12 +166,12 @@ def fit(texts: list[str | None], y: np.ndarray, passes: int = 6, lot: int = 32,
 
 
 def train(docs: DataFrame, labels: DataFrame, where: Column, label: str = "quality") -> Net:
-    """Fits on a bounded sample of the labelled rows that ``where`` (on the labels' doc_id) admits."""
+    """Fits on a bounded sample of the labelled rows that ``where`` (on the labels' doc_id) admits, calibrated to all of them."""
     spark = ready(docs.sparkSession)
     sample = spark.createDataFrame(sampled_labels(labels, label, where, SAMPLE).collect(), "doc_id long, y int")
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").collect()  # at most sum(SAMPLE) rows
     rows.sort(key=lambda r: (r.doc_id, r.text or ""))
-    return fit([r.text for r in rows], np.array([r.y for r in rows], float))
+    return fit([r.text for r in rows], np.array([r.y for r in rows], float), prior=label_share(labels, label, where))
 
 
 def probability_column(net: Net, text: str | Column = "text") -> Column:

@@ -269,6 +269,20 @@ def test_classifiers_on_odd_rows(odd):
     assert toxicity.fit([], np.zeros(0)).scorer()("x") == 0.5 and convnet.fit([], np.zeros(0)).probability(None) == 0.5
 
 
+def test_network_is_calibrated_to_all_labels(spark, monkeypatch):
+    n = 600  # 90 of 100 are good, 80 of the 100 in letters
+    rows = [(i, "aaaa bbbb cccc " * 3 if i % 2 else "%%%% $$$$ " * 3, int(i % 10 != 1)) for i in range(n)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(None, 0)] * n + [(0, None)], "doc_id long, quality int")
+    whole = convnet.train(docs, labels, convnet.F.lit(True))
+    monkeypatch.setattr(convnet, "SAMPLE", {0: 60, 1: 60})
+    capped = convnet.train(docs, labels, convnet.F.lit(True))
+    for text, share in ((rows[1][1], 0.8), (rows[0][1], 1.0)):
+        assert abs(whole.probability(text) - share) < 0.1 and abs(capped.probability(text) - share) < 0.1
+    monkeypatch.setattr(convnet, "SAMPLE", {0: 0, 1: 60})
+    assert abs(convnet.train(docs, labels, convnet.F.lit(True)).probability("x") - 0.9) < 1e-6
+
+
 def rule_counts(text):
     w = words(text)
     grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
