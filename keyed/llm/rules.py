@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyed.llm.common import per_text, ready, replace_columns, sampled_labels, utf8
+from keyed.llm.common import label_share, per_text, ready, replace_columns, sampled_labels, utf8
 
 #: Documents of each class that the trees are fitted on at most.
 SAMPLE = {0: 10_000, 1: 10_000}
@@ -102,25 +102,28 @@ class Trees:
         return 1 / (1 + np.exp(-np.clip(self.base + self.value[at].sum(1), -60, 60)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, signs: list[int] | None = None) -> Trees:
+def fit(x: np.ndarray, y: np.ndarray, signs: list[int] | None = None, prior: float | None = None) -> Trees:
     """Second-order boosting of the log loss on binned features.
 
     A split on a constrained feature must order its two values, and every node below keeps to its side of their middle; so
-    the sum of trees is monotonic in that feature. Without both classes the result is their share.
+    the sum of trees is monotonic in that feature. ``prior`` is the share of label 1 to calibrate to, where classes were
+    sampled unevenly. Without both classes the result is the prior alone.
     """
     signs = list(FEATURES.values()) if signs is None else signs
     x, y = np.asarray(x, float), np.asarray(y, float)
-    share = min(max(float(y.mean()) if len(y) else 0.5, 1e-3), 1 - 1e-3)
-    base = float(np.log(share / (1 - share)))
+    share = float(y.mean()) if len(y) else 0.5
+    prior = min(max(share if prior is None or not len(y) else prior, 1e-3), 1 - 1e-3)
+    base = float(np.log(prior / (1 - prior)))
     nodes: list[list[float]] = []
     roots: list[int] = []
     score = np.full(len(y), base)
     if len(y) and y.min() < y.max():
         edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
         binned = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], 1)
+        each = np.where(y == 1, prior / share, (1 - prior) / (1 - share))  # weights that restore the prior
         for _ in range(TREES):
             p = 1 / (1 + np.exp(-score))
-            g, h = p - y, np.maximum(p * (1 - p), 1e-6)
+            g, h = (p - y) * each, np.maximum(p * (1 - p), 1e-6) * each
 
             def grow(rows: np.ndarray, depth: int, low: float, high: float, at: int, g=g, h=h) -> None:
                 own = float(np.clip(-g[rows].sum() / (h[rows].sum() + RIDGE), low, high))
@@ -170,12 +173,13 @@ def statistics(text: str | Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, label: str = "quality") -> Trees:
-    """Fits on the statistics of a bounded sample of labelled rows."""
+    """Fits on the statistics of a bounded sample of labelled rows, calibrated to all of them."""
     spark = ready(docs.sparkSession)
-    sample = spark.createDataFrame(sampled_labels(labels, label, F.lit(True) if where is None else where, SAMPLE).collect(), "doc_id long, y int")
+    where = F.lit(True) if where is None else where
+    sample = spark.createDataFrame(sampled_labels(labels, label, where, SAMPLE).collect(), "doc_id long, y int")
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "y", statistics("text").alias("s")).collect()
     rows.sort(key=lambda r: (r.doc_id, tuple(r.s)))
-    return fit(features(np.array([tuple(r.s) for r in rows], float)), np.array([r.y for r in rows], float))
+    return fit(features(np.array([tuple(r.s) for r in rows], float)), np.array([r.y for r in rows], float), prior=label_share(labels, label, where))
 
 
 def judge(docs: DataFrame, trees: Trees, threshold: float = 0.5, text: str = "text") -> DataFrame:

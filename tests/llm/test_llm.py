@@ -309,6 +309,21 @@ def test_rules(spark, sf, odd, given):
     assert bag((r.doc_id, *(r[c] for c in rules.COUNTS[:5])) for r in judged) == bag((d, *rule_counts(t)) for d, t, _, _ in ODD)
 
 
+def test_trees_are_calibrated_to_all_labels(spark, monkeypatch):
+    n = 600  # 90 of 100 are good, 80 of the 100 with odd ids
+    rows = [(i, "aaaa bbbb cccc " * 3 if i % 2 else "%%%% $$$$ " * 3, int(i % 10 != 1)) for i in range(n)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(None, 0)] * n + [(0, None)], "doc_id long, quality int")
+    x = rules.features(np.array([rules.counts(rows[1][1]), rules.counts(rows[0][1])]))
+    whole = rules.train(docs, labels)
+    monkeypatch.setattr(rules, "SAMPLE", {0: 60, 1: 60})
+    capped = rules.train(docs, labels)
+    for t in (whole, capped):
+        assert np.abs(t.probability(x) - [0.8, 1.0]).max() < 0.1
+    monkeypatch.setattr(rules, "SAMPLE", {0: 0, 1: 60})
+    assert np.abs(rules.train(docs, labels).probability(x) - 0.9).max() < 1e-6
+
+
 def test_trees_keep_their_constraints():
     r = np.random.default_rng(0)
     x = r.random((2000, 3))
