@@ -36,21 +36,23 @@ def poisson(u: Column, rate: Column) -> Column:
     return (F.when(whole > 0, whole * invert(F.lit(500.0))).otherwise(0.0) + invert(rate - whole * 500.0)).cast("long")
 
 
-def rates(docs: DataFrame, weights: dict[str, float] | None, power: float, budget: float, source: str, text: str) -> DataFrame:
+def rates(docs: DataFrame, weights: dict[str | None, float] | None, power: float, budget: float, source: str, text: str) -> DataFrame:
     """Mean repetitions of each source: (its share of the weights) x budget x (all bytes) / (its bytes). Columns: s, rate."""
     sizes = docs.groupBy(F.col(source).cast("string").alias("s")).agg(F.sum(F.octet_length(text)).cast("double").alias("b"))
     sizes = sizes.filter("b > 0")
     if weights is None:
         weighed = sizes.withColumn("w", F.pow("b", F.lit(power)))
     else:
-        given = F.create_map(*(F.lit(x) for kv in weights.items() for x in kv)) if weights else F.lit(None).cast("map<string,double>")
-        weighed = sizes.withColumn("w", F.coalesce(F.element_at(given, F.col("s")).cast("double"), F.lit(0.0)))
+        named = {k: v for k, v in weights.items() if k is not None}
+        given = F.create_map(*(F.lit(x) for kv in named.items() for x in kv)) if named else F.lit(None).cast("map<string,double>")
+        known = F.coalesce(F.element_at(given, F.col("s")).cast("double"), F.lit(0.0))
+        weighed = sizes.withColumn("w", F.when(F.col("s").isNull(), F.lit(float(weights.get(None, 0.0)))).otherwise(known))
     all_bytes, all_weight = weighed.agg(F.sum("b"), F.sum("w")).first()  # two numbers
     rate = F.col("w") * budget * all_bytes / F.col("b") / all_weight if all_weight else F.lit(0.0)
     return weighed.select("s", rate.alias("rate"))
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float = 0.5, budget: float = 1.0, seed: str = "mix", doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, power: float = 0.5, budget: float = 1.0, seed: str = "mix", doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """Repeats each document by a Poisson count whose mean brings its source to the target weight; shuffles globally.
 
     ``weights`` are target shares of bytes by source (others get none); without them a source weighs its bytes to the
@@ -58,18 +60,18 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, power: float =
     number hashed from seed and id, so it does not depend on partitions or reruns. Adds ``replica`` (from 0) and ``mix_key``
     (hash of seed, id and replica: the global order, by which rows are dealt over partitions and sorted in each).
 
-    A row with a null or empty text counts no bytes; it is repeated like the others of its source. Rows whose source is null
-    or has no bytes at all get rate 0 and so no copies, null sources among them being a source of their own that weights
-    cannot name. Rows without an id share one number; rows with the same id get the same count. Extra columns are kept,
+    Rows whose source is null are a source of their own, which weights name as None. A row with a null or empty text counts
+    no bytes; it is repeated like the others of its source. Rows whose source has no bytes at all or is left out of the
+    weights get rate 0 and so no copies. Rows without an id share one number; rows with the same id get the same count. Extra columns are kept,
     columns named like a result give way to it. An empty table gives no rows.
 
     The only shuffle of texts is the global one. Rates are one row per source, summed before the shuffle; up to MOST_SENT
     sources they are sent to the tasks, else joined.
     """
     spark = ready(docs.sparkSession)
-    rate = rates(docs, weights, power, budget, source, text).filter("s is not null").select(F.col("s").alias("__s"), F.col("rate").alias("__rate")).cache()
+    rate = rates(docs, weights, power, budget, source, text).select(F.col("s").alias("__s"), F.col("rate").alias("__rate")).cache()
     few = rate.limit(MOST_SENT + 1).count() <= MOST_SENT
-    rated = docs.join(F.broadcast(rate) if few else rate, docs[source].cast("string") == F.col("__s"))
+    rated = docs.join(F.broadcast(rate) if few else rate, docs[source].cast("string").eqNullSafe(F.col("__s")))
     u = uniform(F.lit(f"{seed}-count"), F.coalesce(docs[doc_id].cast("string"), F.lit("null")))
     counted = rated.withColumn("__n", poisson(u, F.col("__rate"))).drop("__s", "__rate").filter("__n > 0")
     replicas = counted.withColumn("__r", F.explode(F.sequence(F.lit(0), (F.col("__n") - 1).cast("int")))).drop("__n")

@@ -235,6 +235,18 @@ def test_mixing(spark, sf, odd):
     assert mixing.mix(odd.limit(0)).count() == 0 and mixing.mix(odd, weights={}).count() == 0
 
 
+@pytest.mark.parametrize("sent", [100_000, 0])
+def test_mixing_keeps_rows_without_a_source(spark, monkeypatch, sent):
+    monkeypatch.setattr(mixing, "MOST_SENT", sent)
+    docs = spark.createDataFrame([(i, "x" * 100, ["a", "b", None][i % 3]) for i in range(3000)], "doc_id long, text string, source string")
+    got = Counter(r.source for r in mixing.mix(docs).select("source").collect())
+    assert got.keys() == {"a", "b", None} and all(abs(n - 1000) < 150 for n in got.values())
+    named = Counter(r.source for r in mixing.mix(docs, weights={None: 3.0, "a": 1.0}).select("source").collect())
+    assert named.keys() == {"a", None} and abs(named[None] - 2250) < 250 and abs(named["a"] - 750) < 150
+    assert {r.source for r in mixing.mix(docs, weights={"a": 1.0}).select("source").collect()} == {"a"}
+    assert {r.source for r in mixing.mix(docs, weights={None: 1.0}).select("source").collect()} == {None}
+
+
 def test_poisson_inverts_the_distribution(spark):
     rows = spark.range(20_000).select(mixing.poisson(mixing.uniform("id"), mixing.F.lit(2.5)).alias("k")).toPandas().k
     assert abs(rows.mean() - 2.5) < 0.05 and abs(rows.var() - 2.5) < 0.15
