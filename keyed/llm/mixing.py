@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from keyed.llm.common import ready, replace_columns, shuffle_partitions
 MOST_SENT = 100_000
 #: Hexadecimal digits of the hash that make the uniform number.
 DIGITS = 13
+#: Mean from which the distribution is summed from below its middle: exp(-mean) leaves the normal doubles at 708.
+LOG_FROM = 700.0
 
 
 def uniform(*parts: Column | str) -> Column:
@@ -22,18 +26,23 @@ def uniform(*parts: Column | str) -> Column:
 def poisson(u: Column, rate: Column) -> Column:
     """The least k with P(X <= k) > u, X of Poisson distribution with this mean: the inverse distribution function.
 
-    The sum over k stops where it passes u or no longer grows in double precision. A mean above 500 is the sum of means of
-    500 and less, each inverted at u (their distribution functions are too small to start from else).
+    The sum over k starts at 0 and stops where it passes u. Above a mean of LOG_FROM, where the first terms are too small for
+    a double, it starts 12 standard deviations below the mean, from a term worked out in log space by Stirling's series, and
+    also stops where it no longer grows: what is left out on either side is far below the 2^-52 from one u to the next.
     """
-
-    def invert(mean: Column) -> Column:
-        step = lambda s: F.struct((s.k + 1).alias("k"), (s.p * mean / (s.k + 1)).alias("p"), (s.c + s.p * mean / (s.k + 1)).alias("c"))
-        start = F.struct(F.lit(0.0).alias("k"), F.exp(-mean).alias("p"), F.exp(-mean).alias("c"))
-        tries = F.sequence(F.lit(1), F.ceil(mean + 12 * F.sqrt(mean) + 30).cast("int"))
-        return F.aggregate(tries, start, lambda s, _: F.when(s.c > u, s).otherwise(step(s))).k
-
-    whole = F.floor(rate / 500.0)
-    return (F.when(whole > 0, whole * invert(F.lit(500.0))).otherwise(0.0) + invert(rate - whole * 500.0)).cast("long")
+    spread = 12 * F.sqrt(rate) + 30
+    low = F.when(rate > LOG_FROM, F.floor(rate - spread).cast("double")).otherwise(0.0)
+    n = F.greatest(low, F.lit(1.0))
+    series = 1 / (12 * n) - 1 / (360 * n * n * n) + 1 / (1260 * n * n * n * n * n)
+    stirling = F.exp(n * F.log(rate / n) + (n - rate) - F.log(n * (2 * math.pi)) / 2 - series)
+    first = F.when(low > 0, stirling).otherwise(F.exp(-rate))
+
+    def step(s: Column) -> Column:
+        p = s.p * rate / (s.k + 1)
+        return F.when((s.c > u) | ((low > 0) & (s.k > rate) & (s.c + p == s.c)), s).otherwise(F.struct((s.k + 1).alias("k"), p.alias("p"), (s.c + p).alias("c")))
+
+    tries = F.sequence(F.lit(1), F.ceil(rate - low + spread).cast("int"))
+    return F.aggregate(tries, F.struct(low.alias("k"), first.alias("p"), first.alias("c")), lambda s, _: step(s)).k.cast("long")
 
 
 def rates(docs: DataFrame, weights: dict[str | None, float] | None, power: float, budget: float, source: str, text: str) -> DataFrame:

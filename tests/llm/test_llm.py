@@ -1,6 +1,7 @@
 """Every operator of the text package against brute force, and on odd rows."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -254,6 +255,15 @@ def test_poisson_inverts_the_distribution(spark):
     assert abs(big.mean() - 1200) < 20
 
 
+@pytest.mark.parametrize("mean", [499.5, 650.0, 701.0, 3750.0, 40_000.0])
+def test_poisson_is_one_distribution_at_any_mean(spark, mean):
+    us = [0.001, 0.02, 0.1587, 0.3, 0.5, 0.75, 0.8413, 0.98, 0.999, 1 - 2.0**-52]
+    got = [r.k for r in spark.createDataFrame([(u, mean) for u in us], "u double, m double").select(mixing.poisson(mixing.F.col("u"), mixing.F.col("m")).alias("k")).collect()]
+    k = np.arange(int(mean + 20 * mean**0.5))
+    below = np.cumsum(np.exp(k * np.log(mean) - mean - np.array([math.lgamma(i + 1) for i in k])))
+    assert got[:-1] == np.searchsorted(below, us[:-1], side="right").tolist() and got[-2] < got[-1] < mean + 12 * mean**0.5 + 31
+
+
 def labelled(sf, column):
     return duckdb.sql(f"SELECT doc_id, text, {column} FROM '{sf}/documents.parquet' JOIN '{sf}/labels.parquet' USING (doc_id) ORDER BY 1").fetchall()
 
