@@ -173,6 +173,20 @@ def test_simhash(spark, sf, odd, given, monkeypatch, crowd):
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("crowd", [64, 0])
+def test_simhash_links_at_any_distance(spark, monkeypatch, crowd):
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    r = np.random.default_rng(4)
+    prints = set()
+    for base in r.integers(0, 1 << 63, 12):
+        prints |= {int(base) ^ sum(1 << int(i) for i in r.choice(64, r.integers(0, 6), replace=False)) for _ in range(12)}
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    for distance in (1, 3, 5):
+        got = simhash.links(spark.createDataFrame([(p,) for p in signed], "f long"), distance).collect()
+        assert bag(map(tuple, got)) == bag((p, q) for p in signed for q in signed if p < q and ((p ^ q) & ((1 << 64) - 1)).bit_count() <= distance)
+    assert simhash.fingerprint("a b c d e", 5) == xxhash.xxh64_intdigest(b"a b c d e", 42)
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(40) if i != 20] + [(100, 50), (100, 60), (7, 7)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(pairs, "u long, v long")).collect()}
