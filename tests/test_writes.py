@@ -339,3 +339,14 @@ def test_shards_follow_the_measured_size(spark, place):
     rows = spark.range(300).selectExpr("id", "repeat('x', 100000) AS t")
     table = K.create_keyed(spark, "wide", rows, "id", prefix=place, size_mb=10).table
     assert len(table.base.live) == 3
+
+
+def test_copy_files_depends_on_the_copy(spark, sf, monkeypatch):
+    from types import SimpleNamespace
+
+    from suite import writes
+
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    assert K.bag_diff(writes.copy_files(spark, sf), part).isEmpty()
+    monkeypatch.setattr(K, "bulk_upsert", lambda table, rows: SimpleNamespace(table=table))
+    assert not K.bag_diff(writes.copy_files(spark, sf), part).isEmpty()
