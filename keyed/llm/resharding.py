@@ -191,9 +191,10 @@ def write_store(docs: DataFrame, folder: str, shard: Column, shards: int, text:
     begin = F.get(numbers, F.col("shard"))
     # the row's place in the input is the same when a task of the scan runs again
     file = begin + F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.get(numbers, F.col("shard") + 1) - begin)
-    dealt = rows.withColumn("file", file).repartitionById(max(1, first[-1]), F.col("file").cast("int"))
-    pos = F.row_number().over(Window.partitionBy("file").orderBy("hash")) - 1
-    placed = dealt.withColumn("pos", pos.cast("long")).select(F.lit(gen).alias("gen"), "file", "pos", "size", "row")
+    # the window is over the very column that rows are dealt by, so it needs no shuffle of its own
+    dealt = rows.withColumn("cell", file.cast("int")).repartitionById(max(1, first[-1]), F.col("cell"))
+    pos = F.row_number().over(Window.partitionBy("cell").orderBy("hash")) - 1
+    placed = dealt.withColumn("pos", pos.cast("long")).select(F.lit(gen).alias("gen"), F.col("cell").cast("long").alias("file"), "pos", "size", "row")
     placed.write.option("compression", "zstd").mode("append").partitionBy("gen", "file").parquet(f"{folder}/rows")
     release(spark)
     store = Store(spark, folder, rows.schema["row"].dataType, None, shards)
