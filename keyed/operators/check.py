@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.bounds import predicate
-from ..plans.layout import key_struct
+from ..plans.rangeset import as_column
 from ..sources.table import SHARD, KeyedTable
 
 
@@ -44,10 +43,8 @@ def bag_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 def read_without_pushdown(table: KeyedTable, where: Sequence[tuple]) -> DataFrame:
     """The same rows as ``table.read(where)`` from a scan of every shard with filters the file reader cannot use."""
     df = table.base.read(table.spark).drop(SHARD)
-    for name, op, value in table.predicates(where):
-        hidden: Column = key_struct([name])["k0"]
-        df = df.filter(F.element_at(F.array(predicate(hidden, table.schema[name].dataType, op, value)), 1))
-    return df
+    hidden = as_column(table.conditions(where), table.schema)
+    return df.filter(F.element_at(F.array(hidden), 1))
 
 
 def pushdown_parity(table: KeyedTable, where: Sequence[tuple]) -> DataFrame:

@@ -7,9 +7,9 @@ from dataclasses import replace
 
 from pyspark.sql import types as T
 
-from ..plans.layout import Layout, derive_splits, shard_count
+from ..plans.layout import Layout, shard_count
 from ..sources.table import KeyedTable, Shards, check_names
-from .write import WriteResult, _fresh
+from .write import WriteResult, _fresh, _splits, _survey, _surveyed
 
 
 def alter(table: KeyedTable, add: Sequence[T.StructField] = (), drop: Sequence[str] = ()) -> WriteResult:
@@ -71,10 +71,13 @@ def reshard(
     """Rewrite the table under a new layout: given split points, a given number of shards, or a number from its size."""
     rows = table.read()
     count = shards or shard_count(table.size_bytes(), size_mb, min_shards, max_shards)
+    survey = []
     if (store or table.layout.store) == "hash":
         layout = Layout.by_hash(count)
     else:
-        layout = Layout.by_splits(splits if splits is not None else derive_splits(rows, table.keys, count))
-    empty = Shards(table.base.folder, table.schema, table.keys, layout)
-    base, written, size = _fresh(table.spark, empty, rows, touched=set())
+        survey = _survey(rows, table.keys, table.schema.names, count, table.base.cell_rows) if splits is None else []
+        layout = Layout.by_splits(splits if splits is not None else _splits(survey, count))
+    empty = Shards(table.base.folder, table.schema, table.keys, layout, cell_rows=table.base.cell_rows)
+    loads = _surveyed(survey, layout, empty.cell_rows) or None
+    base, written, size = _fresh(table.spark, empty, rows, touched=set(), loads=loads, exact=loads is None)
     return WriteResult(table.commit(base=base, dropped=()), written, size)

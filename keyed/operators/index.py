@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.bounds import fit, key_range, normalise, predicate, range_condition
+from ..plans.layout import key_struct
+from ..plans.rangeset import EVERY, Node, RangeSet, as_column, columns_of, key_set, null_can_pass
 from ..sources.table import SHARD, KeyedTable
 from .write import WriteResult, build_index
 
@@ -19,29 +19,28 @@ def create_index(table: KeyedTable, name: str, columns: Sequence[str], splits: S
     return WriteResult(table.commit(indexes={**table.indexes, name: build_index(table, name, columns, splits)}))
 
 
-def index_lookup(table: KeyedTable, name: str, where: Sequence[tuple[str, str, Any]]) -> DataFrame:
-    """Rows of the table that match all triples, found by the index: it gives the keys, the keys give the rows.
+def index_lookup(table: KeyedTable, name: str, where: Sequence[Sequence]) -> DataFrame:
+    """Rows of the table that match all conditions, found by the index: it gives the keys, the keys give the rows.
 
-    Columns of the index choose its shards and are compared on its entries, nulls included (``<=> NULL``); other columns are
-    compared on the rows. The matching entries name the shards to open (as many numbers as the table has shards reach the
-    driver).
+    Conditions on columns of the index choose its shards and files and are compared on its entries, nulls included
+    (``<=> NULL``); others are compared on the rows. The matching entries name the shards to open and, by their least and
+    greatest key in each, the files (two keys for each shard reach the driver).
     """
     index = table.indexes[name]
-    triples = [(c, op, fit(v, table.schema[c].dataType)) for c, op, v in normalise(where, table.schema.names)]
+    given = table.conditions(where)
     held = set(index.schema.names)
-    found = key_range(index.keys, [t for t in triples if t[0] in index.keys and t[2] is not None])
-    if found is None:
-        return table.base.read(table.spark, ()).drop(SHARD)
-    entries = index.read(table.spark, index.holding(table.spark, found))
-    condition = range_condition(index.keys, index.key_types(), found)
-    if condition is not None:
-        entries = entries.filter(condition)
-    for c, op, v in triples:
-        if c in held:
-            entries = entries.filter(predicate(F.col(c), table.schema[c].dataType, op, v))
+    on_entries = [p for p in given.parts if columns_of(p) <= held]
+    # an index holds rows whose index columns are null, which no set of ranges names: only conditions that nulls cannot pass choose
+    choosing = Node("and", tuple(p for p in on_entries if not null_can_pass(p)))
+    found = key_set(index.keys, choosing)
+    entries = index.read(table.spark, index.holding(table.spark, found), None if found == EVERY else found)
+    for p in on_entries:
+        entries = entries.filter(as_column(p, table.schema))
     routed = entries.select(*table.keys).withColumn(SHARD, table.base.shard_column())
-    touched = [r[0] for r in routed.select(SHARD).distinct().collect()]
-    rows = table.base.read(table.spark, [s for s in touched if s in table.base.live])
-    for c, op, v in triples:
-        rows = rows.filter(predicate(F.col(c), table.schema[c].dataType, op, v))  # reaches the Parquet scan
+    key = key_struct(table.keys)
+    ends = routed.groupBy(SHARD).agg(F.min(key).alias("lo"), F.max(key).alias("hi")).collect()  # one row per shard
+    spans = RangeSet.of([((tuple(r.lo), -1), (tuple(r.hi), 1)) for r in ends])
+    rows = table.base.read(table.spark, [r[SHARD] for r in ends if r[SHARD] in table.base.live], spans)
+    for p in given.parts:
+        rows = rows.filter(as_column(p, table.schema))  # reaches the Parquet scan
     return rows.join(routed, [SHARD, *table.keys], "left_semi").select(*table.schema.names)

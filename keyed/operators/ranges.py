@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,7 @@ from ..plans.layout import TREE_SPLITS, Layout, count_splits, key_struct, splits
 from ..sources.table import SHARD, KeyedTable
 
 BOUNDS_PER_BIN = 32
+SHARDS_PER_BLOCK = 4096
 MAX_BINS = 65_536
 
 
@@ -137,8 +138,8 @@ def _first_count(lo: Sequence[Column], types: Sequence[T.DataType], splits: Sequ
     return F.when(incl, count_splits(lo, types, splits, True)).otherwise(_by_length(lo, for_length))
 
 
-def range_shards(layout: Layout, types: Sequence[T.DataType], ranges: DataFrame) -> DataFrame:
-    """Every range with the shards it touches; ranges that hold no key touch none."""
+def shard_spans(layout: Layout, types: Sequence[T.DataType], ranges: DataFrame) -> DataFrame:
+    """Every range that can hold a key, with the ``first`` and ``last`` shard it touches."""
     lo, hi = cut_at_null(_parts(ranges, "lo")), cut_at_null(_parts(ranges, "hi"))
     if layout.store == "hash":
         first, last = F.lit(0), F.lit(layout.shards - 1)
@@ -147,9 +148,14 @@ def range_shards(layout: Layout, types: Sequence[T.DataType], ranges: DataFrame)
         lo, hi = ([*side, *[F.lit(None).cast(t) for t in types[len(side) :]]] for side in (lo, hi))
         first = F.when(lo[0].isNull(), F.lit(0)).otherwise(_first_count(lo, types, splits, F.col("lo_incl")))
         last = F.when(hi[0].isNull(), F.lit(len(splits))).otherwise(_last_count(hi, types, splits, F.col("hi_incl")))
-    spans = F.when(first <= last, F.sequence(first, last))
-    spread = ranges.filter(_holds_keys(lo, hi)).withColumn("shard", F.explode(spans))
-    return spread.withColumn("shard", F.col("shard").cast("int"))
+    spans = ranges.filter(_holds_keys(lo, hi)).withColumns({"first": first.cast("int"), "last": last.cast("int")})
+    return spans.filter("first <= last")
+
+
+def range_shards(layout: Layout, types: Sequence[T.DataType], ranges: DataFrame) -> DataFrame:
+    """Every range with the shards it touches; ranges that hold no key touch none."""
+    spans = shard_spans(layout, types, ranges)
+    return spans.withColumn("shard", F.explode(F.sequence("first", "last"))).drop("first", "last")
 
 
 def _holds_keys(lo: Sequence[Column], hi: Sequence[Column]) -> Column:
@@ -164,9 +170,23 @@ def _holds_keys(lo: Sequence[Column], hi: Sequence[Column]) -> Column:
 
 
 def touched_shards(table: KeyedTable, ranges: DataFrame) -> DataFrame:
-    """Shards that any range touches, with the number of ranges that touch them."""
-    spread = range_shards(table.layout, table.base.key_types(), ranges)
-    return spread.groupBy("shard").agg(F.count(F.lit(1)).alias("ranges"))
+    """Shards that any range touches, with the number of ranges that touch them.
+
+    Each range adds 1 at its first shard and takes it off after its last; the running sum of these differences is the
+    number of ranges at a shard. So a range costs two rows, however many shards it covers, and these are summed before
+    the shuffle.
+    """
+    spans = shard_spans(table.layout, table.base.key_types(), ranges)
+    ends = F.array(F.struct(F.col("first").alias("shard"), F.lit(1).alias("change")), F.struct((F.col("last") + 1).alias("shard"), F.lit(-1).alias("change")))
+    changes = spans.select(F.inline(ends)).groupBy("shard").agg(F.sum("change").alias("change"))
+    every = table.spark.range(table.layout.shards).select(F.col("id").cast("int").alias("shard"))
+    each = every.join(changes, "shard", "left").select("shard", F.floor(F.col("shard") / SHARDS_PER_BLOCK).alias("block"), F.coalesce("change", F.lit(0)).alias("change"))
+    # a running sum over blocks (one row each), and one within each block
+    sums = each.groupBy("block").agg(F.sum("change").alias("change"))
+    before = F.coalesce(F.sum("change").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    running = F.sum("change").over(Window.partitionBy("block").orderBy("shard"))
+    counted = each.withColumn("own", running).join(sums.select("block", before.alias("before")), "block")
+    return counted.select("shard", (F.col("before") + F.col("own")).alias("ranges")).filter("ranges > 0")
 
 
 def read_ranges(table: KeyedTable, ranges: DataFrame) -> DataFrame:

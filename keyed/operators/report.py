@@ -7,7 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..plans.bounds import cut_key
 from ..plans.layout import derive_splits, key_struct, splits_before
 from ..sources.table import SHARD, KeyedTable
 
@@ -16,7 +18,10 @@ MAX_BINS = 10_000
 
 
 def shard_layout(table: KeyedTable) -> DataFrame:
-    """Rows, first and last key and declared key bounds of every shard that holds rows."""
+    """Rows, first and last key and declared key bounds of every shard that holds rows, from the record of its files."""
+    stored = table.base.stored(table.spark, sorted(table.base.live))
+    if stored is not None:
+        return _recorded(table, stored)
     rows = table.read(columns=table.keys, with_shard=True)
     key = key_struct(table.keys)
     found = rows.groupBy(F.col(SHARD).alias("shard")).agg(
@@ -33,6 +38,19 @@ def shard_layout(table: KeyedTable) -> DataFrame:
     )
 
 
+def _recorded(table: KeyedTable, stored: dict) -> DataFrame:
+    def ends(side: str) -> list[T.StructField]:
+        return [T.StructField(f"{side}_{k}", t) for k, t in zip(table.keys, table.base.key_types())]
+
+    schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("rows", T.LongType()), *ends("min"), *ends("max"), T.StructField("bounds", T.StringType())])
+    out = []
+    for shard, zones in stored.items():
+        first = min((z.first for z in zones), key=lambda k: cut_key((k, -1)))
+        last = max((z.last for z in zones), key=lambda k: cut_key((k, -1)))
+        out.append((shard, sum(z.rows for z in zones), *first, *last, str(table.layout.bounds(shard))))
+    return table.spark.createDataFrame(out, schema)
+
+
 def rank_in_shard(df: DataFrame, keys: Sequence[str], shard: str, name: str = "rank") -> DataFrame:
     """Position of every row in key order within its shard, from 1.
 
@@ -58,21 +76,3 @@ def rank_in_shard(df: DataFrame, keys: Sequence[str], shard: str, name: str = "r
     inner = F.row_number().over(Window.partitionBy(shard, "_bin").orderBy(*keys))
     ranked = binned.withColumn("_inner", inner).join(offsets, [shard, "_bin"])
     return ranked.withColumn(name, F.col("_before") + F.col("_inner")).select(*df.columns, name)
-
-
-def batch_pack(
-    df: DataFrame, keys: Sequence[str], shard: str, rows: int = 10_000, max_bytes: int | None = None
-) -> DataFrame:
-    """Number the output batches of each shard in key order: at most ``rows`` rows each, in ``batch``.
-
-    With ``max_bytes``, ``piece`` splits a batch each time that many text bytes have been passed.
-    """
-    ranked = rank_in_shard(df, keys, shard, "_rank")
-    packed = ranked.withColumn("batch", F.floor((F.col("_rank") - 1) / rows).cast("bigint"))
-    if max_bytes is not None:
-        texts = [c for c, t in df.dtypes if t == "string"]
-        size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0)).cast("bigint")
-        w = Window.partitionBy(shard, "batch").orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
-        passed = F.coalesce(F.sum(size).over(w), F.lit(0))
-        packed = packed.withColumn("piece", F.floor(passed / max_bytes).cast("bigint"))
-    return packed.drop("_rank")

@@ -1,16 +1,19 @@
 """Keyed writes: insert, upsert, replace, bulk upsert, overwrite, truncate, create.
 
-Every write shuffles its rows once. A row goes to a cell, the work of one task: a large shard is cut by key hash into as
-many cells as its row count asks for, small neighbours share one. A shard that holds a third of the table is therefore
-written by many tasks, and all rows of a key meet in one cell. Counting rows per shard reads key columns only (for stored rows, file footers
-only), and only shards that the batch touches are read or rewritten.
+Every write reads its batch twice and shuffles it once. The first pass is one aggregate that gives, for each shard, rows,
+bytes and a sample of keys, in which every byte has the same chance; what is stored is known from its file record. From
+these a large shard is cut into cells, key ranges of about equal work; small neighbours share one. The second pass sends
+each cell to one task, which writes it in key order. So a shard that holds a third of the table is written by many tasks,
+all rows of a key meet in one cell, and each file holds a narrow range of keys. Only shards that the batch touches are read
+or rewritten.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
-from dataclasses import replace
+from dataclasses import dataclass, field, replace
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -18,16 +21,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.coerce import coerce
+from ..functions.sizes import row_bytes
 from ..functions.types import new_table_schema
-from ..plans.layout import Layout, derive_splits, int_array, shard_count
+from ..plans.bounds import cut_key
+from ..plans.layout import Layout, key_struct, shard_count
 from ..sources import files
-from ..sources.table import SHARD, KeyedTable, Shards, check_names, new_generation, shards_on_disk
+from ..sources.table import ROWS_PER_CELL, SHARD, KeyedTable, Shards, cell_column, check_names, new_generation
 
 CELL, TAG, RANK, SURPLUS = "_cell", "_tag", "_rank", "_surplus"
 OLD, DELETED, NEW = 0, 1, 2
-ROWS_PER_CELL = 1_000_000
-SMALL_CELL = 10_000
 BYTES_PER_CELL = 256 * 1024 * 1024
+#: Part of a cell below which a shard shares its task with its neighbours.
+SMALL_CELL = 0.01
+#: Keys sampled for each cell's worth of rows, and for each shard of a layout that is still to be found.
+SAMPLES, SHARD_SAMPLES = 8, 64
 AUTO_KEY = "_spark_key"
 #: Plan nodes whose rows are the same, and cheap to make, whenever they are asked for again.
 REPEATABLE = {"Project", "Filter", "SubqueryAlias", "View", "LogicalRelation", "LocalRelation", "Range"}
@@ -117,9 +124,16 @@ def _read_once(spark: SparkSession, path: str, df: DataFrame, order_by, schema:
         yield rows, names or None
 
 
-def _counts(df: DataFrame) -> dict[int, int]:
-    """Rows per shard; as many numbers as the layout has shards."""
-    return {r[0]: r[1] for r in df.groupBy(SHARD).count().collect()}
+@dataclass
+class Load:
+    """The work that rows make: their number and bytes, and keys that stand for equal parts or given parts of it."""
+
+    rows: int = 0
+    bytes: int = 0
+    keys: list[tuple[tuple, float]] = field(default_factory=list)
+
+    def cells(self, cell_rows: int) -> float:
+        return max(self.rows / cell_rows, self.bytes / BYTES_PER_CELL)
 
 
 def _payload(schema: T.StructType) -> Column:
@@ -133,47 +147,133 @@ def _payload(schema: T.StructType) -> Column:
     return sum(sizes, F.lit(0)).cast("bigint")
 
 
-def _rows_per_cell(rows: DataFrame, shards: Shards, counts: dict[int, int]) -> int:
-    """Rows that make one task's work, by the width of stored rows; a new table measures all rows it is given."""
-    width = shards.row_bytes or _measured(rows, shards.schema.names)[1]
-    return max(1, min(ROWS_PER_CELL, BYTES_PER_CELL // max(1, width)))
+def _width(rows: DataFrame, names: Sequence[str], known: int = 0) -> Column:
+    """Bytes of a row: measured, or as stored rows have on average."""
+    return F.lit(known).cast("bigint") if known else row_bytes(T.StructType([f for f in rows.schema if f.name in names]))
 
 
-def _measured(rows: DataFrame, names: Sequence[str]) -> tuple[int, int]:
-    """Bytes of all rows, and of one on average."""
-    schema = T.StructType([f for f in rows.schema if f.name in names])
-    count, payload = rows.agg(F.count(F.lit(1)), F.sum(_payload(schema))).first()
-    size = 8 * len(schema) * count + (payload or 0)
-    return size, -(-size // count) if count else 0
+def _drawn(keys: Sequence[str], size: Column, cell_rows: int) -> Column:
+    """Whether a key is in the sample: SAMPLES for every cell's worth of rows and of bytes, told by its hash."""
+    u = F.shiftrightunsigned(F.xxhash64(*keys, F.lit(17)), 11).cast("double") / float(1 << 53)
+    return u < size * (SAMPLES / BYTES_PER_CELL) + SAMPLES / cell_rows
 
 
-def _cells(counts: dict[int, int], shards: int, per_cell: int, small: int) -> tuple[list[int], list[int], int]:
-    """First cell and number of cells of every shard: large shards get several, small neighbours share one."""
-    first, pieces, cells, room = [], [], 0, 0
+def _loads(rows: DataFrame, shards: Shards) -> dict[int, Load]:
+    """What the rows add to each shard, in one aggregate; keys only of shards with more than one cell."""
+    keys = list(shards.keys)
+    size = _width(rows, shards.schema.names, shards.row_bytes)
+    drawn = F.when(_drawn(keys, size, shards.cell_rows), key_struct(keys))
+    parts = (
+        rows.select(shards.shard_column().alias(SHARD), drawn.alias("key"), size.alias("size"))
+        .groupBy(SHARD, "key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"))
+    )
+    n, b = F.sum("n"), F.sum("b")
+    large = (n > shards.cell_rows) | (b > BYTES_PER_CELL)
+    found = parts.groupBy(SHARD).agg(n.alias("n"), b.alias("b"), F.when(large, F.collect_list("key")).alias("keys"))
+    out = {}
+    for shard, count, size_, keys_ in found.collect():
+        own = Load(count, size_ or 0)
+        whole = [tuple(k) for k in keys_ or () if None not in k]
+        own.keys = [(k, own.cells(shards.cell_rows) / len(whole)) for k in whole]
+        out[shard] = own
+    return out
+
+
+def _survey(rows: DataFrame, keys: Sequence[str], names: Sequence[str], shards: int, cell_rows: int) -> list[tuple[tuple, int, int]]:
+    """Keys with the rows and bytes they stand for, together all rows, in key order: one aggregate.
+
+    Every hash bucket gives its key of least hash, which stands for the bucket, and keys drawn by size stand for themselves.
+    """
+    size = _width(rows, names)
+    hashed = F.xxhash64(*keys)
+    picked = rows.select(
+        F.pmod(hashed, F.lit(max(1024, SHARD_SAMPLES * shards))).alias("bucket"),
+        F.when(_drawn(keys, size, cell_rows), hashed).alias("own"),
+        hashed.alias("hash"),
+        key_struct(keys).alias("key"),
+        size.alias("size"),
+    )
+    parts = picked.groupBy("bucket", "own").agg(F.min_by("key", "hash").alias("key"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"))
+    found = [(tuple(r.key), r.n, r.b or 0) for r in parts.select("key", "n", "b").collect()]
+    return sorted((r for r in found if None not in r[0]), key=lambda r: cut_key((r[0], -1)))
+
+
+def _quantiles(weighed: Sequence[tuple[tuple, float]], parts: int) -> list[tuple]:
+    """At most ``parts - 1`` rising keys that cut sorted weights into about equal parts; each key begins a part."""
+    total, passed, out = sum(w for _, w in weighed), 0.0, []
+    for i, (key, weight) in enumerate(weighed):
+        if i and passed >= total * (len(out) + 1) / parts and len(out) + 1 < parts and cut_key((key, -1)) > cut_key((weighed[i - 1][0], -1)):
+            out.append(key)
+        passed += weight
+    return out
+
+
+def _splits(survey: Sequence[tuple[tuple, int, int]], shards: int) -> list[tuple]:
+    """Split points of a new range layout, by bytes."""
+    return _quantiles([(k, b or n) for k, n, b in survey], shards)
+
+
+def _surveyed(survey: Sequence[tuple[tuple, int, int]], layout: Layout, cell_rows: int) -> dict[int, Load]:
+    """The survey by shard of a range layout."""
+    out: dict[int, Load] = {}
+    points = [cut_key((s, -1)) for s in layout.splits]
+    shard = 0
+    for key, n, b in survey:
+        while shard < len(points) and points[shard] <= cut_key((key, -1)):
+            shard += 1
+        own = out.setdefault(shard, Load())
+        own.rows, own.bytes = own.rows + n, own.bytes + b
+        own.keys.append((key, max(n / cell_rows, b / BYTES_PER_CELL)))
+    return out
+
+
+def _with_stored(spark: SparkSession, shards: Shards, loads: dict[int, Load]) -> dict[int, Load]:
+    """The loads with what the shards hold already, file by file."""
+    stored = shards.stored(spark, loads)
+    if stored is None:  # no record of these files: rows are counted from their footers
+        held = shards.read(spark, [s for s in loads if s in shards.live])
+        for shard, n in held.groupBy(SHARD).count().collect():
+            loads[shard].rows += n
+            loads[shard].bytes += n * shards.row_bytes
+        return loads
+    for shard, zones in stored.items():
+        for z in zones:
+            size = z.rows * shards.row_bytes
+            loads[shard].rows += z.rows
+            loads[shard].bytes += size
+            loads[shard].keys.append((z.first, max(z.rows / shards.cell_rows, size / BYTES_PER_CELL)))
+    return loads
+
+
+def _cells(work: dict[int, float], pieces: dict[int, int], shards: int, small: float) -> tuple[list[int], int]:
+    """First cell of every shard, and the number of cells: large shards get several, small neighbours share one."""
+    first, cells, room = [], 0, 0.0
     for shard in range(shards):
-        rows = counts.get(shard, 0)
-        if rows > per_cell:
-            own, room = -(-rows // per_cell), 0
-        elif rows and rows > room:
-            own, room = 1, small - rows
-        else:
+        own = work.get(shard, 0.0)
+        if pieces.get(shard, 1) == 1 and own <= room and cells:
+            first.append(cells - 1)
+            room -= own
+            continue
+        if not own:
             first.append(max(0, cells - 1))
-            pieces.append(1)
-            room -= rows
             continue
         first.append(cells)
-        pieces.append(own)
-        cells += own
-    return first, pieces, cells
-
-
-def _place(df: DataFrame, shards: Shards, counts: dict[int, int], per_cell: int) -> DataFrame:
+        cells += pieces.get(shard, 1)
+        room = small - own if pieces.get(shard, 1) == 1 else 0.0
+    return first, cells
+
+
+def _place(df: DataFrame, shards: Shards, loads: dict[int, Load]) -> DataFrame:
+    """Rows dealt to cells: shards, or key ranges of large ones."""
+    work = {s: load.cells(shards.cell_rows) for s, load in loads.items()}
+    cuts = {}
+    for s, load in loads.items():
+        if work[s] > 1 and load.keys:
+            cuts[s] = _quantiles(sorted(load.keys, key=lambda k: cut_key((k[0], -1))), math.ceil(work[s]))
     parallel = df.sparkSession.sparkContext.defaultParallelism
-    small = min(per_cell, max(SMALL_CELL, sum(counts.values()) // (4 * parallel)))
-    first, pieces, cells = _cells(counts, shards.layout.shards, per_cell, small)
-    piece = F.pmod(F.xxhash64(*shards.keys), F.get(int_array(pieces), F.col(SHARD)))
-    cell = (F.get(int_array(first), F.col(SHARD)) + piece).cast("int")
-    return df.withColumn(CELL, cell).repartitionById(max(1, cells), F.col(CELL))
+    small = min(1.0, max(SMALL_CELL, sum(work.values()) / (4 * parallel)))
+    first, cells = _cells(work, {s: len(c) + 1 for s, c in cuts.items()}, shards.layout.shards, small)
+    return df.withColumn(CELL, cell_column(shards, first, cuts)).repartitionById(max(1, cells), F.col(CELL))
 
 
 def _per_key(shards: Shards):
@@ -201,13 +301,11 @@ def _merged(
     if deleted is not None:
         changes = changes.unionByName(deleted.withColumn(TAG, F.lit(DELETED)), allowMissingColumns=True)
     changes = changes.withColumn(SHARD, shards.shard_column())
-    counts = _counts((changes if sizing is None else sizing).select(shards.shard_column().alias(SHARD)))
-    old = shards.read(spark, [s for s in counts if s in shards.live])
-    for shard, rows in _counts(old.select(SHARD)).items():
-        counts[shard] += rows
+    loads = _with_stored(spark, shards, _loads(changes if sizing is None else sizing, shards))
+    old = shards.read(spark, [s for s in loads if s in shards.live])
     every = old.withColumn(TAG, F.lit(OLD)).unionByName(changes, allowMissingColumns=True)
     w = _per_key(shards)
-    placed = _place(every, shards, counts, _rows_per_cell(new, shards, counts))
+    placed = _place(every, shards, loads)
     kept = [c for c in shards.schema.names if c not in new.columns] if keep_unwritten else []
     ranked = placed.select(
         *[c for c in placed.columns if c not in kept],
@@ -216,20 +314,20 @@ def _merged(
         _duplicate_guard(w).alias("_single"),
     )
     kept_rows = ranked.filter((F.col(RANK) == 1) & F.col("_single") & (F.col(TAG) != DELETED))
-    return kept_rows.select(SHARD, *shards.schema.names), set(counts)
+    return kept_rows.select(SHARD, *shards.schema.names), set(loads)
 
 
-def _save(spark, shards: Shards, rows: DataFrame, touched: set[int] | None, expected: set[int]) -> tuple[Shards, int, int]:
+def _save(spark, shards: Shards, rows: DataFrame, touched: set[int] | None, expected: set[int] | None) -> tuple[Shards, int, int]:
     """Write the rows; touched shards are replaced (None: all). Rows in a shard that was not counted stop the write."""
     seen = Observation()
     gen = new_generation()
     guarded = not_null(rows, shards.schema).select(SHARD, *shards.schema.names)
-    counted = guarded.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_payload(shards.schema)).alias("bytes"))
-    counted.write.option("maxRecordsPerFile", 2 * ROWS_PER_CELL).partitionBy(SHARD).parquet(f"{shards.folder}/_gen={gen}")
+    counted = guarded.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_payload(shards.schema)).alias("bytes"), F.sum(row_bytes(shards.schema)).alias("whole"))
+    counted.write.option("maxRecordsPerFile", 2 * shards.cell_rows).partitionBy(SHARD).parquet(f"{shards.folder}/_gen={gen}")
     count, size = seen.get["rows"], seen.get["bytes"] or 0
-    width = 8 * len(shards.schema) + size // count if count else 0
-    written = shards_on_disk(spark, shards.folder, gen)
-    if stray := set(written) - expected:
+    width = -(-(seen.get["whole"] or 0) // count) if count else 0
+    written = shards.record_zones(spark, gen)
+    if expected is not None and (stray := set(written) - expected):
         raise RuntimeError(f"the batch changed while it was written: rows in shards {sorted(stray)[:10]}, which were not counted")
     return shards.after(gen, written, touched, width), count, size
 
@@ -240,20 +338,20 @@ def _fresh(
     df: DataFrame,
     touched: set[int] | None,
     sizing: DataFrame | None = None,
-    counts: dict[int, int] | None = None,
+    loads: dict[int, Load] | None = None,
+    exact: bool = True,
 ) -> tuple[Shards, int, int]:
-    """Write rows that meet no stored row."""
+    """Write rows that meet no stored row. ``exact``: the loads name every shard that gets rows."""
     routed = df.withColumn(SHARD, shards.shard_column())
-    if counts is None:
-        counts = _counts((df if sizing is None else sizing).select(shards.shard_column().alias(SHARD)))
-    if not counts:
+    if loads is None:
+        loads = _loads(df if sizing is None else sizing, shards)
+    if not loads:
         return (shards if touched is not None else replace(shards, live={}, written={})), 0, 0
     w = _per_key(shards)
-    per_cell = _rows_per_cell(df if sizing is None else sizing, shards, counts)
-    placed = _place(routed.withColumn(TAG, F.lit(NEW)), shards, counts, per_cell)
+    placed = _place(routed.withColumn(TAG, F.lit(NEW)), shards, loads)
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in shards.schema if f.name not in df.columns]
     rows = placed.select("*", *missing, _duplicate_guard(w).alias("_single")).filter("_single")
-    return _save(spark, shards, rows.select(SHARD, *shards.schema.names), touched, set(counts))
+    return _save(spark, shards, rows.select(SHARD, *shards.schema.names), touched, set(loads) if exact else None)
 
 
 def _prepared(table: KeyedTable, df: DataFrame, order_by, strict: bool) -> tuple[DataFrame, DataFrame]:
@@ -305,11 +403,11 @@ def overwrite(table: KeyedTable, df: DataFrame, order_by=None, strict=False, aut
 
 def _insert(table: KeyedTable, new: DataFrame, sizing: DataFrame) -> WriteResult:
     keys = list(table.keys)
-    counts = _counts(sizing.select(table.base.shard_column().alias(SHARD)))
-    stored = table.base.read(table.spark, [s for s in counts if s in table.base.live]).select(*keys)
+    loads = _loads(sizing, table.base)
+    stored = table.base.read(table.spark, [s for s in loads if s in table.base.live]).select(*keys)
     if not stored.join(sizing.select(*keys), keys, "left_semi").isEmpty():
         raise ValueError("insert met a key that the table already holds")
-    base, rows, size = _fresh(table.spark, table.base, new, set(), sizing, counts)
+    base, rows, size = _fresh(table.spark, table.base, new, set(), sizing, loads)
     indexes = {n: _fresh(table.spark, s, _index_rows(new, s), set())[0] for n, s in table.indexes.items()}
     return WriteResult(table.commit(base=base, indexes=indexes), rows, size)
 
@@ -382,12 +480,13 @@ def create_keyed(
     order_by: Sequence[Column | str] | None = None,
     schema: T.StructType | None = None,
     signed_dates: bool = True,
+    rows_per_file: int = ROWS_PER_CELL,
 ) -> WriteResult:
     """Create a table from a DataFrame. Without keys a generated text key is added.
 
     The number of shards is given, or follows from split points, or from ``size_bytes``, or else from the measured size of
-    the rows; split points that are not given come from a sample of the keys. A source that is more than a scan is
-    evaluated once.
+    the rows; split points that are not given come from the same pass. A source is read twice, and one that is more than a
+    scan is evaluated once. ``rows_per_file`` bounds the rows of a task and so the key range of a file (on average).
     """
     path = files.resolve(prefix, name)
     if KeyedTable.exists(spark, path):
@@ -402,17 +501,22 @@ def create_keyed(
 
     def create(rows: DataFrame, keys: list[str], order_by=None) -> WriteResult:
         stored = [c for c in rows.columns if c in df.columns or c in keys]
-        size, width = _measured(rows, stored)
-        count = shards or shard_count(size_bytes or size, size_mb, min_shards, max_shards)
         fields = [given[c] if c in given.names else rows.schema[c] for c in stored]
         declared = T.StructType([T.StructField(f.name, f.dataType, f.nullable and f.name not in keys, f.metadata) for f in fields])
-        last = latest(rows, keys, order_by) if order_by else rows
-        if store == "hash":
-            layout = Layout.by_hash(count)
+        last = not_null(latest(rows, keys, order_by) if order_by else rows, T.StructType([declared[k] for k in keys]))
+        empty = Shards(f"{path}/data", declared, tuple(keys), Layout.by_hash(1), cell_rows=rows_per_file)
+        survey, loads = [], None
+        if splits is not None and store == "range":
+            layout = Layout.by_splits(splits)
+        elif shards and store == "hash":
+            layout = Layout.by_hash(shards)
         else:
-            layout = Layout.by_splits(splits if splits is not None else derive_splits(rows, keys, count))
-        base = Shards(f"{path}/data", declared, tuple(keys), layout, row_bytes=width)
-        base, written, size = _fresh(spark, base, not_null(last, T.StructType([declared[k] for k in keys])), set(), rows)
+            survey = _survey(rows, keys, stored, shards or 1, rows_per_file)
+            count = shards or shard_count(size_bytes or sum(b for _, _, b in survey), size_mb, min_shards, max_shards)
+            layout = Layout.by_hash(count) if store == "hash" else Layout.by_splits(_splits(survey, count))
+            loads = _surveyed(survey, layout, rows_per_file) if store == "range" else None
+        base = replace(empty, layout=layout)
+        base, written, size = _fresh(spark, base, last, set(), rows, loads or None, exact=loads is None)
         table = KeyedTable(spark, path, 0, base)
         built = {n: build_index(table, n, columns) for n, columns in (indexes or {}).items()}
         return WriteResult(table.commit(indexes=built), written, size)
@@ -434,6 +538,8 @@ def build_index(table: KeyedTable, name: str, columns: Sequence[str], splits: Se
     keys = tuple(dict.fromkeys([*columns, *table.keys]))
     schema = T.StructType([T.StructField(k, table.schema[k].dataType, table.schema[k].nullable) for k in keys])
     rows = table.read(columns=keys)
-    points = splits if splits is not None else derive_splits(rows, keys, len(table.base.live))
-    index = Shards(f"{table.path}/index-{name}", schema, keys, Layout.by_splits(points))
-    return _fresh(table.spark, index, rows, touched=set())[0]
+    survey = _survey(rows, keys, keys, len(table.base.live), table.base.cell_rows) if splits is None else []
+    layout = Layout.by_splits(splits if splits is not None else _splits(survey, max(1, len(table.base.live))))
+    index = Shards(f"{table.path}/index-{name}", schema, keys, layout, cell_rows=table.base.cell_rows)
+    loads = _surveyed(survey, layout, index.cell_rows) or None
+    return _fresh(table.spark, index, rows, touched=set(), loads=loads, exact=loads is None)[0]

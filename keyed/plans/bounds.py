@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
-from decimal import Decimal, localcontext
+from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal, localcontext
 from functools import cmp_to_key
 from typing import Any
 
@@ -42,11 +42,23 @@ def _tuple_text(values: tuple, unbounded: str) -> str:
     return str(values[0]) if len(values) == 1 else "(" + ",".join(str(v) for v in values) + ")"
 
 
+def compare(x: Any, y: Any) -> int:
+    """The order of two values of one type as Spark has it: null lowest, NaN equal to itself and greater than any other."""
+    if x is None or y is None:
+        return (x is not None) - (y is not None)
+    if x != x or y != y:
+        return (x != x) - (y != y)
+    return (x > y) - (x < y)
+
+
+value_key = cmp_to_key(compare)
+
+
 def _cut_order(a: tuple[tuple, int], b: tuple[tuple, int]) -> int:
     """Order positions between keys: (values, -1) lies before every key starting with values, (values, 1) after."""
     for x, y in zip(a[0], b[0]):
-        if x != y:
-            return -1 if x < y else 1
+        if order := compare(x, y):
+            return order
     if len(a[0]) == len(b[0]):
         return (a[1] > b[1]) - (a[1] < b[1])
     return a[1] if len(a[0]) < len(b[0]) else -b[1]
@@ -101,7 +113,7 @@ def key_range(keys: Sequence[str], where: Sequence[tuple[str, str, Any]]) -> Key
             return None
         equal = [v for op, v in mine if op in ("=", "<=>")]
         if equal:
-            if any(v != equal[0] for v in equal):
+            if any(compare(v, equal[0]) for v in equal):
                 return None
             prefix += (equal[0],)
             continue
@@ -112,8 +124,8 @@ def key_range(keys: Sequence[str], where: Sequence[tuple[str, str, Any]]) -> Key
                 lows.append((v, True))
                 if next_prefix(v) is not None:
                     highs.append((next_prefix(v), False))
-        lo = max(lows, key=lambda b: (b[0], not b[1]), default=None)
-        hi = min(highs, key=lambda b: (b[0], b[1]), default=None)
+        lo = max(lows, key=lambda b: (value_key(b[0]), not b[1]), default=None)
+        hi = min(highs, key=lambda b: (value_key(b[0]), b[1]), default=None)
         found = KeyRange(
             prefix + ((lo[0],) if lo else ()),
             prefix + ((hi[0],) if hi else ()),
@@ -130,7 +142,7 @@ def instant_text(moment: dt.datetime) -> str:
 
 
 def fit(value: Any, dtype: T.DataType) -> Any:
-    """A predicate's value as a value of the column's type; one that the type cannot hold exactly is an error."""
+    """A value as one of the column's type; one that the type cannot hold exactly is an error (``fold`` takes those)."""
     if value is None:
         return None
     if isinstance(dtype, T.DateType):
@@ -142,6 +154,8 @@ def fit(value: Any, dtype: T.DataType) -> Any:
         # columns without a zone hold UTC; instants are compared as Python hands them over, in the zone of this process
         zone = dt.timezone.utc if isinstance(dtype, T.TimestampNTZType) else None
         return moment.astimezone(zone).replace(tzinfo=None)
+    if isinstance(dtype, T.DayTimeIntervalType):
+        return dt.timedelta(microseconds=value) if isinstance(value, int) else value
     if isinstance(dtype, T.DecimalType):
         exact = Decimal(str(value))
         with localcontext(prec=100):
@@ -157,6 +171,53 @@ def fit(value: Any, dtype: T.DataType) -> Any:
     return value
 
 
+#: What a comparison is where the literal lies outside the type: false or true of every value that is not null.
+NEVER, ALWAYS = "never", "always"
+
+
+def fold(op: str, value: Any, dtype: T.DataType) -> tuple[str, Any]:
+    """A comparison as one whose literal is of the column's type.
+
+    A literal between two values of a type becomes the nearest one on the right side, one beyond the type makes the
+    comparison ``NEVER`` or ``ALWAYS``. So no literal is rounded and none makes the query fail.
+    """
+    if value is None or op == "startswith":
+        return op, fit(value, dtype)
+    if isinstance(dtype, T.DateType) and isinstance(value, dt.datetime):
+        value, whole = value.date(), value.time() == dt.time()
+        return (op, value) if whole else _between(op, value, value + dt.timedelta(days=1))
+    if not isinstance(dtype, (T.IntegralType, T.DecimalType)) or isinstance(value, (str, bytes)):
+        return op, fit(value, dtype)
+    if value != value or value in (float("inf"), float("-inf")):
+        return _beyond(op, value != value or value > 0)
+    if isinstance(dtype, T.DecimalType):
+        scale, digits = dtype.scale, dtype.precision
+        least, most = Decimal(1 - 10**digits).scaleb(-scale), Decimal(10**digits - 1).scaleb(-scale)
+    else:
+        scale, bits = 0, _BITS[type(dtype)]
+        least, most = Decimal(-(1 << bits - 1)), Decimal((1 << bits - 1) - 1)
+    with localcontext(prec=400):
+        exact = Decimal(value) if isinstance(value, (int, Decimal)) else Decimal(str(value))
+        if not least <= exact <= most:
+            return _beyond(op, exact > 0)
+        step = Decimal(1).scaleb(-scale)
+        below = exact.quantize(step, ROUND_FLOOR)
+        above = exact.quantize(step, ROUND_CEILING)
+    if isinstance(dtype, T.IntegralType):
+        below, above = int(below), int(above)
+    return (op, below) if below == above else _between(op, below, above)
+
+
+def _between(op: str, below: Any, above: Any) -> tuple[str, Any]:
+    if op in ("=", "<=>"):
+        return NEVER, None
+    return ("<=", below) if op in ("<", "<=") else (">=", above)
+
+
+def _beyond(op: str, above: bool) -> tuple[str, Any]:
+    return (ALWAYS if op in (("<", "<=") if above else (">", ">=")) else NEVER), None
+
+
 _BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 
 
@@ -205,9 +266,13 @@ def range_condition(keys: Sequence[str], types: Sequence[T.DataType], r: KeyRang
 
 
 def predicate(column: Column, dtype: T.DataType, op: str, value: Any) -> Column:
-    """One triple as a Column."""
+    """One triple as a Column; null where the column is null, but for ``<=>``."""
     if op == "startswith":
         return column.startswith(value)
+    if op == NEVER:
+        return column.isNull() & F.lit(None).cast("boolean")
+    if op == ALWAYS:
+        return column.isNotNull() | F.lit(None).cast("boolean")
     lit = literal(value, dtype)
     if op == "<=>":
         return column.isNull() if value is None else column.eqNullSafe(lit)

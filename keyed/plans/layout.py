@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import datetime as dt
 import json
 import math
 from bisect import bisect_left, bisect_right
@@ -49,6 +50,11 @@ def _text(value: Any, dtype: T.DataType) -> str | None:
         return base64.b64encode(value).decode("ascii")
     if isinstance(dtype, T.TimestampType) and value is not None:
         return instant_text(value)
+    if isinstance(value, dt.timedelta):
+        micros = value // dt.timedelta(microseconds=1)
+        days, rest = divmod(abs(micros), 86_400_000_000)
+        hours, minutes, seconds = rest // 3_600_000_000, rest // 60_000_000 % 60, rest // 1_000_000 % 60
+        return f"{'-' * (micros < 0)}{days} {hours:02}:{minutes:02}:{seconds:02}.{rest % 1_000_000:06}"
     return None if value is None else str(value)
 
 
@@ -147,11 +153,10 @@ class Layout:
 def shard_count(size_bytes: int, size_mb: int = 1000, min_shards: int = 1, max_shards: int | None = None) -> int:
     """Number of shards for a table of this size; it grows with the table unless ``max_shards`` is given."""
     low = max(1, min_shards)
-    size = max(MIN_SHARD_MB, size_mb) * 1024 * 1024
-    wanted = max(math.ceil(size_bytes / size), low)
-    if max_shards is None:
-        return wanted
-    return min(wanted, max_shards if max_shards >= low else low + 49 + low // 100)
+    if max_shards is not None and max_shards < low:
+        raise ValueError(f"at most {max_shards} shards, but at least {low}")
+    wanted = max(math.ceil(size_bytes / (max(MIN_SHARD_MB, size_mb) * 1024 * 1024)), low)
+    return wanted if max_shards is None else min(wanted, max_shards)
 
 
 def derive_splits(df: DataFrame, keys: Sequence[str], shards: int, sample_per_shard: int = 200) -> list[tuple]:

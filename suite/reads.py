@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 import keyed as K
 
-from .tables import customers_by_name, folder, indexed_orders, orders_by_customer, orders_by_key, raw, stored
+from .tables import customers_by_name, indexed_orders, orders_by_customer, orders_by_key, orders_in_one_shard, raw, stored
 
 QUERIES, SQL = {}, {}
 
@@ -61,6 +61,84 @@ def range_read_point(spark, sf):
     return orders_by_key(spark, sf).read([("o_orderkey", "=", 742)])
 
 
+@query("SELECT *, 1 AS files_read FROM orders WHERE o_orderkey = 742")
+def file_point_read(spark, sf):
+    """A point read of a large shard opens one file."""
+    rows = orders_in_one_shard(spark, sf).read([("o_orderkey", "=", 742)])
+    return rows.withColumn("files_read", F.lit(len(rows.inputFiles())))
+
+
+@query("SELECT *, TRUE AS few_files FROM orders WHERE o_orderkey IN (42, 742, 1450)")
+def range_read_in(spark, sf):
+    """Three keys open three files at most."""
+    rows = orders_in_one_shard(spark, sf).read([("o_orderkey", "in", [42, 742, 1450])])
+    return rows.withColumn("few_files", F.lit(len(rows.inputFiles()) <= 3))
+
+
+@query(
+    """SELECT o_custkey, o_orderkey, o_totalprice, TRUE AS pruned FROM orders
+        WHERE (o_custkey IN (3, 5, 7, 1300) AND NOT o_orderkey < 100) OR (o_custkey >= 1490 AND o_totalprice > 1000)"""
+)
+def range_read_or(spark, sf):
+    """Spans of both sides of an OR choose the shards."""
+    where = ("or", [
+        ("and", [("o_custkey", "in", [3, 5, 7, 1300]), ("not", ("o_orderkey", "<", 100))]),
+        ("and", [("o_custkey", ">=", 1490), ("o_totalprice", ">", 1000.0)]),
+    ])
+    rows = orders_by_customer(spark, sf).read([where], ["o_custkey", "o_orderkey", "o_totalprice"])
+    shards = {f.split("_shard=")[1].split("/")[0] for f in rows.inputFiles()}
+    return rows.withColumn("pruned", F.lit(shards <= {"0", "4"}))
+
+
+def _typed_orders(spark, sf, store):
+    typed = raw(spark, sf, "orders").selectExpr(
+        "o_orderkey",
+        "CAST(o_totalprice AS DECIMAL(9,2)) AS price",
+        "if(o_orderkey % 50 = 0, CAST('NaN' AS DOUBLE), o_totalprice) AS amount",
+        "CAST(o_orderdate AS DATE) AS day",
+        "make_dt_interval(0, CAST(o_orderkey AS INT), 30) AS age",
+    )
+    options = {"store": store, "shards": 4, "rows_per_file": 200}
+    keys = {"whole": "o_orderkey", "price": "price, o_orderkey", "amount": "amount, o_orderkey", "day": "day, o_orderkey", "age": "age"}
+    return {k: stored(spark, sf, f"typed_{store}_{k}", lambda n, p, key=key: K.create_keyed(spark, n, typed, key, prefix=p, **options)) for k, key in keys.items()}
+
+
+@query(
+    """WITH t AS (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(9,2)) AS price,
+            CASE WHEN o_orderkey % 50 = 0 THEN 'NaN'::DOUBLE ELSE o_totalprice END AS amount, CAST(o_orderdate AS DATE) AS day FROM orders),
+        found AS (
+            SELECT 'whole' AS key, 0 AS part, o_orderkey FROM t WHERE o_orderkey >= 49.5 AND o_orderkey < 120
+            UNION ALL SELECT 'whole', 1, o_orderkey FROM t WHERE o_orderkey IN (1, 2, 700)
+            UNION ALL SELECT 'price', 0, o_orderkey FROM t WHERE price < 1234567890123 AND price >= 300000.005
+            UNION ALL SELECT 'amount', 0, o_orderkey FROM t WHERE isnan(amount)
+            UNION ALL SELECT 'amount', 1, o_orderkey FROM t WHERE amount > 400000
+            UNION ALL SELECT 'amount', 2, o_orderkey FROM t WHERE NOT isnan(amount) AND amount < 2000
+            UNION ALL SELECT 'day', 0, o_orderkey FROM t WHERE day >= TIMESTAMP '2001-01-01 12:00:00'
+            UNION ALL SELECT 'age', 0, o_orderkey FROM t WHERE o_orderkey * 60 + 30 > 1000 * 60 + 30)
+        SELECT store, key, part, o_orderkey FROM found, (VALUES ('range'), ('hash')) s(store)"""
+)
+def range_read_typed(spark, sf):
+    """Keys of several types, with literals that lie between their values or beyond them, NaN among them."""
+    import datetime as dt
+
+    nan = float("nan")
+    wanted = {
+        "whole": [[("o_orderkey", ">=", 49.5), ("o_orderkey", "<", 120)], [("o_orderkey", "in", [1, 2, 2.5, 700, 10**30])]],
+        "price": [[("price", "<", 1234567890123), ("price", ">=", 300000.005)]],
+        "amount": [[("amount", "=", nan)], [("amount", ">", 400000.0)], [("not", ("amount", "=", nan)), ("amount", "<", 2000)]],
+        "day": [[("day", ">=", dt.datetime(2001, 1, 1, 12))]],
+        "age": [[("age", ">", dt.timedelta(hours=1000, minutes=30))]],
+    }
+    out = None
+    for store in ("range", "hash"):
+        for key, table in _typed_orders(spark, sf, store).items():
+            for part, where in enumerate(wanted[key]):
+                rows = table.read(where, ["o_orderkey"])
+                one = rows.select(F.lit(store).alias("store"), F.lit(key).alias("key"), F.lit(part).alias("part"), "o_orderkey")
+                out = one if out is None else out.unionAll(one)
+    return out
+
+
 @query("SELECT * FROM orders WHERE o_custkey = 5 AND o_orderkey > 3000")
 def range_read_prefix(spark, sf):
     return orders_by_customer(spark, sf).read([("o_custkey", "=", 5), ("o_orderkey", ">", 3000)])

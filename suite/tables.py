@@ -87,3 +87,13 @@ def customers_by_name(spark: SparkSession, sf: str) -> K.KeyedTable:
             splits=["Customer#000000500", "Customer#000001000"],
         ),
     )
+
+
+def orders_in_one_shard(spark: SparkSession, sf: str) -> K.KeyedTable:
+    """One large shard of many files, each of a narrow key range."""
+    return stored(
+        spark,
+        sf,
+        "orders_in_one_shard",
+        lambda n, p: K.create_keyed(spark, n, raw(spark, sf, "orders"), "o_orderkey", prefix=p, shards=1, rows_per_file=200),
+    )

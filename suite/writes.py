@@ -171,6 +171,37 @@ def batch_pack(spark, sf):
     return packed.groupBy("shard", "batch").agg(F.count(F.lit(1)).alias("rows_in_batch"))
 
 
+@query(
+    """WITH RECURSIVE sized AS (
+            SELECT CAST(CASE WHEN c_custkey < 500 THEN 0 WHEN c_custkey < 1000 THEN 1 ELSE 2 END AS INTEGER) AS shard, c_custkey,
+                8 + 4 + 4 + strlen(c_name) + strlen(c_mktsegment) AS size FROM customer
+        ), placed AS (
+            SELECT shard, c_custkey, size, row_number() OVER (PARTITION BY shard ORDER BY c_custkey) AS rn FROM sized
+        ), steps AS (
+            SELECT shard, rn, c_custkey, 0 AS batch, 1 AS n, size AS bytes FROM placed WHERE rn = 1
+            UNION ALL
+            SELECT p.shard, p.rn, p.c_custkey, CASE WHEN s.n >= 40 OR s.bytes >= 1500 THEN s.batch + 1 ELSE s.batch END,
+                CASE WHEN s.n >= 40 OR s.bytes >= 1500 THEN 1 ELSE s.n + 1 END,
+                CASE WHEN s.n >= 40 OR s.bytes >= 1500 THEN p.size ELSE s.bytes + p.size END
+            FROM steps s JOIN placed p ON p.shard = s.shard AND p.rn = s.rn + 1
+        )
+        SELECT shard, c_custkey, CAST(batch AS BIGINT) AS batch FROM steps"""
+)
+def batch_pack_bytes(spark, sf):
+    """Batches closed at 40 rows or 1,500 bytes of all columns, whichever comes first."""
+    table = fresh(spark, sf, "flush", raw(spark, sf, "customer"), "c_custkey", splits=[500, 1000])
+    rows = table.read(with_shard=True).withColumnRenamed("_shard", "shard")
+    packed = K.batch_pack(rows.drop("c_acctbal"), ["c_custkey"], "shard", rows=40, max_bytes=1500)
+    return packed.select("shard", "c_custkey", "batch")
+
+
+@query("SELECT * FROM orders WHERE o_orderstatus = 'P'")
+def truncate(spark, sf):
+    """Nothing of what a table held is left; it takes rows again."""
+    table = K.truncate(_orders(spark, sf, "truncate")).table
+    return K.insert(table, raw(spark, sf, "orders").filter("o_orderstatus = 'P'")).table.read()
+
+
 @query("SELECT *, CAST(NULL AS VARCHAR) AS o_note, CAST(NULL AS BIGINT) AS o_weight FROM orders")
 def add_column(spark, sf):
     table = _orders(spark, sf, "add")

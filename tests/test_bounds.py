@@ -73,8 +73,8 @@ def test_shard_count():
     assert shard_count(25 * mb, size_mb=1) == 3
     assert shard_count(10**12, size_mb=10, max_shards=50) == 50
     assert shard_count(10**14) == 95368
-    assert shard_count(0, min_shards=200, max_shards=10) == 200
-    assert shard_count(10**14, min_shards=200, max_shards=10) == 251
+    with pytest.raises(ValueError):
+        shard_count(0, min_shards=200, max_shards=10)
 
 
 def test_many_splits_agree_with_few(spark):

@@ -84,11 +84,10 @@ def test_duplicates_in_one_write(spark, table):
     assert (1, "y") in content(done.table) and (99, "q") in content(done.table)
 
 
-def test_hot_key_and_hot_shard(spark, place, monkeypatch):
+def test_hot_key_and_hot_shard(spark, place):
     """A third of a batch is one key, a third of a table is one shard: many tasks write it, nothing is lost."""
-    monkeypatch.setattr(W, "ROWS_PER_CELL", 500)
     rows = spark.range(9000).select(F.col("id"), F.lit("x").alias("s"))
-    table = K.create_keyed(spark, "hot", rows, "id", prefix=place, splits=[100, 200, 3200]).table
+    table = K.create_keyed(spark, "hot", rows, "id", prefix=place, splits=[100, 200, 3200], rows_per_file=500).table
     hot = [f for f in table.read().inputFiles() if "_shard=2" in f]
     assert len(hot) == 6 and table.read().count() == 9000
     batch = spark.range(6000).select(F.when(F.col("id") < 2000, 7).otherwise(F.col("id")).alias("id"), F.concat(F.lit("n"), F.col("id")).alias("s"))
@@ -269,9 +268,8 @@ def test_batches(spark, place, monkeypatch):
     monkeypatch.setattr(report, "ROWS_PER_BIN", 300)
     cut = K.rank_in_shard(placed, ["id"], "_shard")
     assert K.bag_diff(whole, cut).isEmpty() and cut.count() == 5000
-    packed = K.batch_pack(placed, ["id"], "_shard", rows=700, max_bytes=500).groupBy("_shard", "batch", "piece").count().collect()
-    assert max(r["count"] for r in packed) == 100 and sum(r["count"] for r in packed) == 5000
-    assert sorted((r["_shard"], r["batch"]) for r in packed if r["piece"] == 0) == [(0, 0), (1, 0), (1, 1), *[(2, i) for i in range(6)]]
+    packed = K.batch_pack(placed, ["id"], "_shard", rows=700).groupBy("_shard", "batch").count().collect()
+    assert sorted((r["_shard"], r["batch"]) for r in packed) == [(0, 0), (1, 0), (1, 1), *[(2, i) for i in range(6)]]
 
 
 def test_types_of_a_new_table(spark, place):
@@ -293,10 +291,9 @@ def test_types_of_a_new_table(spark, place):
 
 
 def test_cells():
-    first, pieces, cells = W._cells({0: 10, 1: 20, 2: 95, 3: 250, 4: 5, 6: 5, 7: 100}, 9, 100, 40)
-    assert pieces == [1, 1, 1, 3, 1, 1, 1, 1, 1]
+    first, cells = W._cells({0: 0.1, 1: 0.2, 2: 0.95, 3: 2.5, 4: 0.05, 6: 0.05, 7: 1.0}, {3: 3}, 9, 0.4)
     assert first == [0, 0, 1, 2, 5, 5, 5, 6, 6] and cells == 7
-    assert W._cells({}, 2, 100, 40) == ([0, 0], [1, 1], 0)
+    assert W._cells({}, {}, 2, 0.4) == ([0, 0], 0)
 
 
 def test_point_read_of_a_hash_layout_opens_one_shard(spark, place):
