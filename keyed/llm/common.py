@@ -26,6 +26,8 @@ def ready(spark: SparkSession) -> SparkSession:
     env = spark.sparkContext.environment
     if top not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(x for x in (top, env.get("PYTHONPATH", "")) if x)
+    for name in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS"):  # a task has one core; more threads only wait for each other
+        env.setdefault(name, "1")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
@@ -47,6 +49,18 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def repeatable(df: DataFrame) -> bool:
+    """Whether the plan is a scan with filters and projections, whose tasks see the same rows in the same order each time."""
+    plan = df._jdf.queryExecution().analyzed()
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().split(" ")[0] not in ("Project", "Filter", "SubqueryAlias", "View", "LogicalRelation", "Relation", "LocalRelation"):
+            return False
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return plan.deterministic()
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffle files of finished steps now rather than when the driver next runs short of heap."""
     gc.collect()

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyed.llm.common import cut, ready, release
+from keyed.llm.common import cut, ready, release, repeatable
 
 #: Bytes of a text's row besides its UTF-8 text.
 ROW_BYTES = 16
@@ -160,17 +160,6 @@ def _based(files: DataFrame) -> DataFrame:
     return files.select("gen", "file", "shard", "rows", "bytes", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"))
 
 
-def _repeatable(df: DataFrame) -> bool:
-    """Whether the plan is a scan with filters and projections, whose tasks see the same rows in the same order each time."""
-    todo = [df._jdf.queryExecution().analyzed()]
-    while todo:
-        node = todo.pop()
-        if node.nodeName().split(" ")[0] not in ("Project", "Filter", "SubqueryAlias", "View", "LogicalRelation", "Relation"):
-            return False
-        todo += [node.children().apply(i) for i in range(node.children().size())]
-    return df._jdf.queryExecution().analyzed().deterministic()
-
-
 def write_store(docs: DataFrame, folder: str, shard: Column, shards: int, text: str = "text", doc_id: str = "doc_id", file_bytes: int = FILE_BYTES, least_files: int = LEAST_FILES) -> Store:
     """Writes documents as a store of ``shards`` shards; ``shard`` gives the number of a row's shard.
 
@@ -179,7 +168,7 @@ def write_store(docs: DataFrame, folder: str, shard: Column, shards: int, text:
     an empty table gives an empty store. One shuffle.
     """
     spark = ready(docs.sparkSession)
-    source = docs if _repeatable(docs) else cut(docs, "unsharded")
+    source = docs if repeatable(docs) else cut(docs, "unsharded")
     rows = source.select(F.struct(*(F.col(f"`{c}`") for c in source.columns)).alias("row"), size_of(text).alias("size"), shard.cast("int").alias("shard"), F.xxhash64(f"`{doc_id}`", f"`{text}`").alias("hash"))
     sizes = {r.shard: (r.n, r.b) for r in rows.groupBy("shard").agg(F.count("*").alias("n"), F.sum("size").alias("b")).collect()}
     if any(s is None or not 0 <= s < shards for s in sizes):

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from keyed.llm import divergence, piece_table, queries, resharding
+from keyed.llm import divergence, piece_table, queries, resharding, topk
 from keyed.llm.common import scratch
 from tests.llm.test_llm import LONG, ODD
 
@@ -259,3 +259,31 @@ def test_long_texts(spark):
     assert divergence.audit(rows, least_docs=1).count() == 0  # one group: no other source, and no share above the language's
     r = piece_table.fill_in_middle(rows).first()
     assert (r.n, r.form, r.prefix_chars, r.middle_chars, r.fim_text) == by_rule(1, LONG * 5)
+
+
+def test_blocks_stop_early_and_stay_exact():
+    r = np.random.default_rng(3)
+    v = r.normal(size=(4000, 64))
+    v = np.floor(1024 * v / np.linalg.norm(v, axis=1)[:, None]).astype(np.int64)
+    names = np.arange(4000)
+    names[1000:2000] = 7  # one id for a quarter of the rows
+    shard = topk.Shard(names, v)
+    own = np.array([7, 0, 3999, 55])
+    q = np.concatenate((v[[1500, 0, 3999]], v[[55]] * 0))
+    for (ids, scores), i, x in zip(shard.search_block(own, q, 10), own, q, strict=True):
+        every = sorted((-int(a @ x), int(n)) for a, n in zip(v, names, strict=True) if n != i)[:10]
+        assert [(-int(s), int(n)) for n, s in zip(ids, scores, strict=True)] == every
+    shard.read = shard.rescored = shard.asked = 0
+    shard.search_block(names[:100], v[:100], 10)
+    assert shard.read < 0.8 * 100 * v.size and shard.rescored < 0.1 * 100 * len(v)
+
+
+def test_one_id_for_a_third_of_the_vectors(spark):
+    rows = [(5 if i % 3 == 0 else i, [float(i % 7), float(i % 11) / 4]) for i in range(600)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(v, v.filter("vec_id in (5, 10)"), k=4, shard_rows=50)
+    whole = [(i, np.floor(1024 * np.array(x)).astype(int)) for i, x in rows]
+    for own in (5, 10):
+        q = [x for i, x in whole if i == own]
+        every = sorted((-int(a @ b), n) for b in q for n, a in whole if n != own)
+        assert sorted((r.score for r in got.filter(f"query_id = {own}").collect()), reverse=True) == [-s for s, _ in every[:4]]
