@@ -14,7 +14,8 @@ def _both(links: DataFrame) -> DataFrame:
 
 def _star(arrows: DataFrame, keep: str) -> DataFrame:
     """Links every kept neighbour of a node, and the node, to the least of them and it."""
-    least = arrows.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # written, so that the join reads two plain shuffles, which Spark can split at a node with very many links
+    least = cut(arrows.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     joined = arrows.join(least, "a")
     moved = joined.filter(keep).select(F.col("b").alias("u"), F.col("m").alias("v"))
     own = least.select(F.col("a").alias("u"), F.col("m").alias("v"))

@@ -85,8 +85,9 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     have at least one in common, so they meet by variant and part.
     """
     index = _variants(prints, distance)
-    size = index.groupBy("w", "k").agg(F.count("*").alias("n"))
-    several = cut(index.join(size.filter("n > 1"), ["w", "k"]), "variants")
+    # written, as the least neighbours of components are: a variant that many fingerprints share is then split
+    size = cut(index.groupBy("w", "k").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
+    several = cut(index.join(size, ["w", "k"]), "variants")
     other = F.lit(None).cast("long")
     for a, b in _segments(distance):  # the 32 bits after the segment, or before it, or around it
         rest = F.when(F.lit(b <= 32), _bits(b, min(b + 32, 64))).when(F.lit(a >= 32), _bits(a - 32, a)).otherwise(_bits(0, a).bitwiseOR(F.shiftleft(_bits(b, 64), a)).bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
@@ -142,8 +143,8 @@ def classes(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """One row per fingerprint: f and the least row reached, c."""
     prints = cut(rows.groupBy(F.col("__print").alias("f")).agg(F.min("__id").alias("least")), "prints")
     stars = components(links(prints.select("f"), distance).select(F.col("f").alias("u"), F.col("g").alias("v")))
-    known = prints.join(stars.withColumnRenamed("node", "f"), "f", "left").select("f", "least", F.coalesce("component", "f").alias("r"))
-    least = known.groupBy("r").agg(F.min("least").alias("c"))
+    known = cut(prints.join(stars.withColumnRenamed("node", "f"), "f", "left").select("f", "least", F.coalesce("component", "f").alias("r")), "known")
+    least = cut(known.groupBy("r").agg(F.min("least").alias("c")), "classes")
     return known.join(least, "r").select("f", "c")
 
 
