@@ -22,6 +22,9 @@ from keyed.llm.tokens import encoder
 
 #: Groups of large lengths, and the part of the capacity above which a length is large.
 GROUPS, LARGE = 96, 1 / 8
+#: Such pairs that are tried in turn until a plan needs no more sequences than the tokens fill. With 1/2 each large length has a
+#: sequence of its own and the rest is plain best fit.
+TRIED = ((96, 1 / 8), (96, 1 / 4), (96, 1 / 2), (384, 1 / 4), (384, 1 / 8))
 
 _PIECE = pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
@@ -166,6 +169,20 @@ def plan(counts: dict[int, int], capacity: int, groups: int = GROUPS, large: flo
     return sorted(((sizes, n) for held in rooms.values() for sizes, n in held), key=lambda x: (-sum(x[0]), x[0]))
 
 
+def fewest(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """The plan of fewest sequences among those of TRIED; never more than best fit of falling lengths needs."""
+    least = -(-sum(s * n for s, n in counts.items()) // capacity)
+    best: tuple[int, list] | None = None
+    for groups, large in TRIED:
+        found = plan(counts, capacity, groups, large)
+        n = sum(times for _, times in found)
+        if best is None or n < best[0]:
+            best = n, found
+        if n <= least:
+            break
+    return best[1]
+
+
 def places(packed: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:
     """The plan as runs of ranks: the documents of one length with ranks from ``lo`` on take sequences from ``seq`` on."""
     at: dict[int, int] = defaultdict(int)
@@ -216,7 +233,7 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 0, capacity: int = 2048, do
     """
     rows = cut(pieces(docs, tokenizer, end, capacity, doc_id, text), "pieces")
     counts = {int(r["length"]): int(r["n"]) for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    runs = places(plan(counts, capacity))
+    runs = places(fewest(counts, capacity))
 
     @F.arrow_udf("struct<sequence_id:long,offset:long>")
     def where(size: pa.Array, rank: pa.Array) -> pa.Array:

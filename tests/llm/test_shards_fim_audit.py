@@ -11,9 +11,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from keyed.llm import divergence, piece_table, queries, resharding, topk
+from keyed.llm import divergence, packing, piece_table, queries, resharding, topk
 from keyed.llm.common import scratch
-from tests.llm.test_llm import LONG, ODD
+from tests.llm.test_llm import BYTES, LONG, ODD
 
 ROWS = [(d, t, s, f, f, "en" if i % 3 else None, i, i) for i, (d, t, s, f) in enumerate(ODD)] + [
     (20, "a <P>b", "x", "x", "x", "en", 0, 0),
@@ -287,3 +287,36 @@ def test_one_id_for_a_third_of_the_vectors(spark):
         q = [x for i, x in whole if i == own]
         every = sorted((-int(a @ b), n) for b in q for n, a in whole if n != own)
         assert sorted((r.score for r in got.filter(f"query_id = {own}").collect()), reverse=True) == [-s for s, _ in every[:4]]
+
+
+def best_fit(counts, capacity):
+    """Best fit of falling lengths, one by one."""
+    rooms, n = Counter(), 0
+    for size in sorted(counts, reverse=True):
+        for _ in range(counts[size]):
+            room = min((r for r, k in rooms.items() if k and r >= size), default=None)
+            if room is None:
+                n, room = n + 1, capacity
+            else:
+                rooms[room] -= 1
+            rooms[room - size] += 1
+    return n
+
+
+@pytest.mark.parametrize("low, high", [(600, 1100), (300, 2048), (400, 800), (1, 2048), (1, 300)])
+def test_packing_needs_no_more_sequences_than_best_fit(low, high):
+    counts = Counter(np.random.default_rng(low).integers(low, high + 1, 1500).tolist())
+    packed = packing.fewest(counts, 2048)
+    used = Counter()
+    for sizes, n in packed:
+        assert sum(sizes) <= 2048
+        for s in sizes:
+            used[s] += n
+    assert used == counts and sum(n for _, n in packed) <= best_fit(counts, 2048)
+
+
+def test_packing_of_the_given_table(spark, sf):
+    lengths = packing.pieces(spark.read.parquet(f"{sf}/documents.parquet"), BYTES, 0, 2048).groupBy("length").count().collect()
+    counts = {r.length: r["count"] for r in lengths}
+    assert sum(n for _, n in packing.fewest(counts, 2048)) <= best_fit(counts, 2048)
+    assert packing.fewest({}, 2048) == []
