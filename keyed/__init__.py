@@ -3,8 +3,9 @@
 from .functions.coerce import coerce, coerce_column, valid_json
 from .functions.types import declare, logical_type, spark_type
 from .operators.batches import batch_pack, write_batches
+from .operators.buckets import publish_buckets
 from .operators.check import bag_diff, pushdown_parity, table_diff
-from .operators.evolve import add_columns, alter, drop_columns, reshard
+from .operators.evolve import add_columns, alter, drop_columns, reshard, resize
 from .operators.index import create_index, index_lookup
 from .operators.ranges import compare_keys, intersect_ranges, read_ranges, route_rows, touched_shards
 from .operators.report import rank_in_shard, shard_layout

@@ -7,9 +7,10 @@ from dataclasses import replace
 
 from pyspark.sql import types as T
 
+from ..plans.bounds import cut_key
 from ..plans.layout import Layout, shard_count
 from ..sources.table import KeyedTable, Shards, check_names
-from .write import WriteResult, _fresh, _splits, _survey, _surveyed
+from .write import WriteResult, _fresh, _quantiles, _splits, _survey, _surveyed
 
 
 def alter(table: KeyedTable, add: Sequence[T.StructField] = (), drop: Sequence[str] = ()) -> WriteResult:
@@ -81,3 +82,51 @@ def reshard(
     loads = _surveyed(survey, layout, empty.cell_rows) or None
     base, written, size = _fresh(table.spark, empty, rows, touched=set(), loads=loads, exact=loads is None)
     return WriteResult(table.commit(base=base, dropped=()), written, size)
+
+
+def resize(table: KeyedTable, max_mb: float = 2000, min_mb: float = 250) -> WriteResult:
+    """Splits shards of more than ``max_mb`` and merges neighbours of together at most ``min_mb``; so do its indexes.
+
+    Sizes, and the keys to split at, come from the record of the files. Only shards that are split or merged are read and
+    written again, all others keep their files under their new number. A hash layout has no neighbours: use ``reshard``.
+    """
+    if not 0 <= min_mb < max_mb:
+        raise ValueError("min_mb must lie below max_mb")
+    done = [_resized(table.spark, s, int(max_mb * (1 << 20)), int(min_mb * (1 << 20))) for s in (table.base, *table.indexes.values())]
+    if all(d is None for d in done):
+        return WriteResult(table)
+    base, *indexes = [d or (s, 0, 0) for d, s in zip(done, (table.base, *table.indexes.values()))]
+    return WriteResult(table.commit(base=base[0], indexes={n: i[0] for n, i in zip(table.indexes, indexes)}), base[1], base[2])
+
+
+def _resized(spark, shards: Shards, most: int, least: int) -> tuple[Shards, int, int] | None:
+    """The shards under new split points, with the rows and bytes written again; None if nothing is to be done."""
+    stored = shards.stored(spark, shards.live)
+    if shards.layout.store != "range" or stored is None:
+        return None
+    sizes = [sum(z.size for z in stored.get(s, ())) for s in range(shards.layout.shards)]
+    cuts = {}
+    for s, size in enumerate(sizes):
+        if size > most:
+            files = sorted(stored[s], key=lambda z: cut_key((z.first, -1)))
+            if found := _quantiles([(z.first, z.size) for z in files], -(-size // most)):
+                cuts[s] = found
+    runs: list[list[int]] = []  # neighbours that become one shard
+    for s, size in enumerate(sizes):
+        if runs and s not in cuts and runs[-1][-1] not in cuts and sum(sizes[r] for r in runs[-1]) + size <= least:
+            runs[-1].append(s)
+        else:
+            runs.append([s])
+    if not cuts and all(len(r) == 1 for r in runs):
+        return None
+    splits, places, touched = [], {}, []
+    for run in runs:
+        if run[0]:
+            splits.append(shards.layout.splits[run[0] - 1])
+        if len(run) > 1 or run[0] in cuts:
+            touched += run
+            splits += cuts.get(run[0], [])
+        else:
+            places[run[0]] = len(splits)
+    rows = shards.read(spark, [s for s in touched if s in shards.live]).select(*shards.schema.names)
+    return _fresh(spark, shards.under(Layout.by_splits(splits), places), rows, touched=set())

@@ -190,9 +190,13 @@ def touched_shards(table: KeyedTable, ranges: DataFrame) -> DataFrame:
 
 
 def read_ranges(table: KeyedTable, ranges: DataFrame) -> DataFrame:
-    """Rows whose key lies in any of the ranges; only touched shards are opened."""
-    shards = [r[0] for r in touched_shards(table, ranges).select("shard").collect()]
-    rows = table.base.read(table.spark, [s for s in shards if s in table.base.live]).drop(SHARD)
+    """Rows whose key lies in any of the ranges.
+
+    The touched shards are worked out while the query runs and filter the scan's partitions, so other shards are not opened
+    and the ranges may come from any query. Their list has at most a number for each shard.
+    """
+    touched = touched_shards(table, ranges).select(F.col("shard").alias(SHARD))
+    rows = table.base.read(table.spark).join(F.broadcast(touched), SHARD, "left_semi").drop(SHARD)
     bounds = ranges.select("lo", "hi", "lo_incl", "hi_incl")
     return route_rows(rows, table.keys, bounds, "left_semi").select(*table.schema.names)
 

@@ -14,7 +14,6 @@ from ..plans.layout import derive_splits, key_struct, splits_before
 from ..sources.table import SHARD, KeyedTable
 
 ROWS_PER_BIN = 1_000_000
-MAX_BINS = 10_000
 
 
 def shard_layout(table: KeyedTable) -> DataFrame:
@@ -63,7 +62,7 @@ def rank_in_shard(df: DataFrame, keys: Sequence[str], shard: str, name: str = "r
     if largest <= ROWS_PER_BIN:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(shard).orderBy(*keys)).cast("bigint"))
     order = [shard, *keys]
-    bins = min(MAX_BINS, -(-total // ROWS_PER_BIN))
+    bins = -(-total // ROWS_PER_BIN)
     points = derive_splits(df, order, bins)
     types = [df.schema[c].dataType for c in order]
     binned = df.withColumn("_bin", splits_before([F.col(c) for c in order], types, points))

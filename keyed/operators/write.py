@@ -26,9 +26,9 @@ from ..functions.types import new_table_schema
 from ..plans.bounds import cut_key
 from ..plans.layout import Layout, key_struct, shard_count
 from ..sources import files
-from ..sources.table import ROWS_PER_CELL, SHARD, KeyedTable, Shards, cell_column, check_names, new_generation
+from ..sources.table import CHANGE, GEN, ROWS_PER_CELL, SHARD, KeyedTable, Shards, cell_column, check_names, new_generation
 
-CELL, TAG, RANK, SURPLUS = "_cell", "_tag", "_rank", "_surplus"
+CELL, TAG, RANK = "_cell", "_tag", "_rank"
 OLD, DELETED, NEW = 0, 1, 2
 BYTES_PER_CELL = 256 * 1024 * 1024
 #: Part of a cell below which a shard shares its task with its neighbours.
@@ -91,10 +91,25 @@ def _staged(spark: SparkSession, path: str, df: DataFrame):
         files.remove(spark, folder)
 
 
+@contextmanager
 def _generated_keys(spark: SparkSession, path: str, df: DataFrame, name: str):
-    """The rows with a random text key each. A task that runs again would draw other keys; rows routed by them could be
-    lost or doubled if that happened in the middle of a shuffle, so they are staged first."""
-    return _staged(spark, path, df.withColumn(name, F.expr("uuid()")))
+    """The rows with a text key each: the hash of this write and the row's place in the input, and then these two.
+
+    A task that runs again sees the same rows in the same order and gives the same keys, so nothing is copied. Rows whose
+    places may change are staged first.
+    """
+    write = new_generation()[1:]
+    place = F.hex(F.monotonically_increasing_id())
+    key = F.concat(F.lower(F.lpad(F.hex(F.xxhash64(F.lit(write), "_place")), 16, "0")), F.lit(f"-{write}-"), F.lower("_place"))
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_place", place).withColumn(name, key).drop("_place")
+
+    if _repeatable(df):
+        yield keyed(df)
+        return
+    with _staged(spark, path, df) as rows:
+        yield keyed(rows)
 
 
 def _repeatable(df: DataFrame) -> bool:
@@ -190,11 +205,13 @@ def _survey(rows: DataFrame, keys: Sequence[str], names: Sequence[str], shards:
         F.pmod(hashed, F.lit(max(1024, SHARD_SAMPLES * shards))).alias("bucket"),
         F.when(_drawn(keys, size, cell_rows), hashed).alias("own"),
         hashed.alias("hash"),
-        key_struct(keys).alias("key"),
+        *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)],
         size.alias("size"),
     )
-    parts = picked.groupBy("bucket", "own").agg(F.min_by("key", "hash").alias("key"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"))
-    found = [(tuple(r.key), r.n, r.b or 0) for r in parts.select("key", "n", "b").collect()]
+    # each key column by itself, all of the row of least hash: numbers then stay in a hash aggregate
+    key = [F.min_by(f"k{i}", "hash").alias(f"k{i}") for i in range(len(keys))]
+    parts = picked.groupBy("bucket", "own").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"), *key)
+    found = [(tuple(r)[4:], r.n, r.b or 0) for r in parts.collect()]
     return sorted((r for r in found if None not in r[0]), key=lambda r: cut_key((r[0], -1)))
 
 
@@ -292,10 +309,12 @@ def _merged(
     deleted: DataFrame | None = None,
     keep_unwritten: bool = False,
     sizing: DataFrame | None = None,
+    capture: Sequence[str] = (),
 ):
     """Rows of the touched shards after the batch: the newest row per key, unwritten columns from the old row.
 
-    ``sizing`` holds at least the keys of ``new`` and is cheaper to count.
+    ``sizing`` holds at least the keys of ``new`` and is cheaper to count. With ``capture`` a written row also tells whether it
+    replaced one, and what that had in these columns.
     """
     changes = new.withColumn(TAG, F.lit(NEW))
     if deleted is not None:
@@ -312,16 +331,24 @@ def _merged(
         *[F.when(F.col(TAG) == NEW, F.lead(c, 1).over(w)).otherwise(F.col(c)).alias(c) for c in kept],
         F.row_number().over(w).alias(RANK),
         _duplicate_guard(w).alias("_single"),
+        *([F.when(F.col(TAG) == NEW, _replaced(w, capture)).alias(CHANGE)] if capture else []),
     )
     kept_rows = ranked.filter((F.col(RANK) == 1) & F.col("_single") & (F.col(TAG) != DELETED))
-    return kept_rows.select(SHARD, *shards.schema.names), set(loads)
+    return kept_rows.select(SHARD, *shards.schema.names, *([CHANGE] if capture else [])), set(loads)
+
+
+def _replaced(w, columns: Sequence[str]) -> Column:
+    """What the row under this one in its key's window was, if there is one."""
+    had = F.coalesce(F.lead(TAG, 1).over(w) == OLD, F.lit(False))
+    return F.struct(had.alias("had"), *[F.lead(c, 1).over(w).alias(c) for c in columns])
 
 
 def _save(spark, shards: Shards, rows: DataFrame, touched: set[int] | None, expected: set[int] | None) -> tuple[Shards, int, int]:
     """Write the rows; touched shards are replaced (None: all). Rows in a shard that was not counted stop the write."""
     seen = Observation()
     gen = new_generation()
-    guarded = not_null(rows, shards.schema).select(SHARD, *shards.schema.names)
+    beside = [CHANGE] if CHANGE in rows.columns else []
+    guarded = not_null(rows, shards.schema).select(SHARD, *shards.schema.names, *beside)
     counted = guarded.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_payload(shards.schema)).alias("bytes"), F.sum(row_bytes(shards.schema)).alias("whole"))
     counted.write.option("maxRecordsPerFile", 2 * shards.cell_rows).partitionBy(SHARD).parquet(f"{shards.folder}/_gen={gen}")
     count, size = seen.get["rows"], seen.get["bytes"] or 0
@@ -432,28 +459,34 @@ def _index_rows(df: DataFrame, index: Shards) -> DataFrame:
 
 def _merge(table: KeyedTable, new: DataFrame, sizing: DataFrame, keep_unwritten: bool) -> WriteResult:
     spark = table.spark
-    merged, touched = _merged(spark, table.base, new, None, keep_unwritten, sizing)
+    indexed = sorted({c for index in table.indexes.values() for c in index.keys} - set(table.keys))
+    capture = indexed or list(table.keys[:1])  # an index of key columns alone needs to know of new rows only
+    merged, touched = _merged(spark, table.base, new, None, keep_unwritten, sizing, capture if table.indexes else ())
     if not touched:
         return WriteResult(table)
     base, rows, size = _save(spark, table.base, merged, touched, touched)
     indexes = {}
     for name, index in table.indexes.items():
-        changes = _index_changes(table.base, base, touched, sizing.select(*table.keys), index, spark)
-        with _staged(spark, table.path, changes) as staged:
-            added, removed = (staged.filter(side).drop(SURPLUS) for side in (f"{SURPLUS} > 0", f"{SURPLUS} < 0"))
-            entries, index_touched = _merged(spark, index, added, removed)
-            indexes[name] = _save(spark, index, entries, index_touched, index_touched)[0] if index_touched else index
+        added, removed = _index_changes(spark, table.base, base, index, capture)
+        entries, index_touched = _merged(spark, index, added, removed)
+        indexes[name] = _save(spark, index, entries, index_touched, index_touched)[0] if index_touched else index
     return WriteResult(table.commit(base=base, indexes=indexes), rows, size)
 
 
-def _index_changes(old: Shards, new: Shards, touched: set[int], changed: DataFrame, index: Shards, spark) -> DataFrame:
-    """Index rows of the changed keys that are new (surplus 1) or gone (-1); entries that stay the same cancel out."""
-    sides = []
-    for shards, sign in ((old, -1), (new, 1)):
-        rows = shards.read(spark, [s for s in touched if s in shards.live]).select(*index.schema.names)
-        sides.append(rows.join(changed, list(shards.keys), "left_semi").withColumn(SURPLUS, F.lit(sign)))
-    entries = sides[0].unionByName(sides[1]).groupBy(*index.schema.names).agg(F.sum(SURPLUS).alias(SURPLUS))
-    return entries.filter(F.col(SURPLUS) != 0)
+def _index_changes(spark, old: Shards, new: Shards, index: Shards, capture: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Index entries that the last write made and those it took away, from what it noted beside the rows it wrote."""
+    gen, = set(new.written) - set(old.written)
+    columns = list(dict.fromkeys([*new.keys, *index.keys]))
+    noted = T.StructType([T.StructField("had", T.BooleanType()), *[T.StructField(c, new.schema[c].dataType) for c in capture]])
+    stored = T.StructType([*[new.schema[c] for c in columns], T.StructField(CHANGE, noted)])
+    rows = spark.read.schema(stored).parquet(f"{new.folder}/{GEN}={gen}").filter(F.col(CHANGE).isNotNull())
+    had = F.col(CHANGE)["had"]
+    mine = [c for c in index.keys if c not in new.keys]
+    same = F.lit(True)
+    for c in mine:
+        same = same & F.col(c).eqNullSafe(F.col(CHANGE)[c])
+    before = [F.col(c) if c in new.keys else F.col(CHANGE)[c].alias(c) for c in index.schema.names]
+    return rows.filter(~had | ~same).select(*index.schema.names), rows.filter(had & ~same).select(*before)
 
 
 def key_names(text: str) -> list[str]:

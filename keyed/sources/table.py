@@ -28,6 +28,8 @@ from ..plans.rangeset import EVERY, Leaf, Node, RangeSet, as_column, condition,
 from . import files
 
 SHARD, GEN = "_shard", "_gen"
+#: What a written row replaced, kept beside it for the table's indexes; not a column of the table.
+CHANGE = "_change"
 #: Rows of one file's worth of work, unless a table says otherwise.
 ROWS_PER_CELL = 1_000_000
 #: Whole keys of a condition that are hashed to find their shards; more open all shards of a hash layout.
@@ -97,6 +99,11 @@ class Shards:
     written: dict[str, int] = field(default_factory=dict)
     row_bytes: int = 0
     cell_rows: int = ROWS_PER_CELL
+    #: Folder number of a shard in generations that are older than its place in the layout (else the two agree).
+    homes: dict[str, dict[int, int]] = field(default_factory=dict)
+
+    def home(self, gen: str, shard: int) -> int:
+        return self.homes.get(gen, {}).get(shard, shard)
 
     def key_types(self) -> list[T.DataType]:
         return [self.schema[k].dataType for k in self.keys]
@@ -143,12 +150,13 @@ class Shards:
             return shards_on_disk(spark, self.folder, gen)
         keys = T.StructType([self.schema[k] for k in self.keys]).add(SHARD, T.IntegerType())
         rows = spark.read.schema(keys).parquet(f"{self.folder}/{GEN}={gen}")
-        key = key_struct(self.keys)
+        one = len(self.keys) == 1
+        key = F.col(self.keys[0]) if one else key_struct(self.keys)  # a plain number stays in a hash aggregate
         of_file = rows.groupBy(F.col(SHARD).alias("s"), F.col("_metadata.file_name").alias("f")).agg(
             F.count(F.lit(1)).alias("n"), F.max("_metadata.file_size").alias("b"), F.min(key).alias("lo"), F.max(key).alias("hi")
         )
         types = self.key_types()
-        found = [[r.s, r.f, r.n, r.b, *([_encode(v, t) for v, t in zip(side, types)] for side in (r.lo, r.hi))] for r in of_file.collect()]
+        found = [[r.s, r.f, r.n, r.b, *([_encode(v, t) for v, t in zip([side] if one else side, types)] for side in (r.lo, r.hi))] for r in of_file.collect()]
         files.publish_text(spark, f"{self.folder}/{GEN}={gen}/_zones.json", json.dumps(sorted(found, key=lambda z: z[:2])))
         return sorted({z[0] for z in found})
 
@@ -160,7 +168,7 @@ class Shards:
                 zones = self.zones(spark, gen)
                 if zones is None:
                     return None
-                out.setdefault(s, []).extend(zones[s].files)
+                out.setdefault(s, []).extend(zones[self.home(gen, s)].files)
         return out
 
     def paths(self, spark: SparkSession, shards: Iterable[int], found: RangeSet | None = None) -> list[str]:
@@ -175,12 +183,13 @@ class Shards:
             zones = self.zones(spark, gen) if found is not None else None
             folder, whole, parts = f"{self.folder}/{GEN}={gen}", 0, []
             for s in held:
-                some = zones[s].holding(found) if zones else None
-                if some is None or len(some) == len(zones[s].files):
+                home = self.home(gen, s)
+                some = zones[home].holding(found) if zones else None
+                if some is None or len(some) == len(zones[home].files):
                     whole += 1
-                    parts.append(f"{folder}/{SHARD}={s}")
+                    parts.append(f"{folder}/{SHARD}={home}")
                 else:
-                    parts += [f"{folder}/{SHARD}={s}/{z.file}" for z in some]
+                    parts += [f"{folder}/{SHARD}={home}/{z.file}" for z in some]
             out += [folder] if whole == self.written[gen] else parts
         return out
 
@@ -192,7 +201,8 @@ class Shards:
         if not paths:
             return spark.createDataFrame([], schema)
         stored = T.StructType(list(schema.fields)).add(GEN, T.StringType())
-        return spark.read.schema(stored).option("basePath", self.folder).parquet(*paths).drop(GEN)
+        rows = spark.read.schema(stored).option("basePath", self.folder).parquet(*paths).drop(GEN)
+        return rows.withColumn(SHARD, self.shard_column()) if self.homes else rows
 
     def after(self, gen: str, shards: Sequence[int], touched: Iterable[int] | None, row_bytes: int) -> Shards:
         """The set once a generation is written: touched shards are replaced (None: all), or appended to if empty."""
@@ -202,7 +212,16 @@ class Shards:
             live[s] = live.get(s, ()) + (gen,)
         used = {g for gens in live.values() for g in gens}
         written = {g: n for g, n in {**self.written, gen: len(shards)}.items() if g in used}
-        return replace(self, live=live, written=written, row_bytes=row_bytes or self.row_bytes)
+        homes = {g: h for g, h in self.homes.items() if g in used}
+        return replace(self, live=live, written=written, homes=homes, row_bytes=row_bytes or self.row_bytes)
+
+    def under(self, layout: Layout, places: dict[int, int]) -> Shards:
+        """The same files under another layout: ``places`` has the new number of each shard that keeps its files."""
+        live = {new: self.live[old] for old, new in places.items() if old in self.live}
+        used = {g for gens in live.values() for g in gens}
+        homes = {g: {new: self.home(g, old) for old, new in places.items() if g in self.live.get(old, ())} for g in used}
+        moved = {g: h for g, h in homes.items() if any(new != home for new, home in h.items())}
+        return replace(self, layout=layout, live=live, written={g: n for g, n in self.written.items() if g in used}, homes=moved)
 
     def to_dict(self) -> dict:
         generations = sorted(self.written)
@@ -217,6 +236,7 @@ class Shards:
             "generations": [[g, self.written[g]] for g in generations],
             "row_bytes": self.row_bytes,
             "cell_rows": self.cell_rows,
+            "homes": {g: {str(s): h for s, h in own.items()} for g, own in self.homes.items()},
             "live": {str(s): [number[g] for g in gens] for s, gens in self.live.items()},
         }
 
@@ -236,6 +256,7 @@ class Shards:
             dict(d["generations"]),
             d["row_bytes"],
             d["cell_rows"],
+            {g: {int(s): h for s, h in own.items()} for g, own in d["homes"].items()},
         )
 
 
@@ -394,6 +415,6 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 def check_names(schema: T.StructType) -> None:
     repeated = [n for n, c in Counter(n.lower() for n in schema.names).items() if c > 1]
-    reserved = [n for n in schema.names if n in (SHARD, GEN)]
+    reserved = [n for n in schema.names if n in (SHARD, GEN, CHANGE)]
     if repeated or reserved:
         raise ValueError(f"column names repeated {repeated} or reserved {reserved}")

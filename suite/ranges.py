@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 import keyed as K
 
 from .reads import CUSTOMER_SHARD
-from .tables import orders_by_customer, raw
+from .tables import fresh, orders_by_customer, raw
 
 QUERIES, SQL = {}, {}
 
@@ -144,6 +146,25 @@ def table_diff(spark, sf):
     return K.table_diff(orders, other, ["o_orderkey"])
 
 
+@query(
+    """SELECT p_partkey, 'changed' AS diff, TRUE AS without_exchange FROM part WHERE p_partkey % 10 = 3
+        UNION ALL SELECT -1 - p_partkey, 'only_right', TRUE FROM part WHERE p_partkey % 10 = 4"""
+)
+def bucketed_diff(spark, sf):
+    """Two tables in buckets of their keys are compared without a shuffle."""
+    parts = raw(spark, sf, "part")
+    size = F.when(F.col("p_partkey") % 10 == 3, F.col("p_size") + 1).otherwise(F.col("p_size"))
+    other = parts.withColumn("p_size", size.cast(parts.schema["p_size"].dataType))
+    more = parts.filter("p_partkey % 10 = 4").withColumn("p_partkey", -1 - F.col("p_partkey"))
+    tables = []
+    for i, rows in enumerate((parts, other.unionByName(more))):
+        table = fresh(spark, sf, f"bucketed-{i}", rows, "p_partkey", store="hash", shards=8)
+        tables.append(K.publish_buckets(table, f"parts_in_buckets_{i}_{uuid.uuid4().hex[:8]}"))
+    diff = K.table_diff(*tables, ["p_partkey"])
+    plan = diff._jdf.queryExecution().sparkPlan().toString() + diff._jdf.queryExecution().executedPlan().toString()
+    return diff.withColumn("without_exchange", F.lit("Exchange" not in plan))
+
+
 @query(
     """WITH l AS (SELECT l_orderkey, l_partkey, l_quantity FROM lineitem),
         r AS (SELECT DISTINCT * FROM l)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import functools
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import keyed as K
 
-from .tables import customers_by_name, indexed_orders, orders_by_customer, orders_by_key, orders_in_one_shard, raw, stored
+from .tables import customers_by_name, indexed_orders, orders_by_customer, orders_by_key, orders_in_files, orders_in_one_shard, parts_hashed, raw, stored
 
 QUERIES, SQL = {}, {}
 
@@ -45,15 +48,11 @@ def scan_range_shards(spark, sf):
     return rows.groupBy(F.col("_shard").alias("shard")).agg(F.count(F.lit(1)).alias("rows_in_shard"))
 
 
-@query("SELECT * FROM part")
+@query("SELECT *, TRUE AS in_its_shard FROM part")
 def scan_hash_shards(spark, sf):
-    table = stored(
-        spark,
-        sf,
-        "parts_hashed",
-        lambda n, p: K.create_keyed(spark, n, raw(spark, sf, "part"), "p_partkey", prefix=p, store="hash", shards=8),
-    )
-    return table.read()
+    rows = parts_hashed(spark, sf).read(with_shard=True)
+    shard = F.pmod(F.hash("p_partkey"), F.lit(8))
+    return rows.withColumn("in_its_shard", F.col("_shard") == shard).drop("_shard")
 
 
 @query("SELECT * FROM orders WHERE o_orderkey = 742")
@@ -119,8 +118,6 @@ def _typed_orders(spark, sf, store):
 )
 def range_read_typed(spark, sf):
     """Keys of several types, with literals that lie between their values or beyond them, NaN among them."""
-    import datetime as dt
-
     nan = float("nan")
     wanted = {
         "whole": [[("o_orderkey", ">=", 49.5), ("o_orderkey", "<", 120)], [("o_orderkey", "in", [1, 2, 2.5, 700, 10**30])]],
@@ -159,8 +156,10 @@ def range_read_text_prefix(spark, sf):
         row_number() OVER (PARTITION BY {ORDER_SHARD} ORDER BY o_orderkey) AS position FROM orders"""
 )
 def ordered_read(spark, sf):
-    rows = orders_by_key(spark, sf).ordered(columns=["o_orderkey", "o_totalprice"]).withColumnRenamed("_shard", "shard")
-    return K.rank_in_shard(rows, ["o_orderkey"], "shard", "position")
+    """Positions as the read hands the rows over: by partition, and by place within it."""
+    rows = orders_in_files(spark, sf).ordered(columns=["o_orderkey", "o_totalprice"])
+    handed = rows.withColumn("_at", F.monotonically_increasing_id()).withColumnRenamed("_shard", "shard")
+    return K.rank_in_shard(handed, ["_at"], "shard", "position").drop("_at")
 
 
 @query("SELECT o_custkey, o_orderkey FROM orders")
@@ -230,13 +229,19 @@ def filter_and(spark, sf):
 
 
 @query(
-    """SELECT p_partkey, p_size, p_size = 20 AS eq, p_size < 20 AS lt, p_size <= 20 AS le, 20 < p_size AS gt,
-        20 <= p_size AS ge FROM part WHERE p_size <> 1"""
+    """SELECT p_partkey, p_size, flag FROM part, (VALUES ('eq'), ('lt'), ('le'), ('gt'), ('ge'), ('ne')) f(flag)
+        WHERE CASE flag WHEN 'eq' THEN p_size = 20 WHEN 'lt' THEN p_size < 20 WHEN 'le' THEN p_size <= 20
+            WHEN 'gt' THEN 20 < p_size WHEN 'ge' THEN 20 <= p_size ELSE p_size <> 20 END"""
 )
 def filter_compare(spark, sf):
-    c = F.col("p_size")
-    flags = [(c == 20).alias("eq"), (c < 20).alias("lt"), (c <= 20).alias("le"), (F.lit(20) < c).alias("gt")]
-    return raw(spark, sf, "part").filter(c != 1).select("p_partkey", c, *flags, (F.lit(20) <= c).alias("ge"))
+    """Every comparison by the table's own conditions, literals on either side."""
+    wanted = {
+        "eq": ("p_size", "=", 20), "lt": ("p_size", "<", 20), "le": ("p_size", "<=", 20), "gt": (20, "<", "p_size"), "ge": (20, "<=", "p_size"),
+        "ne": ("not", ("p_size", "=", 20)),
+    }
+    table = parts_hashed(spark, sf)
+    sides = [table.read([c], ["p_partkey", "p_size"]).withColumn("flag", F.lit(flag)) for flag, c in wanted.items()]
+    return functools.reduce(lambda a, b: a.unionAll(b), sides)
 
 
 @query(
@@ -254,15 +259,14 @@ def filter_null_safe(spark, sf):
         OR (NOT o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH'))"""
 )
 def filter_or(spark, sf):
-    cust = F.col("o_custkey")
-    dear = (F.col("o_totalprice") > 400000) & ((cust < 200) | (cust > 1200))
-    urgent = ~(F.col("o_orderstatus") == "F") & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-    return orders_by_key(spark, sf).read().filter(dear | urgent)
+    dear = ("and", [("o_totalprice", ">", 400000.0), ("or", [("o_custkey", "<", 200), ("o_custkey", ">", 1200)])])
+    urgent = ("and", [("not", ("o_orderstatus", "=", "F")), ("o_orderpriority", "in", ["1-URGENT", "2-HIGH"])])
+    return orders_by_key(spark, sf).read([("or", [dear, urgent])])
 
 
 @query("SELECT * FROM customer WHERE c_mktsegment LIKE 'MACH%'")
 def filter_prefix(spark, sf):
-    return raw(spark, sf, "customer").filter(F.col("c_mktsegment").startswith("MACH"))
+    return customers_by_name(spark, sf).read([("c_mktsegment", "startswith", "MACH")])
 
 
 @query("SELECT * FROM customer WHERE c_name LIKE '%7'")
@@ -291,9 +295,14 @@ def filter_substring_bytes(spark, sf):
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1997-02-03' AND o_orderdate < DATE '1999-01-01'")
 def filter_date(spark, sf):
-    day = F.col("o_orderdate").cast("date")
-    rows = raw(spark, sf, "orders").filter((day >= F.expr("DATE'1997-02-03'")) & (day < F.expr("DATE'1999-01-01'")))
-    return rows.select("o_orderkey", "o_custkey")
+    """A table by day: literals as text, and as a value."""
+    table = stored(
+        spark,
+        sf,
+        "orders_by_day",
+        lambda n, p: K.create_keyed(spark, n, raw(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date")), "o_orderdate, o_orderkey", prefix=p, shards=4),
+    )
+    return table.read([("o_orderdate", ">=", "1997-02-03"), ("o_orderdate", "<", dt.date(1999, 1, 1))], ["o_orderkey", "o_custkey"])
 
 
 @query(
@@ -301,9 +310,15 @@ def filter_date(spark, sf):
         AND ts <= TIMESTAMP '2024-01-20 00:00:00'"""
 )
 def filter_timestamp(spark, sf):
-    ts = F.col("ts")
-    after, until = F.expr("TIMESTAMP_NTZ'2024-01-03 19:10:33.600001'"), F.expr("TIMESTAMP_NTZ'2024-01-20 00:00:00'")
-    return raw(spark, sf, "events").filter((ts > after) & (ts <= until)).select("event_id", "user_id")
+    """A table by time: literals as text, and as a value."""
+    table = stored(
+        spark,
+        sf,
+        "events_by_time",
+        lambda n, p: K.create_keyed(spark, n, raw(spark, sf, "events"), "ts, event_id", prefix=p, shards=4),
+    )
+    where = [("ts", ">", "2024-01-03 19:10:33.600001"), ("ts", "<=", dt.datetime(2024, 1, 20))]
+    return table.read(where, ["event_id", "user_id"])
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE hex(encode(c_mktsegment)) = '4D414348494E455259'")

@@ -97,3 +97,23 @@ def orders_in_one_shard(spark: SparkSession, sf: str) -> K.KeyedTable:
         "orders_in_one_shard",
         lambda n, p: K.create_keyed(spark, n, raw(spark, sf, "orders"), "o_orderkey", prefix=p, shards=1, rows_per_file=200),
     )
+
+
+def orders_in_files(spark: SparkSession, sf: str) -> K.KeyedTable:
+    """The shards of orders_by_key, each in several files of two generations."""
+
+    def create(name: str, prefix: str) -> None:
+        orders = raw(spark, sf, "orders")
+        table = K.create_keyed(spark, name, orders.filter("o_orderkey % 3 > 0"), "o_orderkey", prefix=prefix, splits=ORDER_SPLITS, rows_per_file=200).table
+        K.insert(table, orders.filter("o_orderkey % 3 = 0"))
+
+    return stored(spark, sf, "orders_in_files", create)
+
+
+def parts_hashed(spark: SparkSession, sf: str) -> K.KeyedTable:
+    return stored(
+        spark,
+        sf,
+        "parts_hashed",
+        lambda n, p: K.create_keyed(spark, n, raw(spark, sf, "part"), "p_partkey", prefix=p, store="hash", shards=8),
+    )

@@ -138,7 +138,7 @@ def copy_files(spark, sf):
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def write_by_name(spark, sf):
     rows = raw(spark, sf, "customer")
-    table = fresh(spark, sf, "by_name", rows.limit(0), "c_custkey", splits=[500, 1000])
+    table = fresh(spark, sf, "by_name", rows.filter("false"), "c_custkey", splits=[500, 1000])
     return K.insert(table, rows.select("c_mktsegment", "c_acctbal", "c_custkey", "c_nationkey", "c_name")).table.read()
 
 
@@ -155,7 +155,7 @@ def not_null_guard(spark, sf):
 )
 def write_observed(spark, sf):
     rows = raw(spark, sf, "customer")
-    table = fresh(spark, sf, "observed", rows.limit(0), "c_custkey", splits=[500, 1000])
+    table = fresh(spark, sf, "observed", rows.filter("false"), "c_custkey", splits=[500, 1000])
     done = K.upsert(table, rows)
     return spark.createDataFrame([(done.rows, done.payload_bytes)], "rows_written bigint, text_bytes bigint")
 
@@ -221,3 +221,17 @@ def reshard(spark, sf):
     table = K.reshard(_orders(spark, sf, "reshard"), splits=[1000, 7500]).table
     rows = table.read(columns=[], with_shard=True)
     return rows.groupBy(F.col("_shard").alias("shard")).agg(F.count(F.lit(1)).alias("rows_in_shard"))
+
+
+@query("SELECT *, TRUE AS balanced, TRUE AS others_kept FROM orders")
+def resize_shards(spark, sf):
+    """One shard is split by size and small neighbours become one; a shard in between keeps its files."""
+    orders = raw(spark, sf, "orders")
+    table = fresh(spark, sf, "resize", orders, "o_orderkey", splits=[10, 20, 1000, 1300], rows_per_file=100)
+    sizes = table.base.stored(spark, table.base.live)
+    most = max(sum(z.size for z in zones) for zones in sizes.values())
+    kept = set(table.read([("o_orderkey", ">=", 1000), ("o_orderkey", "<", 1300)]).inputFiles())
+    done = K.resize(table, max_mb=most / 1.5 / (1 << 20), min_mb=sum(z.size for s in (0, 1) for z in sizes[s]) / (1 << 20)).table
+    after = [sum(z.size for z in zones) for zones in done.base.stored(spark, done.base.live).values()]
+    same = kept == set(done.read([("o_orderkey", ">=", 1000), ("o_orderkey", "<", 1300)]).inputFiles())
+    return done.read().withColumns({"balanced": F.lit(max(after) < most), "others_kept": F.lit(same)})

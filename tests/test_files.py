@@ -153,3 +153,67 @@ def test_sizes_of_nested_values(spark):
     row = (1, "é", [("ab", None), ("c", 2)], {"k": [1.5, None]}, dt.date(2020, 1, 1), None)
     df = spark.createDataFrame([row], "i int, s string, a array<struct<x:string,y:int>>, m map<string,array<double>>, d date, n string")
     assert df.select(row_bytes(df.schema)).first()[0] == 4 + 2 + (2 + 1 + 4) + (1 + 8) + 4
+
+
+def test_split_and_merge_by_size(spark, place):
+    rows = spark.range(30_000).selectExpr("id", "id % 100 AS g", "md5(CAST(id AS STRING)) AS s")
+    table = K.create_keyed(spark, "r", rows, "id", prefix=place, splits=[100, 200, 20_000, 25_000], rows_per_file=1000, indexes={"by_g": ["g"]}).table
+    before = {r.shard: r.rows for r in K.shard_layout(table).collect()}
+    files = set(table.read([("id", ">=", 20_000)]).inputFiles())
+    done = K.resize(table, max_mb=0.3, min_mb=0.02).table
+    done = K.KeyedTable.open(spark, done.path)
+    after = {r.shard: (r.rows, r.bounds) for r in K.shard_layout(done).collect()}
+    assert before[2] == 19_800 and after[0] == (200, "(-Inf - 200)") and max(n for n, _ in after.values()) < 12_000
+    assert files == set(done.read([("id", ">=", 20_000)]).inputFiles())  # shards 3 and 4 keep their files
+    assert K.bag_diff(done.read(), rows).isEmpty()
+    assert K.pushdown_parity(done, [("id", ">=", 24_900), ("id", "<", 25_100)]).isEmpty()
+    assert len(done.read([("id", "=", 24_999)]).inputFiles()) == 1
+    # writes after it: shards that kept their files are found under their new number
+    again = K.upsert(done, spark.createDataFrame([(24_999, 5, "x"), (50, 5, "y"), (40_000, 5, "z")], "id long, g long, s string")).table
+    assert again.read().count() == 30_001 and again.read([("id", "=", 24_999)]).first().s == "x"
+    assert K.index_lookup(again, "by_g", [("g", "=", 5), ("id", "in", [50, 24_999, 40_000])]).count() == 3
+    assert [r.id for r in again.ordered().collect()] == [*range(30_000), 40_000]
+    assert K.resize(again, max_mb=1000, min_mb=0).table is again
+    whole = K.resize(again, max_mb=1000, min_mb=900).table
+    assert len(whole.base.live) == 1 and K.bag_diff(whole.read(), again.read()).isEmpty()
+
+
+def test_indexes_follow_without_a_second_read_of_the_table(spark, place, monkeypatch):
+    from keyed.sources.table import Shards
+
+    rows = spark.range(1000).selectExpr("id", "if(id % 3 = 0, NULL, CAST('NaN' AS DOUBLE)) AS v", "if(id < 0, NULL, id) AS w", "id % 7 AS g0").selectExpr("id", "if(id < 0, NULL, g0) AS g", "v", "w")
+    table = K.create_keyed(spark, "c", rows, "id", prefix=place, splits=[500], indexes={"by_g": ["g"], "by_v": ["v", "w"], "by_id": ["id"]}).table
+    read, reads = Shards.read, []
+    monkeypatch.setattr(Shards, "read", lambda self, *a, **k: (reads.append(self.folder), read(self, *a, **k))[1])
+    batch = spark.createDataFrame([(3, 6, None), (4, 4, 1.5), (9000, 1, None)], "id long, g long, v double")
+    done = K.upsert(table, batch).table
+    assert reads.count(table.base.folder) == 1  # once for the merge, whatever the number of indexes
+    for name, columns in {"by_g": ["g", "id"], "by_v": ["v", "w", "id"], "by_id": ["id"]}.items():
+        assert K.bag_diff(done.index(name).select(*columns), done.read(columns=columns)).isEmpty(), name
+    assert done.read().columns == ["id", "g", "v", "w"] and "_change" not in done.read().columns
+    done = K.replace_rows(done, batch.filter("id < 5")).table
+    assert K.bag_diff(done.index("by_v").select("v", "w", "id"), done.read(columns=["v", "w", "id"])).isEmpty()
+
+
+def test_generated_keys_are_repeatable_and_copy_nothing(spark, place, monkeypatch):
+    from keyed.operators import write as W
+
+    spark.range(5000).selectExpr("id % 3 AS a").write.parquet(f"{place}/in")
+    source = spark.read.parquet(f"{place}/in")
+    monkeypatch.setattr(W, "_staged", None)  # rows are not copied
+    with W._generated_keys(spark, place, source, "k") as keyed:
+        first, second = (sorted(r.k for r in keyed.collect()) for _ in range(2))
+    assert first == second and len(set(first)) == 5000
+    table = K.create_keyed(spark, "t", source, prefix=place, shards=4).table
+    table = K.insert(table, source).table
+    assert table.read().select("_spark_key").distinct().count() == 10_000
+    sizes = [r.rows for r in K.shard_layout(table).collect()]
+    assert len(sizes) == 4 and min(sizes) > 1500
+
+
+def test_ranges_prune_partitions_while_the_query_runs(spark, place):
+    table = K.create_keyed(spark, "d", spark.range(1000).toDF("id"), "id", prefix=place, splits=list(range(100, 1000, 100))).table
+    ranges = spark.range(5).selectExpr("named_struct('k0', id * 10) AS lo", "named_struct('k0', id * 10 + 3) AS hi", "true AS lo_incl", "false AS hi_incl")
+    found = K.read_ranges(table, ranges)
+    assert sorted(r.id for r in found.collect()) == [10 * i + j for i in range(5) for j in range(3)]
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString().lower()
