@@ -87,7 +87,8 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     index = _variants(prints, distance)
     # written, as the least neighbours of components are: a variant that many fingerprints share is then split
     size = cut(index.groupBy("w", "k").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
-    several = cut(index.join(size, ["w", "k"]), "variants")
+    # a merge join at every size: at small ones Spark would send the sizes to all tasks instead
+    several = cut(index.join(size.hint("merge"), ["w", "k"]), "variants")
     other = F.lit(None).cast("long")
     for a, b in _segments(distance):  # the 32 bits after the segment, or before it, or around it
         rest = F.when(F.lit(b <= 32), _bits(b, min(b + 32, 64))).when(F.lit(a >= 32), _bits(a - 32, a)).otherwise(_bits(0, a).bitwiseOR(F.shiftleft(_bits(b, 64), a)).bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
