@@ -104,18 +104,18 @@ SQL = {
             SELECT source AS s, sum(octet_length(encode(text)))::DOUBLE AS b FROM documents GROUP BY 1
         ), rates AS (
             SELECT s, sqrt(b) * (SELECT sum(b) FROM sizes) / b / (SELECT sum(sqrt(b)) FROM sizes WHERE b > 0) AS rate
-            FROM sizes WHERE b > 0 AND s IS NOT NULL
+            FROM sizes WHERE b > 0
         ), steps AS (
             SELECT s, rate, 0 AS k, exp(-rate) AS p, exp(-rate) AS c FROM rates
             UNION ALL
             SELECT s, rate, k + 1, p * rate / (k + 1), c + p * rate / (k + 1) FROM steps WHERE k < rate + 12 * sqrt(rate) + 30
         ), drawn AS (
             SELECT d.*, ('0x' || substr(md5('mix-count|' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE / 16.0 ^ 13 AS u
-            FROM documents d WHERE source IN (SELECT s FROM rates)
+            FROM documents d WHERE EXISTS (SELECT 1 FROM rates WHERE s IS NOT DISTINCT FROM d.source)
         ), counted AS (
             SELECT any_value(d.text) AS text, any_value(d.lang) AS lang, any_value(d.source) AS source, any_value(d.n_chars) AS n_chars,
                 d.doc_id, count(*) FILTER (WHERE st.c <= d.u) AS n
-            FROM drawn d JOIN steps st ON st.s = d.source GROUP BY d.doc_id
+            FROM drawn d JOIN steps st ON st.s IS NOT DISTINCT FROM d.source GROUP BY d.doc_id
         )
         SELECT doc_id, text, lang, source, n_chars, r::INTEGER AS replica, md5('mix-order|' || coalesce(doc_id::VARCHAR, 'null') || '|' || r) AS mix_key
         FROM (SELECT *, unnest(range(n)) AS r FROM counted)

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from keyed.llm import divergence, packing, piece_table, queries, resharding, topk
+from keyed.llm import divergence, mixing, packing, piece_table, queries, resharding, topk
 from keyed.llm.common import scratch
 from tests.llm.test_llm import BYTES, LONG, ODD
 
@@ -320,3 +320,14 @@ def test_packing_of_the_given_table(spark, sf):
     counts = {r.length: r["count"] for r in lengths}
     assert sum(n for _, n in packing.fewest(counts, 2048)) <= best_fit(counts, 2048)
     assert packing.fewest({}, 2048) == []
+
+
+def test_mixing_and_its_sql_keep_rows_without_a_source(spark):
+    rows = [(i, "x" * (i % 50 + 1), "en", None if i % 3 == 0 else f"s{i % 2}", 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = mixing.mix(docs).select("doc_id", "replica", "mix_key").collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", rows)
+    found = con.execute(f"SELECT doc_id, replica, mix_key FROM ({queries.SQL['op1_poisson_mixing']})").fetchall()
+    assert sorted(map(tuple, got)) == sorted(found) and any(r[0] % 3 == 0 for r in found)
