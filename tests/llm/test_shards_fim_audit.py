@@ -331,3 +331,28 @@ def test_mixing_and_its_sql_keep_rows_without_a_source(spark):
     con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", rows)
     found = con.execute(f"SELECT doc_id, replica, mix_key FROM ({queries.SQL['op1_poisson_mixing']})").fetchall()
     assert sorted(map(tuple, got)) == sorted(found) and any(r[0] % 3 == 0 for r in found)
+
+
+def test_stages_on_odd_rows(spark, sf):
+    import corpus_pipeline as p
+
+    passage = " ".join(f"p{i}" for i in range(70))
+    rows = [
+        (1, None, "en", "a", None, "x"), (2, "", None, "a", 0, "x"), (3, f"one {passage} two", "en", None, 300, None), (4, f"three {passage} four", "en", "b", 300, "x"),
+        (4, f"three {passage} four", "en", "b", 300, "x"), (None, "five six seven eight", "en", "b", 20, "x"), (5, LONG, "en", "b", len(LONG), "x"), (6, " \n", "en", "c", 2, "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, fingerprint string")
+    found = {}
+    for name, stage in p.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns and stage(spark, docs.limit(0), sf).count() == 0
+        found[name] = [tuple(r) for r in out.collect()]
+    given = set(rows)
+    assert set(found["quality classifier"]) <= given
+    kept = found["near duplicates"]
+    assert set(kept) <= given and len(kept) == len({r[0] for r in kept}) and {1, 3, 4, 5, None} <= {r[0] for r in kept} and not {2, 6} & {r[0] for r in kept}
+    cut = {(r[0], r[1]) for r in found["substring dedup"]}
+    assert len(found["substring dedup"]) == 8 and (4, "three four") in cut and (3, rows[2][1]) in cut and (None, rows[5][1]) in cut
+    assert {r[1] for r in found["mixing"]} <= {r[1] for r in rows}
+    packed = p.STAGES[-1][1](spark, docs, sf)
+    assert packed.filter("doc_id in (1, 2) and length = 1").count() == 2 and p.STAGES[-1][1](spark, docs.limit(0), sf).count() == 0
