@@ -181,7 +181,10 @@ def touched_shards(table: KeyedTable, ranges: DataFrame) -> DataFrame:
     changes = spans.select(F.inline(ends)).groupBy("shard").agg(F.sum("change").alias("change"))
     every = table.spark.range(table.layout.shards).select(F.col("id").cast("int").alias("shard"))
     each = every.join(changes, "shard", "left").select("shard", F.floor(F.col("shard") / SHARDS_PER_BLOCK).alias("block"), F.coalesce("change", F.lit(0)).alias("change"))
-    # a running sum over blocks (one row each), and one within each block
+    # a running sum over blocks (one row each), and one within each block; a single block needs no sum before it
+    if table.layout.shards <= SHARDS_PER_BLOCK:
+        counted = each.withColumn("ranges", F.sum("change").over(Window.partitionBy("block").orderBy("shard")))
+        return counted.select("shard", "ranges").filter("ranges > 0")
     sums = each.groupBy("block").agg(F.sum("change").alias("change"))
     before = F.coalesce(F.sum("change").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     running = F.sum("change").over(Window.partitionBy("block").orderBy("shard"))

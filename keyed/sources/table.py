@@ -83,7 +83,8 @@ class Zones:
         return out
 
 
-#: Zones by folder and generation; a generation never changes.
+#: Zones by folder and generation; a generation never changes. All are forgotten once there are so many.
+MOST_KNOWN = 256
 _known: dict[tuple[str, str], dict[int, Zones] | None] = {}
 
 
@@ -141,6 +142,8 @@ class Shards:
                 for shard, file, rows, size, first, last in json.loads(files.read_text(spark, path)):
                     ends = (tuple(_decode(v, t) for v, t in zip(side, types)) for side in (first, last))
                     found.setdefault(shard, []).append(Zone(file, rows, size, *ends))
+            if len(_known) >= MOST_KNOWN:
+                _known.clear()
             _known[at] = None if found is None else {s: Zones(z) for s, z in found.items()}
         return _known[at]
 
