@@ -258,8 +258,8 @@ class Shards:
             {int(s): tuple(names[i] for i in gens) for s, gens in d["live"].items()},
             dict(d["generations"]),
             d["row_bytes"],
-            d["cell_rows"],
-            {g: {int(s): h for s, h in own.items()} for g, own in d["homes"].items()},
+            d.get("cell_rows", ROWS_PER_CELL),
+            {g: {int(s): h for s, h in own.items()} for g, own in d.get("homes", {}).items()},
         )
 
 

@@ -54,6 +54,35 @@ def test_a_point_read_opens_one_file_of_each_generation(spark, place):
     assert "rangepartitioning" not in plan
 
 
+def test_tables_without_a_record_of_files(spark, place):
+    """Tables written before files were recorded are read, ordered and merged as before."""
+    import glob
+    import json
+    import os
+
+    from keyed.sources import table as tables
+
+    table = K.create_keyed(spark, "old", spark.range(300).selectExpr("id", "'a' AS s"), "id", prefix=place, splits=[100], rows_per_file=50).table
+    for f in glob.glob(f"{table.path}/data/*/_zones.json"):
+        os.remove(f)
+    tables._known.clear()
+    record, = glob.glob(f"{table.path}/_commits/*.json")
+    with open(record) as f:
+        held = json.load(f)
+    for name in ("cell_rows", "homes"):
+        del held["base"][name]
+    for f in (record, f"{os.path.dirname(record)}/.{os.path.basename(record)}.crc"):
+        os.remove(f)
+    with open(record, "w") as f:
+        json.dump(held, f)
+    old = K.KeyedTable.open(spark, table.path)
+    assert [r.id for r in old.ordered().collect()] == list(range(300))
+    assert {r.shard: r.rows for r in K.shard_layout(old).collect()} == {0: 100, 1: 200} and old.size_bytes() > 0
+    assert old.read([("id", "in", [5, 250])]).count() == 2
+    done = K.upsert(old, spark.range(200, 400).selectExpr("id", "'b' AS s")).table
+    assert done.read().count() == 400 and done.read([("s", "=", "b")]).count() == 200
+
+
 def test_layout_comes_from_the_record(spark, large):
     plan = K.shard_layout(large)._jdf.queryExecution().optimizedPlan().toString()
     assert "parquet" not in plan.lower()
