@@ -71,6 +71,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread_join(rows: DataFrame, once: DataFrame, keys: list[str], counts: DataFrame, total: int, by: list[str]) -> DataFrame:
+    """Inner join of ``rows`` to ``once`` (one row per key) in which a key with a large part of the rows is no single task's.
+
+    ``counts`` has the number of rows ``m`` of every key, ``total`` is their sum. A share is a quarter of what a task gets on
+    average. A key beyond it is dealt by the hash of ``by`` to as many places as it has shares, and its row of ``once`` is
+    copied to each. Fewer than four such keys a task are possible, so their list can be broadcast whatever the input; the copies are
+    fewer than eight a task. ``m`` is not returned.
+    """
+    share = max(1, total // (4 * shuffle_partitions(rows.sparkSession)))
+    often = counts.filter(F.col("m") > share).select(*keys, F.ceil(F.col("m") / share).cast("int").alias("__places"))
+    dealt = rows.join(F.broadcast(often), keys, "left")
+    dealt = dealt.withColumn("__place", F.coalesce(F.pmod(F.xxhash64(*by), F.col("__places")).cast("int"), F.lit(0))).drop("__places")
+    places = F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col("m") / share).cast("int")) - 1)
+    copied = once.withColumn("__place", F.explode(places)).drop("m")
+    return dealt.join(copied.hint("merge"), [*keys, "__place"]).drop("__place")
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Runs of anything but ASCII white space, as UTF-8."""
     return utf8(text).split()

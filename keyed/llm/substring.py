@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyed.llm.common import cut, ready, release, replace_columns, utf8, words_of
+from keyed.llm.common import cut, ready, release, replace_columns, spread_join, utf8, words_of
 
 WINDOW, GRAM, SHARD = 50, 8, 512
 #: Hashes of words kept per worker, and grams whose least values are sought at once.
@@ -305,7 +305,7 @@ def _with_anchors(docs: DataFrame, doc_id: str, text: str, only_digest: bool) ->
     # written, so that the join below reads two plain shuffles, which Spark can split at a common anchor, and those of the count can go
     shared = cut(rows.groupBy("a").agg(F.min("i").alias("lo"), F.max("i").alias("hi")).filter("lo < hi").select("a"), "shared")
     release(docs.sparkSession)
-    asked = rows.join(shared, "a").groupBy(F.col("i").alias("__of")).agg(F.collect_list("p").alias("__shared"))
+    asked = rows.join(shared, "a").groupBy(F.col("i").alias("__of")).agg(F.collect_set("p").alias("__shared"))
     source = slim.select(F.col("i").alias("__i"), F.col("x").alias("__x")) if only_digest else docs.withColumns({"__i": F.col(doc_id).cast("long"), "__x": F.col(text).cast("string")}).drop(text)
     met = source.join(asked, F.col("__i") == F.col("__of"), "left").drop("__of")
     met = met.withColumns({"__t": F.xxhash64("__x"), "__all": F.arrow_udf(_totals, "struct<n:long,sha:string>")("__x")})
@@ -316,18 +316,18 @@ def _with_anchors(docs: DataFrame, doc_id: str, text: str, only_digest: bool) ->
 
 def _repeats(different: DataFrame, again: bool) -> DataFrame:
     """(a, x, y, b, e): words [b, e) of a passage that a passage of an earlier document has."""
-    crowd = different.groupBy("a").agg(F.min("lo").alias("least"), F.max("lo").alias("most"), F.count("*").alias("n")).filter("least < most")
-    sides = [different.join(crowd.filter(F.col("n") > SHARD if crowded else F.col("n") <= SHARD).select("a"), "a") for crowded in (False, True)]
-    by_shard = sides[0].select("a", "lo", "x", "y", "words").repartition("a").sortWithinPartitions("a", "lo")
-    crowded = sides[1].select("a", "x", "y", "lo", "words")
+    crowd = different.groupBy("a").agg(F.min("lo").alias("least"), F.max("lo").alias("most"), F.count("*").alias("m")).filter("least < most").select("a", "m")
+    by_shard = different.join(crowd.filter(F.col("m") <= SHARD).select("a"), "a").select("a", "lo", "x", "y", "words").repartition("a").sortWithinPartitions("a", "lo")
+    most = crowd.filter(F.col("m") > SHARD)
+    crowded = spread_join(different.select("a", "x", "y", "lo", "words"), most, ["a"], most, different.count(), ["x", "y"])
     if again:
         pieces = cut(crowded.mapInArrow(_pieces, _PIECES), "pieces")
         single = _gone(pieces, ["pa", "px", "py"], False).select(F.col("pa").alias("a"), F.col("px").alias("x"), F.col("py").alias("y"), F.explode("spans").alias("z")).select("a", "x", "y", "z.b", "z.e")
     else:
         # written, as both the count of a window and the look-up of the count read it
         windows = cut(crowded.mapInArrow(_windows, _WINDOWS), "windows")
-        least = windows.groupBy("wx", "wy").agg(F.min("lo").alias("least"), F.max("lo").alias("most")).filter("least < most")
-        single = windows.join(least.select("wx", "wy", "least"), ["wx", "wy"]).filter("lo > least").select("a", "x", "y", "b", (F.col("b") + WINDOW).alias("e"))
+        least = windows.groupBy("wx", "wy").agg(F.min("lo").alias("least"), F.max("lo").alias("most"), F.count("*").alias("m")).filter("least < most").drop("most")
+        single = spread_join(windows, least, ["wx", "wy"], least, windows.count(), ["a", "x", "y", "b"]).filter("lo > least").select("a", "x", "y", "b", (F.col("b") + WINDOW).alias("e"))
     return by_shard.mapInArrow(_shards, "a long, x long, y long, b int, e int").unionByName(single)
 
 
@@ -336,15 +336,17 @@ def _gone(passages: DataFrame, owner: list[str], again: bool) -> DataFrame:
 
     ``again``: whether passages of crowded anchors are cut once more.
     """
-    different = cut(passages.groupBy("a", "x", "y").agg(F.min("i").alias("lo"), F.any_value("words").alias("words")), "different")
+    different = cut(passages.groupBy("a", "x", "y").agg(F.min("i").alias("lo"), F.count("*").alias("m"), F.any_value("words").alias("words")), "different")
     release(passages.sparkSession)
     found = _repeats(different, again).groupBy("a", "x", "y").agg(F.collect_set(F.struct("b", "e")).alias("part"))
-    marks = different.select("a", "x", "y", "lo").join(found, ["a", "x", "y"], "left")
+    counts = different.select("a", "x", "y", "m")
+    total = counts.agg(F.sum("m")).first()[0] or 0
+    marks = different.select("a", "x", "y", "lo", "m").join(found, ["a", "x", "y"], "left")
     # where an earlier document has the same passage it goes whole, in its first document only what others have of it
     whole = F.array(F.struct(F.lit(0).alias("b"), (F.col("n") + (WINDOW - 1)).alias("e")))
     near = F.when(F.col("i") > F.col("lo"), whole).otherwise(F.col("part"))
     here = F.transform(near, lambda z: F.struct((z["b"] + F.col("s")).alias("b"), (z["e"] + F.col("s")).alias("e")))
-    gone = passages.drop("words").join(marks, ["a", "x", "y"]).select(*owner, here.alias("spans"))
+    gone = spread_join(passages.drop("words"), marks, ["a", "x", "y"], counts, total, ["i", "s"]).select(*owner, here.alias("spans"))
     return gone.groupBy(*owner).agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 

@@ -11,10 +11,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from keyed.llm import components, convnet, mixing, packing, queries, records, rules, simhash, substring, token_counts, topk, toxicity
-from keyed.llm.common import scratch
+from keyed.llm.common import scratch, spread_join
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000))
@@ -431,3 +432,20 @@ def test_substring_of_a_crowded_line(spark, monkeypatch):
         rows.append((d, " ".join([f"x{d}y{n}" for n in range(60)] + line + own + line + [f"z{d % 7}y{n}" for n in range(60)])))
     got = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), only_digest=True).collect()
     assert bag(map(tuple, got)) == bag(kept_words(rows))
+
+
+def test_spread_join(spark):
+    """A key with most rows is dealt to many places; the rows are those of a plain join."""
+    rows = spark.range(4000).selectExpr("CASE WHEN id % 10 < 8 THEN 7 WHEN id % 10 = 8 THEN 100 + id % 50 ELSE 9 END AS k", "id AS v")
+    counts = rows.groupBy("k").agg(F.count("*").alias("m"))
+    once = counts.filter("k <> 9").withColumn("w", F.col("k") * 2)
+    got = spread_join(rows, once, ["k"], counts, 4000, ["v"])
+    assert got.columns == ["k", "v", "w"]
+    assert bag(map(tuple, got.collect())) == bag((r.k, r.v, 2 * r.k) for r in rows.collect() if r.k != 9)
+    assert spread_join(rows.limit(0), once, ["k"], counts.limit(0), 0, ["v"]).count() == 0
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(sizes) < 1200  # 3,200 rows have one key
