@@ -80,7 +80,9 @@ def spread_join(rows: DataFrame, once: DataFrame, keys: list[str], counts: DataF
     fewer than eight a task. ``m`` is not returned.
     """
     share = max(1, total // (4 * shuffle_partitions(rows.sparkSession)))
-    often = counts.filter(F.col("m") > share).select(*keys, F.ceil(F.col("m") / share).cast("int").alias("__places"))
+    # one key that needs a single place is listed too: with an empty list Spark leaves the look-up out, and small inputs run another plan
+    listed = counts.filter(F.col("m") > share).unionByName(counts.filter(F.col("m") <= share).limit(1))
+    often = listed.select(*keys, F.ceil(F.col("m") / share).cast("int").alias("__places"))
     dealt = rows.join(F.broadcast(often), keys, "left")
     dealt = dealt.withColumn("__place", F.coalesce(F.pmod(F.xxhash64(*by), F.col("__places")).cast("int"), F.lit(0))).drop("__places")
     places = F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col("m") / share).cast("int")) - 1)
