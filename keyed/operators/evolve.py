@@ -8,9 +8,9 @@ from dataclasses import replace
 from pyspark.sql import types as T
 
 from ..plans.bounds import cut_key
-from ..plans.layout import Layout, shard_count
+from ..plans.layout import Layout, quantiles, shard_count
 from ..sources.table import KeyedTable, Shards, check_names
-from .write import WriteResult, _fresh, _quantiles, _splits, _survey, _surveyed
+from .write import WriteResult, _fresh, _splits, _survey, _surveyed
 
 
 def alter(table: KeyedTable, add: Sequence[T.StructField] = (), drop: Sequence[str] = ()) -> WriteResult:
@@ -79,7 +79,7 @@ def reshard(
         survey = _survey(rows, table.keys, table.schema.names, count, table.base.cell_rows) if splits is None else []
         layout = Layout.by_splits(splits if splits is not None else _splits(survey, count))
     empty = Shards(table.base.folder, table.schema, table.keys, layout, cell_rows=table.base.cell_rows)
-    loads = _surveyed(survey, layout, empty.cell_rows) or None
+    loads = _surveyed(survey, layout) or None
     base, written, size = _fresh(table.spark, empty, rows, touched=set(), loads=loads, exact=loads is None)
     return WriteResult(table.commit(base=base, dropped=()), written, size)
 
@@ -109,7 +109,7 @@ def _resized(spark, shards: Shards, most: int, least: int) -> tuple[Shards, int,
     for s, size in enumerate(sizes):
         if size > most:
             files = sorted(stored[s], key=lambda z: cut_key((z.first, -1)))
-            if found := _quantiles([(z.first, z.size) for z in files], -(-size // most)):
+            if found := quantiles([(z.first, z.size) for z in files], -(-size // most)):
                 cuts[s] = found
     runs: list[list[int]] = []  # neighbours that become one shard
     for s, size in enumerate(sizes):

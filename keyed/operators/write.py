@@ -4,8 +4,9 @@ Every write reads its batch twice and shuffles it once. The first pass is one ag
 bytes and a sample of keys, in which every byte has the same chance; what is stored is known from its file record. From
 these a large shard is cut into cells, key ranges of about equal work; small neighbours share one. The second pass sends
 each cell to one task, which writes it in key order. So a shard that holds a third of the table is written by many tasks,
-all rows of a key meet in one cell, and each file holds a narrow range of keys. Only shards that the batch touches are read
-or rewritten.
+all rows of a key meet in one cell, and each file holds a narrow range of keys. Where files hold few rows, a cell is several
+files, and a large write makes them larger: neither tasks and cuts nor files number more than the rows are worth. Only
+shards that the batch touches are read or rewritten.
 """
 
 from __future__ import annotations
@@ -24,17 +25,18 @@ from ..functions.coerce import coerce
 from ..functions.sizes import row_bytes
 from ..functions.types import new_table_schema
 from ..plans.bounds import cut_key
-from ..plans.layout import Layout, key_struct, shard_count
+from ..plans.layout import Layout, key_struct, quantiles, shard_count
 from ..sources import files
-from ..sources.table import CHANGE, GEN, ROWS_PER_CELL, SHARD, KeyedTable, Shards, cell_column, check_names, new_generation
+from ..sources.table import BYTES_PER_CELL, CHANGE, GEN, ROWS_PER_CELL, SHARD, KeyedTable, Shards, cell_column, check_names, new_generation
 
 CELL, TAG, RANK = "_cell", "_tag", "_rank"
 OLD, DELETED, NEW = 0, 1, 2
-BYTES_PER_CELL = 256 * 1024 * 1024
 #: Part of a cell below which a shard shares its task with its neighbours.
 SMALL_CELL = 0.01
 #: Keys sampled for each cell's worth of rows, and for each shard of a layout that is still to be found.
 SAMPLES, SHARD_SAMPLES = 8, 64
+#: Keys, of all shards of a given layout together, that are kept of those which only files of few rows ask for.
+NARROW_SAMPLES = 8192
 AUTO_KEY = "_spark_key"
 #: Plan nodes whose rows are the same, and cheap to make, whenever they are asked for again.
 REPEATABLE = {"Project", "Filter", "SubqueryAlias", "View", "LogicalRelation", "LocalRelation", "Range"}
@@ -141,14 +143,18 @@ def _read_once(spark: SparkSession, path: str, df: DataFrame, order_by, schema:
 
 @dataclass
 class Load:
-    """The work that rows make: their number and bytes, and keys that stand for equal parts or given parts of it."""
+    """The work that rows make: their number and bytes, and keys with the rows and bytes that each stands for."""
 
     rows: int = 0
     bytes: int = 0
-    keys: list[tuple[tuple, float]] = field(default_factory=list)
+    keys: list[tuple[tuple, float, float]] = field(default_factory=list)
 
     def cells(self, cell_rows: int) -> float:
-        return max(self.rows / cell_rows, self.bytes / BYTES_PER_CELL)
+        return _work(self.rows, self.bytes, cell_rows)
+
+
+def _work(rows: float, size: float, cell_rows: int) -> float:
+    return max(rows / cell_rows, size / BYTES_PER_CELL)
 
 
 def _payload(schema: T.StructType) -> Column:
@@ -174,14 +180,26 @@ def _drawn(keys: Sequence[str], size: Column, cell_rows: int) -> Column:
 
 
 def _loads(rows: DataFrame, shards: Shards) -> dict[int, Load]:
-    """What the rows add to each shard, in one aggregate; keys only of shards with more than one cell."""
+    """What the rows add to each shard, in one aggregate; keys only of shards with more than one cell.
+
+    Of keys drawn for files of few rows alone, one of each hash bucket of a shard is kept: they are for few tasks.
+    """
     keys = list(shards.keys)
     size = _width(rows, shards.schema.names, shards.row_bytes)
     drawn = F.when(_drawn(keys, size, shards.cell_rows), key_struct(keys))
+    narrow = shards.cell_rows < ROWS_PER_CELL
+    extra = [(~_drawn(keys, size, ROWS_PER_CELL)).alias("extra")] if narrow else []
     parts = (
-        rows.select(shards.shard_column().alias(SHARD), drawn.alias("key"), size.alias("size"))
-        .groupBy(SHARD, "key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"))
+        rows.select(shards.shard_column().alias(SHARD), drawn.alias("key"), size.alias("size"), *extra)
+        .groupBy(SHARD, "key", *(["extra"] if narrow else [])).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"))
     )
+    if narrow:
+        hashed = F.when(F.col("key").isNotNull(), F.xxhash64("key"))
+        bucket = F.when(F.col("extra"), F.pmod(hashed, F.lit(max(2 * SAMPLES, NARROW_SAMPLES // shards.layout.shards)))).otherwise(hashed)
+        parts = (
+            parts.select(SHARD, "extra", bucket.alias("bucket"), "key", hashed.alias("hash"), "n", "b")
+            .groupBy(SHARD, "extra", "bucket").agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.min_by("key", "hash").alias("key"))
+        )
     n, b = F.sum("n"), F.sum("b")
     large = (n > shards.cell_rows) | (b > BYTES_PER_CELL)
     found = parts.groupBy(SHARD).agg(n.alias("n"), b.alias("b"), F.when(large, F.collect_list("key")).alias("keys"))
@@ -189,7 +207,7 @@ def _loads(rows: DataFrame, shards: Shards) -> dict[int, Load]:
     for shard, count, size_, keys_ in found.collect():
         own = Load(count, size_ or 0)
         whole = [tuple(k) for k in keys_ or () if None not in k]
-        own.keys = [(k, own.cells(shards.cell_rows) / len(whole)) for k in whole]
+        own.keys = [(k, own.rows / len(whole), own.bytes / len(whole)) for k in whole]
         out[shard] = own
     return out
 
@@ -203,7 +221,7 @@ def _survey(rows: DataFrame, keys: Sequence[str], names: Sequence[str], shards:
     hashed = F.xxhash64(*keys)
     picked = rows.select(
         F.pmod(hashed, F.lit(max(1024, SHARD_SAMPLES * shards))).alias("bucket"),
-        F.when(_drawn(keys, size, cell_rows), hashed).alias("own"),
+        F.when(_drawn(keys, size, max(cell_rows, ROWS_PER_CELL)), hashed).alias("own"),
         hashed.alias("hash"),
         *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)],
         size.alias("size"),
@@ -215,22 +233,12 @@ def _survey(rows: DataFrame, keys: Sequence[str], names: Sequence[str], shards:
     return sorted((r for r in found if None not in r[0]), key=lambda r: cut_key((r[0], -1)))
 
 
-def _quantiles(weighed: Sequence[tuple[tuple, float]], parts: int) -> list[tuple]:
-    """At most ``parts - 1`` rising keys that cut sorted weights into about equal parts; each key begins a part."""
-    total, passed, out = sum(w for _, w in weighed), 0.0, []
-    for i, (key, weight) in enumerate(weighed):
-        if i and passed >= total * (len(out) + 1) / parts and len(out) + 1 < parts and cut_key((key, -1)) > cut_key((weighed[i - 1][0], -1)):
-            out.append(key)
-        passed += weight
-    return out
-
-
 def _splits(survey: Sequence[tuple[tuple, int, int]], shards: int) -> list[tuple]:
     """Split points of a new range layout, by bytes."""
-    return _quantiles([(k, b or n) for k, n, b in survey], shards)
+    return quantiles([(k, b or n) for k, n, b in survey], shards)
 
 
-def _surveyed(survey: Sequence[tuple[tuple, int, int]], layout: Layout, cell_rows: int) -> dict[int, Load]:
+def _surveyed(survey: Sequence[tuple[tuple, int, int]], layout: Layout) -> dict[int, Load]:
     """The survey by shard of a range layout."""
     out: dict[int, Load] = {}
     points = [cut_key((s, -1)) for s in layout.splits]
@@ -240,7 +248,7 @@ def _surveyed(survey: Sequence[tuple[tuple, int, int]], layout: Layout, cell_row
             shard += 1
         own = out.setdefault(shard, Load())
         own.rows, own.bytes = own.rows + n, own.bytes + b
-        own.keys.append((key, max(n / cell_rows, b / BYTES_PER_CELL)))
+        own.keys.append((key, n, b))
     return out
 
 
@@ -258,7 +266,7 @@ def _with_stored(spark: SparkSession, shards: Shards, loads: dict[int, Load]) ->
             size = z.rows * shards.row_bytes
             loads[shard].rows += z.rows
             loads[shard].bytes += size
-            loads[shard].keys.append((z.first, max(z.rows / shards.cell_rows, size / BYTES_PER_CELL)))
+            loads[shard].keys.append((z.first, z.rows, size))
     return loads
 
 
@@ -282,17 +290,23 @@ def _cells(work: dict[int, float], pieces: dict[int, int], shards: int, small: f
 
 def _place(df: DataFrame, shards: Shards, loads: dict[int, Load]) -> DataFrame:
     """Rows dealt to cells: shards, or key ranges of large ones."""
-    work = {s: load.cells(shards.cell_rows) for s, load in loads.items()}
+    unit = shards.task_rows(_rows(loads))
+    work = {s: load.cells(unit) for s, load in loads.items()}
     cuts = {}
     for s, load in loads.items():
         if work[s] > 1 and load.keys:
-            cuts[s] = _quantiles(sorted(load.keys, key=lambda k: cut_key((k[0], -1))), math.ceil(work[s]))
+            keys = sorted(load.keys, key=lambda k: cut_key((k[0], -1)))
+            cuts[s] = quantiles([(k, _work(n, b, unit)) for k, n, b in keys], math.ceil(work[s]))
     parallel = df.sparkSession.sparkContext.defaultParallelism
     small = min(1.0, max(SMALL_CELL, sum(work.values()) / (4 * parallel)))
     first, cells = _cells(work, {s: len(c) + 1 for s, c in cuts.items()}, shards.layout.shards, small)
     return df.withColumn(CELL, cell_column(shards, first, cuts)).repartitionById(max(1, cells), F.col(CELL))
 
 
+def _rows(loads: dict[int, Load]) -> int:
+    return sum(load.rows for load in loads.values())
+
+
 def _per_key(shards: Shards):
     return Window.partitionBy(SHARD, CELL, *shards.keys).orderBy(F.desc(TAG))
 
@@ -334,7 +348,7 @@ def _merged(
         *([F.when(F.col(TAG) == NEW, _replaced(w, capture)).alias(CHANGE)] if capture else []),
     )
     kept_rows = ranked.filter((F.col(RANK) == 1) & F.col("_single") & (F.col(TAG) != DELETED))
-    return kept_rows.select(SHARD, *shards.schema.names, *([CHANGE] if capture else [])), set(loads)
+    return kept_rows.select(SHARD, *shards.schema.names, *([CHANGE] if capture else [])), loads
 
 
 def _replaced(w, columns: Sequence[str]) -> Column:
@@ -343,18 +357,25 @@ def _replaced(w, columns: Sequence[str]) -> Column:
     return F.struct(had.alias("had"), *[F.lead(c, 1).over(w).alias(c) for c in columns])
 
 
-def _save(spark, shards: Shards, rows: DataFrame, touched: set[int] | None, expected: set[int] | None) -> tuple[Shards, int, int]:
-    """Write the rows; touched shards are replaced (None: all). Rows in a shard that was not counted stop the write."""
+def _save(
+    spark, shards: Shards, rows: DataFrame, touched: set[int] | None, loads: dict[int, Load], exact: bool = True
+) -> tuple[Shards, int, int]:
+    """Write the rows; touched shards are replaced (None: all). ``exact``: rows in a shard that was not counted stop the write.
+
+    A task's file may hold twice the rows of a file, so that a cell of about that size is one; of several files none does.
+    """
     seen = Observation()
     gen = new_generation()
     beside = [CHANGE] if CHANGE in rows.columns else []
     guarded = not_null(rows, shards.schema).select(SHARD, *shards.schema.names, *beside)
     counted = guarded.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_payload(shards.schema)).alias("bytes"), F.sum(row_bytes(shards.schema)).alias("whole"))
-    counted.write.option("maxRecordsPerFile", 2 * shards.cell_rows).partitionBy(SHARD).parquet(f"{shards.folder}/_gen={gen}")
+    count = _rows(loads)
+    most = shards.file_rows(count) * (1 if shards.task_rows(count) > shards.file_rows(count) else 2)
+    counted.write.option("maxRecordsPerFile", most).partitionBy(SHARD).parquet(f"{shards.folder}/_gen={gen}")
     count, size = seen.get["rows"], seen.get["bytes"] or 0
     width = -(-(seen.get["whole"] or 0) // count) if count else 0
     written = shards.record_zones(spark, gen)
-    if expected is not None and (stray := set(written) - expected):
+    if exact and (stray := set(written) - set(loads)):
         raise RuntimeError(f"the batch changed while it was written: rows in shards {sorted(stray)[:10]}, which were not counted")
     return shards.after(gen, written, touched, width), count, size
 
@@ -378,7 +399,7 @@ def _fresh(
     placed = _place(routed.withColumn(TAG, F.lit(NEW)), shards, loads)
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in shards.schema if f.name not in df.columns]
     rows = placed.select("*", *missing, _duplicate_guard(w).alias("_single")).filter("_single")
-    return _save(spark, shards, rows.select(SHARD, *shards.schema.names), touched, set(loads) if exact else None)
+    return _save(spark, shards, rows.select(SHARD, *shards.schema.names), touched, loads, exact)
 
 
 def _prepared(table: KeyedTable, df: DataFrame, order_by, strict: bool) -> tuple[DataFrame, DataFrame]:
@@ -461,15 +482,15 @@ def _merge(table: KeyedTable, new: DataFrame, sizing: DataFrame, keep_unwritten:
     spark = table.spark
     indexed = sorted({c for index in table.indexes.values() for c in index.keys} - set(table.keys))
     capture = indexed or list(table.keys[:1])  # an index of key columns alone needs to know of new rows only
-    merged, touched = _merged(spark, table.base, new, None, keep_unwritten, sizing, capture if table.indexes else ())
-    if not touched:
+    merged, loads = _merged(spark, table.base, new, None, keep_unwritten, sizing, capture if table.indexes else ())
+    if not loads:
         return WriteResult(table)
-    base, rows, size = _save(spark, table.base, merged, touched, touched)
+    base, rows, size = _save(spark, table.base, merged, set(loads), loads)
     indexes = {}
     for name, index in table.indexes.items():
         added, removed = _index_changes(spark, table.base, base, index, capture)
-        entries, index_touched = _merged(spark, index, added, removed)
-        indexes[name] = _save(spark, index, entries, index_touched, index_touched)[0] if index_touched else index
+        entries, own = _merged(spark, index, added, removed)
+        indexes[name] = _save(spark, index, entries, set(own), own)[0] if own else index
     return WriteResult(table.commit(base=base, indexes=indexes), rows, size)
 
 
@@ -519,7 +540,8 @@ def create_keyed(
 
     The number of shards is given, or follows from split points, or from ``size_bytes``, or else from the measured size of
     the rows; split points that are not given come from the same pass. A source is read twice, and one that is more than a
-    scan is evaluated once. ``rows_per_file`` bounds the rows of a task and so the key range of a file (on average).
+    scan is evaluated once. ``rows_per_file`` bounds the rows of a file and so its key range (on average);
+    a write of more than ``NARROW_FILES`` such files makes that many larger ones, until they hold a million rows.
     """
     path = files.resolve(prefix, name)
     if KeyedTable.exists(spark, path):
@@ -547,7 +569,7 @@ def create_keyed(
             survey = _survey(rows, keys, stored, shards or 1, rows_per_file)
             count = shards or shard_count(size_bytes or sum(b for _, _, b in survey), size_mb, min_shards, max_shards)
             layout = Layout.by_hash(count) if store == "hash" else Layout.by_splits(_splits(survey, count))
-            loads = _surveyed(survey, layout, rows_per_file) if store == "range" else None
+            loads = _surveyed(survey, layout) if store == "range" else None
         base = replace(empty, layout=layout)
         base, written, size = _fresh(spark, base, last, set(), rows, loads or None, exact=loads is None)
         table = KeyedTable(spark, path, 0, base)
@@ -574,5 +596,5 @@ def build_index(table: KeyedTable, name: str, columns: Sequence[str], splits: Se
     survey = _survey(rows, keys, keys, len(table.base.live), table.base.cell_rows) if splits is None else []
     layout = Layout.by_splits(splits if splits is not None else _splits(survey, max(1, len(table.base.live))))
     index = Shards(f"{table.path}/index-{name}", schema, keys, layout, cell_rows=table.base.cell_rows)
-    loads = _surveyed(survey, layout, index.cell_rows) or None
+    loads = _surveyed(survey, layout) or None
     return _fresh(table.spark, index, rows, touched=set(), loads=loads, exact=loads is None)[0]

@@ -150,6 +150,16 @@ class Layout:
         return range(bisect_right(cuts, cut_key(lower_cut(r))), bisect_left(cuts, cut_key(upper_cut(r))) + 1)
 
 
+def quantiles(weighed: Sequence[tuple[tuple, float]], parts: int) -> list[tuple]:
+    """At most ``parts - 1`` rising keys that cut sorted weights into about equal parts; each key begins a part."""
+    total, passed, out = sum(w for _, w in weighed), 0.0, []
+    for i, (key, weight) in enumerate(weighed):
+        if i and passed >= total * (len(out) + 1) / parts and len(out) + 1 < parts and cut_key((key, -1)) > cut_key((weighed[i - 1][0], -1)):
+            out.append(key)
+        passed += weight
+    return out
+
+
 def shard_count(size_bytes: int, size_mb: int = 1000, min_shards: int = 1, max_shards: int | None = None) -> int:
     """Number of shards for a table of this size; it grows with the table unless ``max_shards`` is given."""
     low = max(1, min_shards)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import math
 import uuid
 from bisect import bisect_right
 from collections import Counter
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.bounds import cut_key, fit, instant_text, range_condition
-from ..plans.layout import TREE_SPLITS, Layout, count_splits, int_array, key_struct, splits_before, tuple_array
+from ..plans.layout import TREE_SPLITS, Layout, count_splits, int_array, key_struct, quantiles, splits_before, tuple_array
 from ..plans.rangeset import EVERY, Leaf, Node, RangeSet, as_column, condition, key_set
 from . import files
 
@@ -32,6 +33,10 @@ SHARD, GEN = "_shard", "_gen"
 CHANGE = "_change"
 #: Rows of one file's worth of work, unless a table says otherwise.
 ROWS_PER_CELL = 1_000_000
+BYTES_PER_CELL = 256 * 1024 * 1024
+#: Files of few rows that one write makes, and tasks that write or read them: what is more goes into larger files, up to
+#: these rows, and several files to a task.
+NARROW_FILES, NARROW_TASKS = 1024, 64
 #: Whole keys of a condition that are hashed to find their shards; more open all shards of a hash layout.
 MOST_HASHED = 10_000
 
@@ -109,6 +114,15 @@ class Shards:
     def key_types(self) -> list[T.DataType]:
         return [self.schema[k].dataType for k in self.keys]
 
+    def file_rows(self, rows: int) -> int:
+        """Rows of a file where so many are written at once: the table's own number, or more if that made too many files."""
+        return max(self.cell_rows, min(ROWS_PER_CELL, -(-rows // NARROW_FILES)))
+
+    def task_rows(self, rows: int) -> int:
+        """Rows of a task: a file's, or a multiple of it where that made too many tasks."""
+        own = self.file_rows(rows)
+        return own * max(1, min(-(-rows // (NARROW_TASKS * own)), ROWS_PER_CELL // own))
+
     def shard_column(self) -> Column:
         return self.layout.shard_of([F.col(k) for k in self.keys], self.key_types())
 
@@ -349,13 +363,18 @@ class KeyedTable:
         """Rows in the order of shard and key: tasks hold consecutive key ranges, whatever files a shard has.
 
         The recorded files say where the ranges begin, so nothing is sampled; a layout that has no record of its files is.
+        Neighbouring files of few rows share a range, so that tasks do not grow in number with such files.
         """
         names = list(columns) if columns is not None else list(self.schema.names)
         rows = self.read(where, list(dict.fromkeys([*names, *self.keys])), True)
         stored = self.base.stored(self.spark, sorted(self.base.live))
         if stored is None:
             return rows.repartitionByRange(SHARD, *self.keys).sortWithinPartitions(SHARD, *self.keys)
-        starts = {s: sorted({z.first for z in zones}, key=lambda k: cut_key((k, -1)))[1:] for s, zones in stored.items()}
+        unit = self.base.task_rows(sum(z.rows for zones in stored.values() for z in zones))
+        starts = {}
+        for s, zones in stored.items():
+            work = [(z.first, max(z.rows / unit, z.rows * self.base.row_bytes / BYTES_PER_CELL)) for z in sorted(zones, key=lambda z: cut_key((z.first, -1)))]
+            starts[s] = quantiles(work, max(1, math.ceil(sum(w for _, w in work))))
         firsts, cells = [], 0
         for s in range(self.layout.shards):
             firsts.append(cells)

@@ -246,3 +246,28 @@ def test_ranges_prune_partitions_while_the_query_runs(spark, place):
     found = K.read_ranges(table, ranges)
     assert sorted(r.id for r in found.collect()) == [10 * i + j for i in range(5) for j in range(3)]
     assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString().lower()
+
+
+@pytest.fixture
+def few(monkeypatch):
+    """Bounds that small tables reach: 40 files of few rows a write, 8 tasks."""
+    from keyed.sources import table as tables
+
+    monkeypatch.setattr(tables, "NARROW_FILES", 40, raising=False)
+    monkeypatch.setattr(tables, "NARROW_TASKS", 8, raising=False)
+
+
+def writers(files):
+    """Tasks that wrote these files."""
+    return {f.rsplit("part-", 1)[1][:5] for f in files}
+
+
+def test_ordered_read_of_many_small_files_has_few_tasks(spark, place, few):
+    """Almost all rows in one shard of a given layout, in two generations."""
+    table = K.create_keyed(spark, "o", spark.range(12_000).filter("id % 3 > 0"), "id", prefix=place, splits=[50], rows_per_file=10).table
+    table = K.insert(table, spark.range(12_000).filter("id % 3 = 0")).table
+    rows = table.ordered()
+    assert [r.id for r in rows.collect()] == list(range(12_000))
+    assert 5 <= rows.rdd.getNumPartitions() <= 12
+    for zones in table.base.stored(spark, [1]).values():
+        assert 50 <= len(zones) <= 150 and sum(z.rows for z in zones) == 11_950
