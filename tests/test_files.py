@@ -271,3 +271,19 @@ def test_ordered_read_of_many_small_files_has_few_tasks(spark, place, few):
     assert 5 <= rows.rdd.getNumPartitions() <= 12
     for zones in table.base.stored(spark, [1]).values():
         assert 50 <= len(zones) <= 150 and sum(z.rows for z in zones) == 11_950
+
+
+def test_resize_of_many_small_files_writes_few(spark, place, few):
+    rows = spark.range(8000).selectExpr("id", "md5(CAST(id AS STRING)) AS s")
+    table = K.create_keyed(spark, "z", rows, "id", prefix=place, splits=[10, 20, 300, 400], rows_per_file=10).table
+    sizes = table.base.stored(spark, table.base.live)
+    kept = set(table.read([("id", ">=", 300), ("id", "<", 400)]).inputFiles())
+    most = sum(z.size for z in sizes[4])
+    done = K.resize(table, max_mb=most / 1.5 / (1 << 20), min_mb=sum(z.size for s in (0, 1) for z in sizes[s]) / (1 << 20)).table
+    after = done.base.stored(spark, done.base.live)
+    assert [len(zones) for zones in sizes.values()][:2] == [1, 1] and 30 <= len(sizes[4]) <= 100
+    assert len(after) == 5 and max(sum(z.size for z in zones) for zones in after.values()) < most
+    fresh = [f for f in done.read().inputFiles() if f not in set(table.read().inputFiles())]
+    assert 30 <= len(fresh) <= 100 and len(writers(fresh)) <= 12
+    assert kept == set(done.read([("id", ">=", 300), ("id", "<", 400)]).inputFiles())
+    assert K.bag_diff(done.read(), rows).isEmpty()
