@@ -287,3 +287,17 @@ def test_resize_of_many_small_files_writes_few(spark, place, few):
     assert 30 <= len(fresh) <= 100 and len(writers(fresh)) <= 12
     assert kept == set(done.read([("id", ">=", 300), ("id", "<", 400)]).inputFiles())
     assert K.bag_diff(done.read(), rows).isEmpty()
+
+
+@pytest.mark.parametrize("store", ["range", "hash"])
+def test_typed_keys_in_many_small_files(spark, place, few, store):
+    """Keys of two columns, NaN among them: few tasks write few files, which hold rising ranges."""
+    rows = spark.range(8000).selectExpr("id", "if(id % 50 = 0, CAST('NaN' AS DOUBLE), id * 0.5D) AS v")
+    table = K.create_keyed(spark, store, rows, "v, id", prefix=place, store=store, shards=4, rows_per_file=10).table
+    zones = table.base.stored(spark, table.base.live)
+    assert 30 <= sum(len(z) for z in zones.values()) <= 120 and len(writers(table.read().inputFiles())) <= 16
+    for own in zones.values():
+        ordered = sorted(own, key=lambda z: (z.first[0] != z.first[0], z.first))
+        assert all(a.last[0] < b.first[0] or b.first[0] != b.first[0] or a.last < b.first for a, b in zip(ordered, ordered[1:]))
+    assert table.read([("v", "=", float("nan"))]).count() == 160
+    assert [r.id for r in table.read([("v", ">", 3996.0), ("v", "<", 3998.0)]).orderBy("id").collect()] == [7993, 7994, 7995]
