@@ -301,3 +301,12 @@ def test_typed_keys_in_many_small_files(spark, place, few, store):
         assert all(a.last[0] < b.first[0] or b.first[0] != b.first[0] or a.last < b.first for a, b in zip(ordered, ordered[1:]))
     assert table.read([("v", "=", float("nan"))]).count() == 160
     assert [r.id for r in table.read([("v", ">", 3996.0), ("v", "<", 3998.0)]).orderBy("id").collect()] == [7993, 7994, 7995]
+
+
+def test_a_point_read_of_many_small_files(spark, place, few):
+    table = K.create_keyed(spark, "p", spark.range(12_000).toDF("id"), "id", prefix=place, shards=1, rows_per_file=10).table
+    files = table.read().inputFiles()
+    assert 30 <= len(files) <= 60 and len(writers(files)) <= 10
+    for key in (0, 5555, 11_999):
+        found = table.read([("id", "=", key)])
+        assert opened(found) == 1 and [r.id for r in found.collect()] == [key]
