@@ -310,3 +310,14 @@ def test_a_point_read_of_many_small_files(spark, place, few):
     for key in (0, 5555, 11_999):
         found = table.read([("id", "=", key)])
         assert opened(found) == 1 and [r.id for r in found.collect()] == [key]
+
+
+def test_some_keys_of_many_small_files(spark, place, few):
+    """The files stay narrow after a merge, which is dealt by the record of the files."""
+    table = K.create_keyed(spark, "s", spark.range(6000).selectExpr("id", "'a' AS s"), "id", prefix=place, shards=1, rows_per_file=10).table
+    table = K.upsert(table, spark.range(3000, 9000).selectExpr("id", "'b' AS s")).table
+    files = table.read().inputFiles()
+    assert 30 <= len(files) <= 70 and len(writers(files)) <= 10
+    found = table.read([("id", "in", [42, 4242, 8888])])
+    assert opened(found) <= 3 and sorted((r.id, r.s) for r in found.collect()) == [(42, "a"), (4242, "b"), (8888, "b")]
+    assert K.bag_diff(table.read(), spark.range(9000).selectExpr("id", "if(id < 3000, 'a', 'b') AS s")).isEmpty()
