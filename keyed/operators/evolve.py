@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 
 from ..plans.bounds import cut_key
 from ..plans.layout import Layout, quantiles, shard_count
-from ..sources.table import KeyedTable, Shards, check_names
-from .write import WriteResult, _fresh, _splits, _survey, _surveyed
+from ..sources.table import KeyedTable, Shards, Zone, check_names
+from .write import Load, WriteResult, _fresh, _splits, _survey, _surveyed
 
 
 def alter(table: KeyedTable, add: Sequence[T.StructField] = (), drop: Sequence[str] = ()) -> WriteResult:
@@ -129,4 +129,14 @@ def _resized(spark, shards: Shards, most: int, least: int) -> tuple[Shards, int,
         else:
             places[run[0]] = len(splits)
     rows = shards.read(spark, [s for s in touched if s in shards.live]).select(*shards.schema.names)
-    return _fresh(spark, shards.under(Layout.by_splits(splits), places), rows, touched=set())
+    after = shards.under(Layout.by_splits(splits), places)
+    return _fresh(spark, after, rows, touched=set(), loads=_recorded(shards, touched, stored, after.layout), exact=False)
+
+
+def _recorded(shards: Shards, touched: Sequence[int], stored: dict[int, list[Zone]], layout: Layout) -> dict[int, Load]:
+    """The work that the files of these shards make under another range layout, by their first keys: nothing is read."""
+    zones = sorted((z for s in touched for z in stored.get(s, ())), key=lambda z: cut_key((z.first, -1)))
+    loads = _surveyed([(z.first, z.rows, z.rows * shards.row_bytes) for z in zones], layout)
+    for load in loads.values():
+        load.keys = [k for k in load.keys if None not in k[0]]
+    return loads

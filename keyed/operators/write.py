@@ -182,53 +182,62 @@ def _drawn(keys: Sequence[str], size: Column, cell_rows: int) -> Column:
 def _loads(rows: DataFrame, shards: Shards) -> dict[int, Load]:
     """What the rows add to each shard, in one aggregate; keys only of shards with more than one cell.
 
-    Of keys drawn for files of few rows alone, one of each hash bucket of a shard is kept: they are for few tasks.
+    Where files hold few rows, every hash bucket of a shard gives its key of least hash, which stands for the bucket: they
+    are for few tasks. Keys drawn by size stand for themselves.
     """
     keys = list(shards.keys)
     size = _width(rows, shards.schema.names, shards.row_bytes)
-    drawn = F.when(_drawn(keys, size, shards.cell_rows), key_struct(keys))
+    n, b = F.sum("n"), F.sum("b")
+    large = (n > shards.cell_rows) | (b > BYTES_PER_CELL)
+    shard = shards.shard_column().alias(SHARD)
     narrow = shards.cell_rows < ROWS_PER_CELL
-    extra = [(~_drawn(keys, size, ROWS_PER_CELL)).alias("extra")] if narrow else []
-    parts = (
-        rows.select(shards.shard_column().alias(SHARD), drawn.alias("key"), size.alias("size"), *extra)
-        .groupBy(SHARD, "key", *(["extra"] if narrow else [])).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"))
-    )
     if narrow:
-        hashed = F.when(F.col("key").isNotNull(), F.xxhash64("key"))
-        bucket = F.when(F.col("extra"), F.pmod(hashed, F.lit(max(2 * SAMPLES, NARROW_SAMPLES // shards.layout.shards)))).otherwise(hashed)
+        buckets = max(2 * SAMPLES, NARROW_SAMPLES // shards.layout.shards)
+        names, parts = _bucketed(rows, [shard], keys, size, buckets, ROWS_PER_CELL)
+        found = parts.groupBy(SHARD).agg(n.alias("n"), b.alias("b"), F.when(large, F.collect_list(F.struct(*names, "n", "b"))).alias("keys"))
+    else:
+        drawn = F.when(_drawn(keys, size, shards.cell_rows), key_struct(keys))
         parts = (
-            parts.select(SHARD, "extra", bucket.alias("bucket"), "key", hashed.alias("hash"), "n", "b")
-            .groupBy(SHARD, "extra", "bucket").agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.min_by("key", "hash").alias("key"))
+            rows.select(shard, drawn.alias("key"), size.alias("size"))
+            .groupBy(SHARD, "key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"))
         )
-    n, b = F.sum("n"), F.sum("b")
-    large = (n > shards.cell_rows) | (b > BYTES_PER_CELL)
-    found = parts.groupBy(SHARD).agg(n.alias("n"), b.alias("b"), F.when(large, F.collect_list("key")).alias("keys"))
+        found = parts.groupBy(SHARD).agg(n.alias("n"), b.alias("b"), F.when(large, F.collect_list("key")).alias("keys"))
     out = {}
     for shard, count, size_, keys_ in found.collect():
         own = Load(count, size_ or 0)
-        whole = [tuple(k) for k in keys_ or () if None not in k]
-        own.keys = [(k, own.rows / len(whole), own.bytes / len(whole)) for k in whole]
+        if narrow:
+            own.keys = [(tuple(k)[:-2], k.n, k.b or 0) for k in keys_ or () if None not in tuple(k)[:-2]]
+        else:
+            whole = [tuple(k) for k in keys_ or () if None not in k]
+            own.keys = [(k, own.rows / len(whole), own.bytes / len(whole)) for k in whole]
         out[shard] = own
     return out
 
 
-def _survey(rows: DataFrame, keys: Sequence[str], names: Sequence[str], shards: int, cell_rows: int) -> list[tuple[tuple, int, int]]:
-    """Keys with the rows and bytes they stand for, together all rows, in key order: one aggregate.
-
-    Every hash bucket gives its key of least hash, which stands for the bucket, and keys drawn by size stand for themselves.
-    """
-    size = _width(rows, names)
+def _bucketed(rows: DataFrame, by: Sequence[Column], keys: Sequence[str], size: Column, buckets: int, cell_rows: int) -> tuple[list[str], DataFrame]:
+    """Rows and bytes of every hash bucket with its key of least hash, and of keys drawn by size."""
     hashed = F.xxhash64(*keys)
+    names = [f"k{i}" for i in range(len(keys))]
     picked = rows.select(
-        F.pmod(hashed, F.lit(max(1024, SHARD_SAMPLES * shards))).alias("bucket"),
-        F.when(_drawn(keys, size, max(cell_rows, ROWS_PER_CELL)), hashed).alias("own"),
+        *by,
+        F.pmod(hashed, F.lit(buckets)).alias("bucket"),
+        F.when(_drawn(keys, size, cell_rows), hashed).alias("own"),
         hashed.alias("hash"),
-        *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)],
+        *[F.col(k).alias(n) for k, n in zip(keys, names)],
         size.alias("size"),
     )
     # each key column by itself, all of the row of least hash: numbers then stay in a hash aggregate
-    key = [F.min_by(f"k{i}", "hash").alias(f"k{i}") for i in range(len(keys))]
-    parts = picked.groupBy("bucket", "own").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"), *key)
+    key = [F.min_by(n, "hash").alias(n) for n in names]
+    return names, picked.groupBy(*picked.columns[: len(by) + 2]).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"), *key)
+
+
+def _survey(rows: DataFrame, keys: Sequence[str], names: Sequence[str], shards: int, cell_rows: int) -> list[tuple[tuple, int, int]]:
+    """Keys with the rows and bytes they stand for, together all rows, in key order: one aggregate.
+
+    Every hash bucket gives its key of least hash, which stands for the bucket, and keys drawn by size stand for themselves.
+    """
+    size = _width(rows, names)
+    _, parts = _bucketed(rows, [], keys, size, max(1024, SHARD_SAMPLES * shards), max(cell_rows, ROWS_PER_CELL))
     found = [(tuple(r)[4:], r.n, r.b or 0) for r in parts.collect()]
     return sorted((r for r in found if None not in r[0]), key=lambda r: cut_key((r[0], -1)))
 
@@ -362,7 +371,8 @@ def _save(
 ) -> tuple[Shards, int, int]:
     """Write the rows; touched shards are replaced (None: all). ``exact``: rows in a shard that was not counted stop the write.
 
-    A task's file may hold twice the rows of a file, so that a cell of about that size is one; of several files none does.
+    A task's file may hold twice the rows of a file, so that a cell of about that size is one; of several files an eighth
+    more, so that a cell of about two is two.
     """
     seen = Observation()
     gen = new_generation()
@@ -370,7 +380,8 @@ def _save(
     guarded = not_null(rows, shards.schema).select(SHARD, *shards.schema.names, *beside)
     counted = guarded.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_payload(shards.schema)).alias("bytes"), F.sum(row_bytes(shards.schema)).alias("whole"))
     count = _rows(loads)
-    most = shards.file_rows(count) * (1 if shards.task_rows(count) > shards.file_rows(count) else 2)
+    own = shards.file_rows(count)
+    most = -(-own * 9 // 8) if shards.task_rows(count) > own else 2 * own
     counted.write.option("maxRecordsPerFile", most).partitionBy(SHARD).parquet(f"{shards.folder}/_gen={gen}")
     count, size = seen.get["rows"], seen.get["bytes"] or 0
     width = -(-(seen.get["whole"] or 0) // count) if count else 0

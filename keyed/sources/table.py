@@ -36,7 +36,7 @@ ROWS_PER_CELL = 1_000_000
 BYTES_PER_CELL = 256 * 1024 * 1024
 #: Files of few rows that one write makes, and tasks that write or read them: what is more goes into larger files, up to
 #: these rows, and several files to a task.
-NARROW_FILES, NARROW_TASKS = 1024, 64
+NARROW_FILES, NARROW_TASKS = 80, 40
 #: Whole keys of a condition that are hashed to find their shards; more open all shards of a hash layout.
 MOST_HASHED = 10_000
 
@@ -148,18 +148,20 @@ class Shards:
     def zones(self, spark: SparkSession, gen: str) -> dict[int, Zones] | None:
         """What the files of a generation hold, by shard; None where that was not recorded."""
         at = (self.folder, gen)
-        if at not in _known:
-            path = f"{self.folder}/{GEN}={gen}/_zones.json"
-            found: dict[int, list[Zone]] | None = None
-            if files.exists(spark, path):
-                found, types = {}, self.key_types()
-                for shard, file, rows, size, first, last in json.loads(files.read_text(spark, path)):
-                    ends = (tuple(_decode(v, t) for v, t in zip(side, types)) for side in (first, last))
-                    found.setdefault(shard, []).append(Zone(file, rows, size, *ends))
-            if len(_known) >= MOST_KNOWN:
-                _known.clear()
-            _known[at] = None if found is None else {s: Zones(z) for s, z in found.items()}
-        return _known[at]
+        out = _known.get(at, ())
+        if out != ():
+            return out
+        path = f"{self.folder}/{GEN}={gen}/_zones.json"
+        found: dict[int, list[Zone]] | None = None
+        if files.exists(spark, path):
+            found, types = {}, self.key_types()
+            for shard, file, rows, size, first, last in json.loads(files.read_text(spark, path)):
+                ends = (tuple(_decode(v, t) for v, t in zip(side, types)) for side in (first, last))
+                found.setdefault(shard, []).append(Zone(file, rows, size, *ends))
+        if len(_known) >= MOST_KNOWN:
+            _known.clear()
+        out = _known[at] = None if found is None else {s: Zones(z) for s, z in found.items()}
+        return out
 
     def record_zones(self, spark: SparkSession, gen: str) -> list[int]:
         """Looks at the keys of a new generation and notes what each of its files holds; returns its shards."""

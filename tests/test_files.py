@@ -321,3 +321,22 @@ def test_some_keys_of_many_small_files(spark, place, few):
     found = table.read([("id", "in", [42, 4242, 8888])])
     assert opened(found) <= 3 and sorted((r.id, r.s) for r in found.collect()) == [(42, "a"), (4242, "b"), (8888, "b")]
     assert K.bag_diff(table.read(), spark.range(9000).selectExpr("id", "if(id < 3000, 'a', 'b') AS s")).isEmpty()
+
+
+def test_resize_counts_by_the_record(spark, place, monkeypatch):
+    """Shards that are split are read once, to be written: their work is known from the record of their files."""
+    rows = spark.range(12_000).selectExpr("id", "md5(CAST(id AS STRING)) AS s")
+    table = K.create_keyed(spark, "w", rows.filter("id % 3 > 0"), "id", prefix=place, splits=[10, 20, 600], rows_per_file=50).table
+    table = K.insert(table, rows.filter("id % 3 = 0")).table
+    old, seen = set(table.read().inputFiles()), []
+    sizes = {s: sum(z.size for z in zones) for s, zones in table.base.stored(spark, table.base.live).items()}
+    collect = type(rows).collect
+    monkeypatch.setattr(type(rows), "collect", lambda self: (seen.append(set(self.inputFiles())), collect(self))[1])
+    done = K.resize(table, max_mb=sizes[3] / 1.5 / (1 << 20), min_mb=(sizes[0] + sizes[1]) / (1 << 20)).table
+    assert seen and not any(s & old for s in seen)
+    monkeypatch.undo()
+    after = done.base.stored(spark, done.base.live)
+    assert sum(z.rows for zones in after.values() for z in zones) == 12_000 and len(done.base.live) == 4
+    assert max(sum(z.size for z in zones) for zones in after.values()) < sizes[3]
+    assert K.bag_diff(done.read(), rows).isEmpty()
+    assert [r.id for r in done.ordered().collect()] == list(range(12_000))
