@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 import keyed as K
 
-from .tables import customers_by_name, indexed_orders, orders_by_customer, orders_by_key, orders_in_files, orders_in_one_shard, parts_hashed, raw, stored
+from .tables import customers_by_name, indexed_orders, orders_by_customer, orders_by_key, orders_in_files, orders_in_one_shard, parts_hashed, raw, stored, stored_together
 
 QUERIES, SQL = {}, {}
 
@@ -89,7 +89,8 @@ def range_read_or(spark, sf):
     return rows.withColumn("pruned", F.lit(shards <= {"0", "4"}))
 
 
-def _typed_orders(spark, sf, store):
+def _typed_orders(spark, sf):
+    """Ten tables of orders, by store and key."""
     typed = raw(spark, sf, "orders").selectExpr(
         "o_orderkey",
         "CAST(o_totalprice AS DECIMAL(9,2)) AS price",
@@ -97,9 +98,14 @@ def _typed_orders(spark, sf, store):
         "CAST(o_orderdate AS DATE) AS day",
         "make_dt_interval(0, CAST(o_orderkey AS INT), 30) AS age",
     )
-    options = {"store": store, "shards": 4, "rows_per_file": 200}
+    options = {"shards": 4, "rows_per_file": 200}
     keys = {"whole": "o_orderkey", "price": "price, o_orderkey", "amount": "amount, o_orderkey", "day": "day, o_orderkey", "age": "age"}
-    return {k: stored(spark, sf, f"typed_{store}_{k}", lambda n, p, key=key: K.create_keyed(spark, n, typed, key, prefix=p, **options)) for k, key in keys.items()}
+    creates = {
+        f"typed_{store}_{k}": lambda n, p, store=store, key=key: K.create_keyed(spark, n, typed, key, prefix=p, store=store, **options)
+        for store in ("range", "hash")
+        for k, key in keys.items()
+    }
+    return stored_together(spark, sf, creates)
 
 
 @query(
@@ -127,12 +133,12 @@ def range_read_typed(spark, sf):
         "age": [[("age", ">", dt.timedelta(hours=1000, minutes=30))]],
     }
     out = None
-    for store in ("range", "hash"):
-        for key, table in _typed_orders(spark, sf, store).items():
-            for part, where in enumerate(wanted[key]):
-                rows = table.read(where, ["o_orderkey"])
-                one = rows.select(F.lit(store).alias("store"), F.lit(key).alias("key"), F.lit(part).alias("part"), "o_orderkey")
-                out = one if out is None else out.unionAll(one)
+    for name, table in _typed_orders(spark, sf).items():
+        _, store, key = name.split("_")
+        for part, where in enumerate(wanted[key]):
+            rows = table.read(where, ["o_orderkey"])
+            one = rows.select(F.lit(store).alias("store"), F.lit(key).alias("key"), F.lit(part).alias("part"), "o_orderkey")
+            out = one if out is None else out.unionAll(one)
     return out
 
 

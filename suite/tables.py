@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 import keyed as K
@@ -30,6 +32,14 @@ def stored(spark: SparkSession, sf: str, name: str, create: Callable[[str, str],
     return K.KeyedTable.open(spark, name, prefix)
 
 
+def stored_together(spark: SparkSession, sf: str, creates: dict[str, Callable[[str, str], object]], at_once: int = 5) -> dict[str, K.KeyedTable]:
+    """Tables that do not need each other, some written at the same time: one's last tasks and planning leave cores free."""
+    folder(spark, sf)  # names the work folder before threads ask for it
+    with ThreadPoolExecutor(at_once) as pool:
+        made = {n: pool.submit(inheritable_thread_target(spark)(stored), spark, sf, n, create) for n, create in creates.items()}
+        return {n: table.result() for n, table in made.items()}
+
+
 def fresh(spark: SparkSession, sf: str, name: str, df: DataFrame, keys: str | None, **options) -> K.KeyedTable:
     """A table that one query writes to."""
     prefix = folder(spark, sf)

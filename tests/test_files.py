@@ -340,3 +340,27 @@ def test_resize_counts_by_the_record(spark, place, monkeypatch):
     assert max(sum(z.size for z in zones) for zones in after.values()) < sizes[3]
     assert K.bag_diff(done.read(), rows).isEmpty()
     assert [r.id for r in done.ordered().collect()] == list(range(12_000))
+
+
+@pytest.mark.parametrize("store", ["range", "hash"])
+def test_a_write_makes_few_files_of_few_rows(spark, place, store):
+    """Files of 50 rows would be 400."""
+    rows = spark.range(20_000).selectExpr("id", "if(id % 50 = 0, CAST('NaN' AS DOUBLE), id * 0.5D) AS v")
+    table = K.create_keyed(spark, store, rows, "v, id", prefix=place, store=store, shards=4, rows_per_file=50).table
+    files = table.read().inputFiles()
+    assert 60 <= len(files) <= 130 and len(writers(files)) <= 52
+    assert table.read([("v", "=", float("nan"))]).count() == 400
+    assert K.bag_diff(table.read(), rows).isEmpty()
+
+
+def test_tables_that_are_written_together(spark, place):
+    from suite import tables
+
+    def create(n):
+        return lambda name, prefix: K.create_keyed(spark, name, spark.range(n * 100).toDF("id"), "id", prefix=prefix, shards=2)
+
+    made = tables.stored_together(spark, place, {f"t{n}": create(n) for n in range(1, 7)}, at_once=3)
+    assert list(made) == [f"t{n}" for n in range(1, 7)]
+    assert [t.read().count() for t in made.values()] == [100 * n for n in range(1, 7)]
+    with pytest.raises(ValueError, match="no such table"):
+        tables.stored_together(spark, place, {"t1": create(1), "bad": lambda n, p: (_ for _ in ()).throw(ValueError("no such table"))})
