@@ -364,3 +364,12 @@ def test_tables_that_are_written_together(spark, place):
     assert [t.read().count() for t in made.values()] == [100 * n for n in range(1, 7)]
     with pytest.raises(ValueError, match="no such table"):
         tables.stored_together(spark, place, {"t1": create(1), "bad": lambda n, p: (_ for _ in ()).throw(ValueError("no such table"))})
+
+
+def test_a_point_read_among_few_files(spark, place):
+    """Files of 20 rows would be 1,500, of which a write made 1,024."""
+    table = K.create_keyed(spark, "f", spark.range(30_000).toDF("id"), "id", prefix=place, shards=1, rows_per_file=20).table
+    assert 60 <= len(table.read().inputFiles()) <= 120
+    for key in (0, 7777, 29_999):
+        found = table.read([("id", "=", key)])
+        assert opened(found) == 1 and [r.id for r in found.collect()] == [key]
