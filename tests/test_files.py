@@ -373,3 +373,14 @@ def test_a_point_read_among_few_files(spark, place):
     for key in (0, 7777, 29_999):
         found = table.read([("id", "=", key)])
         assert opened(found) == 1 and [r.id for r in found.collect()] == [key]
+
+
+def test_some_keys_among_few_files_with_a_frequent_key(spark, place):
+    """A given layout, whose cuts come from hash buckets; a third of the batch is one key."""
+    table = K.create_keyed(spark, "f", spark.range(20_000).selectExpr("id", "'a' AS s"), "id", prefix=place, splits=[5], rows_per_file=20).table
+    batch = spark.range(12_000).selectExpr("if(id < 4000, 42, id + 10000) AS id", "CAST(id AS STRING) AS s")
+    table = K.upsert(table, batch, order_by=[F.col("s").cast("int")]).table
+    assert 50 <= len(table.read().inputFiles()) <= 130
+    found = table.read([("id", "in", [42, 9999, 21_999])])
+    assert opened(found) <= 3 and sorted((r.id, r.s) for r in found.collect()) == [(42, "3999"), (9999, "a"), (21_999, "11999")]
+    assert table.read().count() == 22_000
